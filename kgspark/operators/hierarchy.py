@@ -113,20 +113,35 @@ def depth(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     return out.select("id", "depth")
 
 
-def ancestors(edges: DataFrame, start: DataFrame | None = None, start_col: str = "id") -> DataFrame:
-    """All proper ``node, ancestor`` pairs, or those of the start nodes only.
+def ancestors(edges: DataFrame) -> DataFrame:
+    """All proper ``node, ancestor`` pairs.
 
-    Semi-naive: a round extends only the pairs found in the round before, and
-    pairs already known are dropped, so multi-parent nodes do not multiply paths
-    and cycles end.
+    Path doubling: each round joins the pairs with themselves, so a hierarchy of
+    depth d takes log2(d) rounds. Pairs are distinct after every round, so
+    multi-parent nodes do not multiply paths, and cycles end.
     """
-    up, _ = materialise(edges.select("child", "parent").distinct())
-    pairs = up.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"))
-    if start is not None:
-        pairs = pairs.join(start.select(F.col(start_col).alias("node")), "node", "left_semi")
-    frontier, n = materialise(pairs)
+    pairs, n = materialise(edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct())
+    while True:
+        further = pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("far"))
+        longer = pairs.join(further, "ancestor").select("node", F.col("far").alias("ancestor"))
+        grown, m = materialise(pairs.unionByName(longer).distinct())
+        if m == n:
+            return grown
+        pairs, n = grown, m
+
+
+def ancestors_of(edges: DataFrame, start: DataFrame, start_col: str = "id") -> DataFrame:
+    """Proper ``node, ancestor`` pairs of the start nodes only.
+
+    Walks up from the start level by level: a round extends only the pairs found
+    in the round before and drops those already known.
+    """
+    step = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("next")).distinct()
+    begin = start.select(F.col(start_col).alias("node")).distinct()
+    frontier, n = materialise(
+        step.select(F.col("ancestor").alias("node"), F.col("next").alias("ancestor")).join(begin, "node", "left_semi")
+    )
     known = frontier
-    step = up.select(F.col("child").alias("ancestor"), F.col("parent").alias("next"))
     while n:
         found = frontier.join(step, "ancestor").select("node", F.col("next").alias("ancestor")).distinct()
         frontier, n = materialise(found.join(known, ["node", "ancestor"], "left_anti"))
@@ -135,12 +150,17 @@ def ancestors(edges: DataFrame, start: DataFrame | None = None, start_col: str =
     return known
 
 
-def gene_ancestors(participation: DataFrame, edges: DataFrame) -> DataFrame:
-    """Distinct ``gene, ancestor``: a gene's pathways and everything above them."""
-    reached = participation.select("pathway").distinct()
-    above = ancestors(edges, reached, "pathway").select(F.col("node").alias("pathway"), "ancestor")
-    through = participation.join(above, "pathway").select("gene", "ancestor")
-    return participation.select("gene", F.col("pathway").alias("ancestor")).unionByName(through).distinct()
+def gene_ancestors(participation: DataFrame, edges: DataFrame, few: bool = False) -> DataFrame:
+    """Distinct ``gene, ancestor``: a gene's pathways and everything above them.
+
+    ``few`` walks up from the given memberships instead of closing the whole
+    hierarchy; use it after filtering to some genes.
+    """
+    closed = ancestors_of(edges, participation, "pathway") if few else ancestors(edges)
+    through = participation.join(closed.select(F.col("node").alias("pathway"), "ancestor"), "pathway")
+    return participation.select("gene", F.col("pathway").alias("ancestor")).unionByName(
+        through.select("gene", "ancestor")
+    ).distinct()
 
 
 def closure_violations(members: DataFrame, edges: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def unresolved(collapsed: DataFrame, aliases: DataFrame) -> DataFrame:
     """
     return (
         collapsed.withColumn("alias", base_accession(F.col("accession")))
-        .join(aliases, "alias", "left_anti")
+        .join(aliases.select("alias").distinct(), "alias", "left_anti")
         .groupBy("accession")
         .agg(
             F.sum("rows").alias("rows"),

@@ -83,7 +83,7 @@ def scoring_band(members: DataFrame, low: int = 15, high: int = 500) -> DataFram
 def empty_sets(nodes: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
     """Nodes without a member."""
     return nodes.select(F.col(id_col).alias("pathway")).distinct().join(
-        members.select("pathway"), "pathway", "left_anti"
+        members.select("pathway").distinct(), "pathway", "left_anti"
     )
 
 

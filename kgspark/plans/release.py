@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
 from kgspark.operators.quads import GraphVocabulary, to_quads
+from kgspark.operators.resolve import participation_edges
+from kgspark.session import write_shared
 
 
 @dataclass(frozen=True)
@@ -22,6 +24,16 @@ class Release:
     participation: DataFrame
     crosswalk: DataFrame
 
+    def stored(self) -> Release:
+        """The release with its facts written to the checkpoint folder once.
+
+        The plain edges derive from the written facts, so both shapes come from
+        the same rows and reports that read them often do not resolve again.
+        """
+        facts = write_shared(self.facts)
+        participation = write_shared(participation_edges(facts))
+        return replace(self, facts=facts, participation=participation)
+
     def quads(self, graph: str, source: str, vocabulary: GraphVocabulary = GraphVocabulary()) -> DataFrame:
         """All statements of the release with their ``part``."""
         return to_quads(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,6 +44,18 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     return stored, int(seen.get["rows"])
 
 
+def write_shared(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and read it back.
+
+    For a wide table that several later plans read: readers take only their
+    columns, and the optimizer knows its true size.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A table of rows given by the caller, for use as a join side."""
     return spark.createDataFrame(list(rows), schema)

@@ -602,6 +602,10 @@ SQL = {
     "gene_ancestors": """
         SELECT gene, pathway AS ancestor FROM edges
         UNION SELECT e.gene, a.ancestor FROM edges e JOIN above a ON a.node = e.pathway""",
+    "ancestors_of": "SELECT node, ancestor FROM above WHERE node IN (SELECT id FROM node WHERE taxon = 'PROMO')",
+    "gene_ancestors_of": """
+        SELECT gene, pathway AS ancestor FROM edges WHERE gene = 2
+        UNION SELECT e.gene, a.ancestor FROM edges e JOIN above a ON a.node = e.pathway WHERE e.gene = 2""",
     "closure_violations": """
         SELECT DISTINCT e.gene, h.parent AS pathway FROM edges e JOIN hierarchy h ON h.child = e.pathway
         WHERE NOT EXISTS (SELECT 1 FROM edges x WHERE x.gene = e.gene AND x.pathway = h.parent)""",

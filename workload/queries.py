@@ -323,6 +323,7 @@ def largest_sets(t: Tables) -> DataFrame:
 
 @query
 def set_size_distribution(t: Tables) -> DataFrame:
+    t = t.kept()
     return S.set_size_distribution(t.node, t.edges)
 
 
@@ -339,11 +340,13 @@ def empty_sets(t: Tables) -> DataFrame:
 
 @query
 def containment(t: Tables) -> DataFrame:
+    t = t.kept()
     return S.containment(t.hierarchy, t.edges)
 
 
 @query
 def containment_summary(t: Tables) -> DataFrame:
+    t = t.kept()
     return S.containment_summary(S.containment(t.hierarchy, t.edges))
 
 
@@ -359,6 +362,7 @@ def largest_identical_group(t: Tables) -> DataFrame:
 
 @query
 def reconcile_sets(t: Tables) -> DataFrame:
+    t = t.kept()
     ours = t.facts.selectExpr("pathway AS key", "gene AS member")
     theirs = t.damaged.selectExpr("pathway AS key", "gene AS member")
     return S.reconcile_sets(ours, theirs)
@@ -371,11 +375,13 @@ def seeded_sample(t: Tables) -> DataFrame:
 
 @query
 def reconcile_shapes(t: Tables) -> DataFrame:
+    t = t.kept()
     return P.reconcile_shapes(t.facts, t.damaged)
 
 
 @query
 def shape_agreement(t: Tables) -> DataFrame:
+    t = t.kept()
     return P.shape_agreement(t.facts, t.edges)
 
 
@@ -413,6 +419,7 @@ def type_tally(t: Tables) -> DataFrame:
 
 @query
 def coverage(t: Tables) -> DataFrame:
+    t = t.kept()
     return T.coverage(t.node, t.gene, t.edges, t.crosswalk)
 
 
@@ -518,8 +525,20 @@ def gene_ancestors(t: Tables) -> DataFrame:
     return H.gene_ancestors(t.edges, t.hierarchy)
 
 
+@query
+def ancestors_of(t: Tables) -> DataFrame:
+    return H.ancestors_of(t.hierarchy, t.node.filter("taxon = 'PROMO'"))
+
+
+@query
+def gene_ancestors_of(t: Tables) -> DataFrame:
+    mine = t.edges.filter(F.col("gene") == SPOT_GENE)
+    return H.gene_ancestors(mine, t.hierarchy, few=True)
+
+
 @query
 def closure_violations(t: Tables) -> DataFrame:
+    t = t.kept()
     return H.closure_violations(t.edges, t.hierarchy)
 
 
@@ -631,16 +650,19 @@ def _spot(t: Tables) -> dict:
 
 @query
 def spot_check(t: Tables) -> DataFrame:
+    t = t.kept()
     return C.spot_check(t.facts, t.node, t.hierarchy, **_spot(t))
 
 
 @query
 def chk_shapes(t: Tables) -> DataFrame:
+    t = t.kept()
     return C.chk_shapes(t.facts, t.damaged)
 
 
 @query
 def chk_members(t: Tables) -> DataFrame:
+    t = t.kept()
     ours = t.facts.selectExpr("pathway AS key", "gene AS member")
     return C.chk_members(ours, t.damaged.selectExpr("pathway AS key", "gene AS member"))
 
@@ -657,6 +679,7 @@ def chk_terms(t: Tables) -> DataFrame:
 
 @query
 def acceptance(t: Tables) -> DataFrame:
+    t = t.kept()
     return C.acceptance(
         t.release, t.emitted.drop("part"), taxon="PROMO", infix="1", evidence=["A", "R"], expected_nodes=2000,
         spot=_spot(t), usage=M.term_usage(t.event_quads, MODEL_BASE), defined=t.defined,
@@ -667,6 +690,7 @@ def acceptance(t: Tables) -> DataFrame:
 
 @query
 def characteristics_report(t: Tables) -> DataFrame:
+    t = t.kept()
     return characteristics(
         t.release, codes=["A", "R"], source="infores:source", statements=Q.statements_per_part(t.emitted), band=(15, 22)
     )

@@ -27,6 +27,13 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    def kept(self) -> Tables:
+        """The same tables with the facts written to the checkpoint folder once."""
+        stored = self.release.stored()
+        other = Tables(self.spark, self.sf_dir)
+        other.facts, other.edges = stored.facts, stored.participation
+        return other
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
