@@ -191,7 +191,12 @@ def hierarchy_shape(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> D
 
     The edge count is the sum of the parents of the listed nodes.
     """
-    return degrees(nodes, edges, id_col).agg(
+    return shape_of(degrees(nodes, edges, id_col))
+
+
+def shape_of(degree: DataFrame) -> DataFrame:
+    """:func:`hierarchy_shape` from ``id, parents, children``."""
+    return degree.agg(
         F.coalesce(F.sum("parents"), F.lit(0)).cast("bigint").alias("part_of_edges"),
         F.count_if(F.col("parents") == 0).alias("roots"),
         F.count_if(F.col("children") == 0).alias("leaves"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kgspark.errors import ScopeError, UnknownCodeError
@@ -27,8 +27,9 @@ def scope_filter(
 ) -> DataFrame:
     """Rows whose trimmed name equals ``keep``.
 
-    Every name is checked against the vocabulary, also those about to be
-    dropped: a renamed scope must be an error and not a quiet shortfall.
+    ``strict`` first checks every name, dropped ones included: a scope that was
+    renamed at the source would otherwise just lose its rows. To check in the
+    same pass as the work, use :func:`watch_names`.
     """
     vocabulary = list(vocabulary)
     if keep not in vocabulary:
@@ -40,6 +41,29 @@ def scope_filter(
     return df.filter(trim_blanks(F.col(column)) == keep)
 
 
+def watch_names(
+    df: DataFrame, column: str, vocabulary: Iterable[str]
+) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` under observation, and a call that raises if it held an unknown name.
+
+    The names are counted while the first action on the result runs, so the
+    source is not read a second time. Make the call after that action.
+    """
+    name = trim_blanks(F.col(column))
+    odd = name.isNull() | ~name.isin(*vocabulary)
+    seen = Observation()
+    watched = df.observe(
+        seen, F.count_if(odd).alias("unknown"), F.min(F.when(odd, F.coalesce(name, F.lit("NULL")))).alias("first")
+    )
+
+    def verify() -> None:
+        got = seen.get
+        if got["unknown"]:
+            raise UnknownCodeError(f"{got['unknown']} rows with unknown names in {column}, first {got['first']!r}")
+
+    return watched, verify
+
+
 def scope_tally(df: DataFrame, column: str, keep: str) -> DataFrame:
     """Rows kept and dropped per name: ``name, rows, kept``."""
     name = trim_blanks(F.col(column))

@@ -30,9 +30,19 @@ def degree_of_genes(members: DataFrame) -> DataFrame:
     )
 
 
+def top_genes(degree: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` of ``gene, pathways`` by pathways, then id."""
+    return degree.orderBy(F.desc("pathways"), "gene").limit(n)
+
+
+def top_sets(sizes: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` of ``pathway, genes`` by size, then id."""
+    return sizes.orderBy(F.desc("genes"), "pathway").limit(n)
+
+
 def hub_by_id(members: DataFrame, symbols: DataFrame | None = None, n: int = 20) -> DataFrame:
     """The ``n`` members in most sets; ties by id."""
-    top = degree_of_genes(members).orderBy(F.desc("pathways"), "gene").limit(n)
+    top = top_genes(degree_of_genes(members), n)
     if symbols is None:
         return top
     names = symbols.groupBy(F.col("id").alias("gene")).agg(F.max("symbol").alias("symbol"))
@@ -43,7 +53,7 @@ def hub_by_id(members: DataFrame, symbols: DataFrame | None = None, n: int = 20)
 
 def largest_sets(members: DataFrame, nodes: DataFrame | None = None, n: int = 20) -> DataFrame:
     """The ``n`` largest sets; ties by id."""
-    top = set_sizes(members).orderBy(F.desc("genes"), "pathway").limit(n)
+    top = top_sets(set_sizes(members), n)
     if nodes is None:
         return top
     labels = nodes.groupBy(F.col("id").alias("pathway")).agg(F.max("label").alias("label"))
@@ -72,10 +82,15 @@ def set_size_distribution(nodes: DataFrame, members: DataFrame) -> DataFrame:
 
 def scoring_band(members: DataFrame, low: int = 15, high: int = 500) -> DataFrame:
     """Sets within, below and above a size band; empty sets are in none of them."""
+    return band_counts(set_sizes(members), low, high)
+
+
+def band_counts(sizes: DataFrame, low: int, high: int) -> DataFrame:
+    """:func:`scoring_band` from ``pathway, genes``."""
     size = F.col("genes")
-    return set_sizes(members).agg(
+    return sizes.agg(
         F.count_if(size.between(low, high)).alias("in_band"),
-        F.count_if(size < low).alias("below_band"),
+        F.count_if(size.between(1, low - 1)).alias("below_band"),
         F.count_if(size > high).alias("above_band"),
     )
 

@@ -48,77 +48,80 @@ def _spread(df: DataFrame, name: Column) -> DataFrame:
     )
 
 
-def measures(release: Release, depths: DataFrame) -> DataFrame:
-    """Every count the report summarises: ``measure, value``."""
-    def named(df: DataFrame, measure: str, column: str) -> DataFrame:
-        return df.select(F.lit(measure).alias("measure"), F.col(column).cast("bigint").alias("value"))
-
-    degree = H.degrees(release.node, release.hierarchy).select(F.inline(F.array(
-        F.struct(F.lit("parents_per_pathway").alias("measure"), F.col("parents").alias("value")),
-        F.struct(F.lit("children_per_pathway").alias("measure"), F.col("children").alias("value")),
-    )))
-    terms = release.crosswalk.select("pathway", "term").distinct().groupBy("pathway").agg(
-        F.count(F.lit(1)).alias("terms")
-    )
-    return reduce(DataFrame.unionByName, [
-        degree,
-        named(depths, "depth_below_root", "depth"),
-        named(S.all_set_sizes(release.node, release.participation), "genes_per_pathway", "genes"),
-        named(S.degree_of_genes(release.participation), "pathways_per_gene", "pathways"),
-        named(terms, "terms_per_pathway", "terms"),
-    ])
-
-
 def characteristics(
     release: Release, *, codes: Sequence[str], source: str, statements: DataFrame | None = None,
     band: tuple[int, int] = (15, 500), top: int = 20, classes: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The report. ``statements`` (part, statements) adds the emitted counts.
 
-    The hierarchy's depths and the set groups are computed once up front; the
-    rest is one plan in which equal shuffles are shared.
+    What several sections read (degrees, set sizes, overlaps, equal sets) is
+    computed once and kept in the checkpoint folder; the sections themselves are
+    small aggregates over those tables.
     """
     classes = classes or {"node": "Pathway", "gene": "Gene", "association": "GeneToPathwayAssociation"}
     node, members = release.node, release.participation
-    depths, _ = materialise(H.depth(node, release.hierarchy))
-    grouped, _ = materialise(S.identical_members(members))
     count = F.count(F.lit(1))
-
+    keep = lambda df: materialise(df)[0]
+
+    depths = keep(H.depth(node, release.hierarchy))
+    degree = keep(H.degrees(node, release.hierarchy))
+    sizes = keep(S.all_set_sizes(node, members))
+    gene_degree = keep(S.degree_of_genes(members))
+    contained = keep(S.containment(release.hierarchy, members))
+    grouped = keep(S.identical_members(members))
+    terms = keep(release.crosswalk.select("pathway", "term").distinct().groupBy("pathway").agg(count.alias("terms")))
+    evidence = keep(T.evidence_mix(release.facts, codes))
+
+    def measure(df: DataFrame, name: str, column: str) -> DataFrame:
+        return df.select(F.lit(name).alias("measure"), F.col(column).cast("bigint").alias("value"))
+
+    measures = reduce(DataFrame.unionByName, [
+        measure(degree, "parents_per_pathway", "parents"),
+        measure(degree, "children_per_pathway", "children"),
+        measure(depths, "depth_below_root", "depth"),
+        measure(sizes, "genes_per_pathway", "genes"),
+        measure(gene_degree, "pathways_per_gene", "pathways"),
+        measure(terms, "terms_per_pathway", "terms"),
+    ])
     taxa = node.select("taxon").unionByName(release.gene.select("taxon")).groupBy("taxon").agg(count.alias("n"))
-    evidence = T.evidence_mix(release.facts, codes)
-    contained = S.containment(release.hierarchy, members)
+    facts_total = F.coalesce(F.sum("facts"), F.lit(0))
     totals = [
-        _rows(release.facts.agg(count.alias("n")), "types", classes["association"], None, F.col("n")),
+        _rows(evidence.agg(facts_total.alias("n")), "types", classes["association"], None, F.col("n")),
         _rows(node.agg(count.alias("n")), "types", classes["node"], None, F.col("n")),
         _rows(release.gene.agg(count.alias("n")), "types", classes["gene"], None, F.col("n")),
         _rows(taxa, "taxa", "nodes", F.col("taxon"), F.col("n")),
         _rows(T.coverage(node, release.gene, members, release.crosswalk), "coverage", F.col("measure"), None, F.col("n")),
-        _wide(H.hierarchy_shape(node, release.hierarchy), "hierarchy", ["part_of_edges", "roots", "leaves", "multi_parent"]),
+        _wide(H.shape_of(degree), "hierarchy", ["part_of_edges", "roots", "leaves", "multi_parent"]),
         _rows(depths.agg(F.count_if(F.col("depth").isNull()).alias("n")), "hierarchy", "endless_nodes", None, F.col("n")),
-        _rows(H.roots(node, release.hierarchy), "hierarchy", "root", F.col("pathway"), F.col("direct_children")),
-        _spread(T.distribution(measures(release, depths), "value", by=["measure"]), F.col("measure")),
+        _rows(degree.filter("parents = 0"), "hierarchy", "root", F.col("id"), F.col("children")),
+        _spread(keep(T.distribution(measures, "value", by=["measure"])), F.col("measure")),
         _rows(evidence, "associations", "evidence", F.col("code"), F.col("facts")),
         _rows(evidence.agg(F.count_if(~F.col("mapped")).alias("n")), "associations", "unmapped_codes", None, F.col("n")),
-        _rows(release.facts.agg(count.alias("n")), "associations", "knowledge_source", F.lit(source), F.col("n")),
+        _rows(evidence.agg(facts_total.alias("n")), "associations", "knowledge_source", F.lit(source), F.col("n")),
         _wide(T.accession_counts(release.facts), "associations", ["source_accessions", "isoform_accessions"]),
         _wide(
             shape_agreement(release.facts, members).withColumn("matches", F.col("matches").cast("int")),
             "participation", ["edges", "association_pairs", "matches", "associations_per_edge"],
         ),
-        _rows(S.empty_sets(node, members).agg(count.alias("n")), "gene_sets", "without_genes", None, F.col("n")),
-        _wide(S.scoring_band(members, *band), "gene_sets", ["in_band", "below_band", "above_band"]),
-        _rows(S.largest_sets(members, n=top), "gene_sets", "largest", F.col("pathway"), F.col("genes")),
-        _rows(S.hub_by_id(members, n=top), "gene_sets", "hub", F.col("gene"), F.col("pathways")),
-        _wide(S.containment_summary(contained), "propagation", ["pairs_compared", "fully_contained", "fully_contained_fraction"]),
-        _spread(T.distribution(contained, "fraction", digits=4), F.lit("child_genes_in_parent")),
-        _rows(
-            grouped.agg(F.countDistinct("group_id").alias("groups")), "propagation", "identical_groups", None, F.col("groups")
+        _rows(sizes.agg(F.count_if(F.col("genes") == 0).alias("n")), "gene_sets", "without_genes", None, F.col("n")),
+        _wide(S.band_counts(sizes, *band), "gene_sets", ["in_band", "below_band", "above_band"]),
+        _rows(S.top_sets(sizes.filter("genes > 0"), top), "gene_sets", "largest", F.col("pathway"), F.col("genes")),
+        _rows(S.top_genes(gene_degree, top), "gene_sets", "hub", F.col("gene"), F.col("pathways")),
+        _wide(
+            contained.agg(
+                count.alias("pairs_compared"),
+                F.count_if(F.col("common") == F.col("child_genes")).alias("fully_contained"),
+                F.round(
+                    F.count_if(F.col("common") == F.col("child_genes")) / F.greatest(count, F.lit(1)), 4
+                ).alias("fully_contained_fraction"),
+            ),
+            "propagation", ["pairs_compared", "fully_contained", "fully_contained_fraction"],
         ),
+        _spread(keep(T.distribution(contained, "fraction", digits=4)), F.lit("child_genes_in_parent")),
+        _rows(grouped.agg(F.countDistinct("group_id").alias("n")), "propagation", "identical_groups", None, F.col("n")),
         _rows(grouped.agg(count.alias("n")), "propagation", "sets_in_identical_groups", None, F.col("n")),
         _rows(S.largest_identical_group(grouped), "propagation", "largest_identical", F.col("pathway"), F.col("genes")),
-        _rows(
-            release.crosswalk.select("pathway", "term").distinct().agg(count.alias("n")), "crosswalk", "edges", None, F.col("n")
-        ),
+        _rows(terms.agg(F.coalesce(F.sum("terms"), F.lit(0)).alias("n")), "crosswalk", "edges", None, F.col("n")),
     ]
     if statements is not None:
         totals.append(_rows(statements, "statements", "part", F.col("part"), F.col("statements")))

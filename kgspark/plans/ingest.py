@@ -17,13 +17,16 @@ from kgspark.functions.text import trim_blanks
 from kgspark.operators import resolve as R
 from kgspark.operators.diff import label_conflicts
 from kgspark.operators.quads import GraphVocabulary, as_set, statements_per_part
-from kgspark.operators.rules import ColumnRule, LayoutSpec, header_matches, map_codes, verify_layout
-from kgspark.operators.scope import in_scope, off_scope, scope_edges, scope_filter
+from kgspark.operators.rules import (
+    ColumnRule, LayoutSpec, column_examples, header_matches, layout_report, map_codes, verify_layout,
+)
+from kgspark.operators.scope import in_scope, off_scope, scope_edges, scope_filter, watch_names
+from kgspark.operators.stats import value_histogram
 from kgspark.operators.terms import term_usage
 from kgspark.plans import checks as C
 from kgspark.plans.describe import characteristics
 from kgspark.plans.release import Release
-from kgspark.session import any_row, sample_text
+from kgspark.session import any_row, sample_text, write_shared
 from kgspark.sources.releases import (
     graph_name, read_release_json, read_releases, release_metadata, release_row, replace_release, write_metadata,
 )
@@ -117,46 +120,45 @@ def local_id(column: str) -> Column:
     return F.regexp_replace(trim_blanks(F.col(column)), "^[^:]*:", "")
 
 
-def build_nodes(pathways: DataFrame, settings: Settings, strict: bool = True) -> DataFrame:
-    """Nodes in scope: ``id, label, taxon``; two labels for one id are an error."""
-    kept = scope_filter(pathways, "species", settings.scope, list(settings.species), strict)
-    nodes = kept.select(
+def build_nodes(pathways: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct nodes in scope: ``id, label, taxon``. Every species name must be known."""
+    kept = scope_filter(pathways, "species", settings.scope, settings.species, strict=True)
+    return kept.select(
         trim_blanks(F.col("id").cast("string")).alias("id"), trim_blanks(F.col("label")).alias("label"),
         F.lit(settings.taxon).alias("taxon"),
     ).distinct()
-    if strict:
-        twice = label_conflicts(nodes)
-        if any_row(twice):
-            raise IngestError(f"conflicting labels for {sample_text(twice, 'id')}")
-    return nodes
 
 
 def build_facts(
-    associations: DataFrame, nodes: DataFrame, aliases: DataFrame, settings: Settings, strict: bool = True
+    associations: DataFrame, nodes: DataFrame, aliases: DataFrame, settings: Settings, keep=None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Facts ``gene, pathway, code, accession``, the folded rows, the unresolved fraction.
 
-    ``associations`` is ``accession, pathway, code, species``, all text.
+    ``associations`` is ``accession, pathway, code, species``, all text. The
+    source is read once: names are checked while the folded rows are written,
+    and everything after that reads the folded rows.
     """
-    kept = scope_filter(associations, "species", settings.scope, list(settings.species), strict).select(
+    keep = keep or (lambda _name, df: write_shared(df))
+    watched, verify_names = watch_names(associations, "species", settings.species)
+    kept = scope_filter(watched, "species", settings.scope, settings.species).select(
         *[trim_blanks(F.col(c).cast("string")).alias(c) for c in ("accession", "pathway", "code")]
     )
-    folded = R.collapse(kept)
+    folded = keep("rows", R.collapse(kept))
+    verify_names()
     scoped = in_scope(folded, "pathway", nodes)
-    mapped = map_codes(scoped, "code", settings.evidence, "term", strict)
-    facts = R.resolve(mapped, aliases).select("gene", "pathway", "code", "accession")
-    table = F.create_map(*[F.lit(x) for pair in settings.evidence.items() for x in pair])
-    facts = facts.withColumn("code", F.try_element_at(table, F.col("code")))
-    # Two codes may map to one term.
+    mapped = map_codes(scoped, "code", settings.evidence, "term", strict=True)
+    facts = R.resolve(mapped.withColumn("code", F.col("term")), aliases)
     if len(set(settings.evidence.values())) < len(settings.evidence):
         facts = facts.distinct()
-    off_rows = off_scope(folded, "pathway", nodes).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
+    off_rows = off_scope(folded, "pathway", nodes).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.lit(0).cast("bigint").alias("lost")
+    )
     matched = R.with_matches(scoped, aliases).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(F.col("matches") == 0, F.col("rows"))), F.lit(0)).alias("lost"),
     )
     fraction = (
-        matched.unionByName(off_rows.withColumn("lost", F.lit(0).cast("bigint")))
+        matched.unionByName(off_rows)
         .agg(F.sum("n").alias("rows_in_scope"), F.sum("lost").alias("unresolved_rows"))
         .withColumn("fraction", F.try_divide(F.col("unresolved_rows").cast("double"), F.col("rows_in_scope")))
     )
@@ -172,23 +174,25 @@ def build_genes(facts: DataFrame, dictionary: DataFrame, settings: Settings) ->
 
 def build_release(
     pathways: DataFrame, relations: DataFrame, associations: DataFrame, crosswalk: DataFrame,
-    dictionary: DataFrame, settings: Settings, strict: bool = True, store=None,
+    dictionary: DataFrame, settings: Settings, store=None,
 ) -> Built:
     """All tables of a release from parsed sources.
 
     Sources: ``id, label, species``; ``child, parent``; ``accession, pathway,
     code, species``; ``pathway, term``; ``id, symbol, aliases``. ``store(name,
-    df)`` may write a table and return it as read back: both shapes then derive
-    from one stored fact table.
+    df)`` writes a table and returns it as read back: both shapes derive from
+    one stored fact table.
     """
-    keep = store or (lambda _name, df: df)
-    nodes = keep("node", build_nodes(pathways, settings, strict))
-    if strict and not any_row(nodes):
+    keep = store or (lambda _name, df: write_shared(df))
+    nodes = keep("node", build_nodes(pathways, settings))
+    twice = label_conflicts(nodes)
+    if any_row(twice):
+        raise IngestError(f"conflicting labels for {sample_text(twice, 'id')}")
+    if not any_row(nodes):
         raise IngestError(f"no node is in scope {settings.scope!r}")
-    edges = relations.select("child", "parent").distinct()
-    hierarchy = keep("hierarchy", scope_edges(edges, nodes) if strict else in_scope(in_scope(edges, "child", nodes), "parent", nodes))
+    hierarchy = keep("hierarchy", scope_edges(relations.select("child", "parent").distinct(), nodes))
     aliases = R.alias_map(dictionary)
-    facts, scoped, fraction = build_facts(associations, nodes, aliases, settings, strict)
+    facts, scoped, fraction = build_facts(associations, nodes, aliases, settings, keep)
     facts = keep("facts", facts)
     release = Release(
         node=nodes, hierarchy=hierarchy,
@@ -197,7 +201,7 @@ def build_release(
         participation=keep("participation", R.participation_edges(facts)),
         crosswalk=keep("crosswalk", in_scope(crosswalk.select("pathway", "term").distinct(), "pathway", nodes)),
     )
-    if strict and not any_row(release.crosswalk):
+    if not any_row(release.crosswalk):
         raise IngestError("no crosswalk row is in scope")
     return Built(release, scoped, aliases, fraction)
 
@@ -276,6 +280,32 @@ def run(
     return results
 
 
+def layout_markdown(parsed: DataFrame, spec: LayoutSpec) -> str:
+    """Layout section of a source: rows, rules, an example per column, value counts of closed columns.
+
+    Reads aggregates only: one row per rule, column and listed value.
+    """
+    report = layout_report(parsed, spec).collect()
+    lines = [f"### `{spec.name}`", "", f"- rows: **{report[0]['rows']}**",
+             f"- header line: **{'yes' if spec.has_header else 'no'}**", f"- fields: {len(spec.columns)}"]
+    if spec.note:
+        lines.append(f"- note: {spec.note}")
+    lines += ["", "| Col | Name | Example |", "|---|---|---|"]
+    examples = {r["column"]: r["example"] for r in column_examples(parsed, spec).collect()}
+    lines += [f"| {i} | `{c}` | `{(examples[c] or '')}` |" for i, c in enumerate(spec.columns, start=1)]
+    closed = [r.column for r in spec.rules if r.kind == "enum"]
+    if closed:
+        counted = value_histogram(parsed, closed).orderBy("column", F.desc("rows"), "value")
+        allowed = sum(len(r.arg) for r in spec.rules if r.kind == "enum")
+        lines.append("")
+        lines += [f"- {r['column']} `{r['value']}`: {r['rows']}" for r in counted.limit(allowed).collect()]
+    broken = [r for r in report if r["violations"]]
+    if broken:
+        lines += ["", "**Violations**"]
+        lines += [f"- {r['rule']}: {r['violations']}, first `{r['sample']}`" for r in broken]
+    return "\n".join(lines) + "\n"
+
+
 def run_checks(
     release: Release, quads: DataFrame, settings: Settings, defined: DataFrame, term_base: str
 ) -> DataFrame:

@@ -139,11 +139,22 @@ def test_bad_sources_stop_the_job(spark, defined, tmp_path, change, error):
         I.run(spark, sources(tmp_path, **change), str(tmp_path / "w"), settings(), defined)
 
 
+def test_layout_section(spark, tmp_path):
+    paths = sources(tmp_path, associations=ASSOCIATIONS + [("P1", "R-HSA-1", "TAS", HUMAN)])
+    spec = I.LAYOUTS["associations"]
+    parsed = I.read_strict_tsv(spark, paths["associations"], spec.columns, False, strict=False)
+    text = I.layout_markdown(parsed, spec)
+    assert "- rows: **17**" in text and "| 5 | `evidence_code` | `IEA` |" in text
+    assert "- species_name `Homo sapiens`: 16" in text and "- uniprot_accession:pattern: 1, first `P1`" in text
+
+
 def test_codes_are_strict_without_layout_checks(spark):
     rows = spark.createDataFrame([("P1", "1", "XXX", HUMAN)], "accession STRING, pathway STRING, code STRING, species STRING")
     nodes = spark.createDataFrame([("1",)], "id STRING")
     aliases = spark.createDataFrame([("P1", "1")], "alias STRING, id STRING")
-    with pytest.raises(UnknownCodeError):
+    with pytest.raises(UnknownCodeError, match="XXX"):
         I.build_facts(rows, nodes, aliases, settings())
+    with pytest.raises(UnknownCodeError, match="Nobody"):
+        I.build_facts(rows.withColumn("species", F.lit("Nobody")), nodes, aliases, settings())
     facts, _, fraction = I.build_facts(rows.withColumn("code", F.lit("TAS")), nodes, aliases, settings())
     assert facts.count() == 1 and fraction.collect()[0]["rows_in_scope"] == 1
