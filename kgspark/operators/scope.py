@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -57,9 +58,14 @@ def watch_names(
     )
 
     def verify() -> None:
-        got = seen.get
-        if got["unknown"]:
-            raise UnknownCodeError(f"{got['unknown']} rows with unknown names in {column}, first {got['first']!r}")
+        try:
+            unknown, first = seen.get["unknown"], seen.get["first"]
+        except Py4JJavaError:
+            # Folded away as empty before it ran, so nothing was observed.
+            rest = unknown_names(df, column, vocabulary).agg(F.sum("rows"), F.min(F.coalesce("name", F.lit("NULL"))))
+            unknown, first = rest.collect()[0]
+        if unknown:
+            raise UnknownCodeError(f"{unknown} rows with unknown names in {column}, first {first!r}")
 
     return watched, verify
 
