@@ -29,6 +29,7 @@ def peel(edges: DataFrame) -> Peeling:
     Round k keeps the edges whose parent is still somebody's child. A node that
     is a child in round k therefore has a path of length k + 1 above it. The
     kept edges only shrink; once a round drops none, the rest hangs below a cycle.
+    There are as many rounds as levels.
     """
     current, n = materialise(edges.select("child", "parent").distinct())
     levels: list[DataFrame] = []

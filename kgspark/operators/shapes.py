@@ -1,4 +1,4 @@
-"""One fact in two shapes: evidence-bearing associations and plain edges."""
+"""Associations with evidence compared with the plain edges derived from them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def pair_counts(associations: DataFrame, edges: DataFrame) -> DataFrame:
     """Per pair: number of associations and of edges.
 
-    Both shapes go through one grouped union: one shuffle, combined on the map side.
+    Both tables are stacked and grouped once, so there is one shuffle and it
+    combines on the map side.
     """
     marked = associations.select("gene", "pathway", F.lit(1).alias("a"), F.lit(0).alias("e")).unionByName(
         edges.select("gene", "pathway", F.lit(0).alias("a"), F.lit(1).alias("e"))

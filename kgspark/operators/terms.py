@@ -58,8 +58,8 @@ def emitted_terms(lines: DataFrame, base: str) -> DataFrame:
     """Model terms written in text files: ``term, uses``.
 
     A prefixed name counts only where the file itself binds the prefix to the
-    model base. Declarations and comment lines are skipped. The look-behind
-    keeps a label inside a URN from reading as a prefix.
+    model base. Declarations and comment lines are skipped, and so are
+    labels in the middle of a longer name.
     """
     body = lines.filter(~_start().startswith("@prefix") & ~_start().startswith("#"))
     full = F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1)

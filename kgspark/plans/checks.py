@@ -232,7 +232,7 @@ def chk_total(quads: DataFrame, low: int, high: int) -> DataFrame:
 
 
 def chk_terms(usage: DataFrame, defined: DataFrame) -> DataFrame:
-    """Model terms in use but not defined; a to-do for the model, so only a warning."""
+    """Terms in use that the model does not define; never critical."""
     row = term_review(usage, defined)
     detail = F.concat(F.col("undefined").cast("string"), F.lit(" of "), F.col("emitted").cast("string"), F.lit(" undefined"))
     return _check(row, "12. model terms are defined", F.col("undefined"), detail, critical=False)

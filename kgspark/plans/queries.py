@@ -1,7 +1,7 @@
 """Named membership queries over one release.
 
-Membership goes through the plain edges. Only the two queries that return
-evidence read the facts, because the evidence is there.
+``gene_pathways`` and ``evidence_breakdown`` read the facts; the others read the
+distinct edges, which are far fewer rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,11 @@ from kgspark.session import any_row, sample_text
 
 
 def file_manifest(spark: SparkSession, directory: str, origin: str = "") -> DataFrame:
-    """``filename, bytes, md5, retrieved_from`` of the files in a folder."""
+    """``filename, bytes, md5, retrieved_from`` of the files in a folder.
+
+    A checksum needs its file whole, so a file is one row: at most 2 GB each.
+    Larger sources come as part files.
+    """
     files = spark.read.format("binaryFile").load(directory)
     name = F.substring_index("path", "/", -1)
     return files.select(
@@ -23,8 +27,8 @@ def file_manifest(spark: SparkSession, directory: str, origin: str = "") -> Data
 def sniff_tabular(payloads: DataFrame, content: str = "content") -> DataFrame:
     """Add ``tabular``: FALSE for a payload that is a web page or has no tab in its first line.
 
-    A server may answer with an error page and a success code, so the payload
-    itself has to say what it is.
+    The whole payload is looked at: its first character that is not blank, and
+    its first line.
     """
     text = F.col(content).cast("string")
     page = F.ltrim(text, F.lit(BLANKS)).startswith("<")

@@ -447,6 +447,7 @@ def select_union(t: Tables) -> DataFrame:
 
 @query
 def bgp_match(t: Tables) -> DataFrame:
+    t = t.kept()
     found = Q.match(t.emitted, [
         ("?a", "a", "biolink:GeneToPathwayAssociation"), ("?a", "biolink:subject", "?gene"),
         ("?a", "biolink:object", "?pathway"), ("?pathway", "biolink:part_of", "?parent"),
