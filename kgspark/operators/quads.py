@@ -60,11 +60,11 @@ def _typed(p: str, o: Column, datatype: str) -> Column:
 
 
 def _state(df: DataFrame, subject: Column, statements: Sequence[Column]) -> DataFrame:
-    """One row per statement; statements without an object are not made."""
-    return (
-        df.select(subject.alias("s"), F.inline(F.array(*statements)))
-        .filter(F.col("o").isNotNull())
-    )
+    """One row per statement; statements without an object are not made.
+
+    The subject is computed below the generator, once per input row.
+    """
+    return df.withColumn("s", subject).select("s", F.inline(F.array(*statements))).filter(F.col("o").isNotNull())
 
 
 def node_quads(node: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:

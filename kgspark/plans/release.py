@@ -24,15 +24,16 @@ class Release:
     participation: DataFrame
     crosswalk: DataFrame
 
-    def stored(self) -> Release:
+    def stored(self, edges: bool = True) -> Release:
         """The release with its facts written to the checkpoint folder once.
 
         The plain edges derive from the written facts, so both shapes come from
         the same rows and reports that read them often do not resolve again.
+        ``edges`` writes them too.
         """
         facts = write_shared(self.facts)
-        participation = write_shared(participation_edges(facts))
-        return replace(self, facts=facts, participation=participation)
+        participation = participation_edges(facts)
+        return replace(self, facts=facts, participation=write_shared(participation) if edges else participation)
 
     def quads(self, graph: str, source: str, vocabulary: GraphVocabulary = GraphVocabulary()) -> DataFrame:
         """All statements of the release with their ``part``."""

@@ -148,11 +148,11 @@ def test_shapes_fail_in_both_directions(spark):
 
 def test_metadata_content(spark):
     row = R.release_row(
-        spark, graph=G1, version='v99997 "test"', doi="10.5281/zenodo.1", publication_date="2026-06",
+        spark, graph=G1, version='v99997 "test"', doi="10.1234/release.1", publication_date="2026-06",
         license_id="cc-by-4.0", triples=10,
     )
     meta = {(r["s"], r["p"]): r for r in R.release_metadata(row, "2026-09-15", taxon="NCBITaxon:9606").collect()}
-    assert meta[(G1, "dcterms:source")]["o"] == "https://doi.org/10.5281/zenodo.1"
+    assert meta[(G1, "dcterms:source")]["o"] == "https://doi.org/10.1234/release.1"
     assert meta[(G1, "void:triples")]["o"] == "10"
     assert meta[(G1, "dcterms:issued")]["o"] == "2026-06-01"
     assert meta[(G1, "dcterms:license")]["o"] == "https://creativecommons.org/licenses/by/4.0/"

@@ -22,6 +22,7 @@ from kgspark.plans import checks as C
 from kgspark.plans import ingest as I
 from kgspark.plans import queries as N
 from kgspark.plans.describe import characteristics
+from kgspark.session import write_shared
 from kgspark.sources import manifests, releases, snapshots, statements
 from workload.tables import CURATED, INFERRED, MODEL_BASE, SPOT_GENE, SPOT_PATHWAY, SYMBOLS, Tables
 
@@ -340,13 +341,13 @@ def empty_sets(t: Tables) -> DataFrame:
 
 @query
 def containment(t: Tables) -> DataFrame:
-    t = t.kept()
+    t = t.kept(edges=True)
     return S.containment(t.hierarchy, t.edges)
 
 
 @query
 def containment_summary(t: Tables) -> DataFrame:
-    t = t.kept()
+    t = t.kept(edges=True)
     return S.containment_summary(S.containment(t.hierarchy, t.edges))
 
 
@@ -447,8 +448,8 @@ def select_union(t: Tables) -> DataFrame:
 
 @query
 def bgp_match(t: Tables) -> DataFrame:
-    t = t.kept()
-    found = Q.match(t.emitted, [
+    stored = write_shared(t.emitted)
+    found = Q.match(stored, [
         ("?a", "a", "biolink:GeneToPathwayAssociation"), ("?a", "biolink:subject", "?gene"),
         ("?a", "biolink:object", "?pathway"), ("?pathway", "biolink:part_of", "?parent"),
         ("?gene", "rdfs:label", "?symbol"),
@@ -680,7 +681,7 @@ def chk_terms(t: Tables) -> DataFrame:
 
 @query
 def acceptance(t: Tables) -> DataFrame:
-    t = t.kept()
+    t = t.kept(edges=True)
     return C.acceptance(
         t.release, t.emitted.drop("part"), taxon="PROMO", infix="1", evidence=["A", "R"], expected_nodes=2000,
         spot=_spot(t), usage=M.term_usage(t.event_quads, MODEL_BASE), defined=t.defined,
@@ -691,7 +692,7 @@ def acceptance(t: Tables) -> DataFrame:
 
 @query
 def characteristics_report(t: Tables) -> DataFrame:
-    t = t.kept()
+    t = t.kept(edges=True)
     return characteristics(
         t.release, codes=["A", "R"], source="infores:source", statements=Q.statements_per_part(t.emitted), band=(15, 22)
     )
