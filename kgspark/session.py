@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,15 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     ensure_checkpoint_dir(df.sparkSession)
     seen = Observation()
     stored = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return stored, int(seen.get["rows"])
+    return stored, observed_rows(seen)
+
+
+def observed_rows(seen: Observation) -> int:
+    """``rows`` of an observation whose action is done; 0 if the plan was folded away as empty."""
+    try:
+        return int(seen.get["rows"])
+    except Py4JJavaError:
+        return 0
 
 
 def write_shared(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kgspark.errors import IngestError
 from kgspark.functions.text import licence_url, pad_month
 from kgspark.operators.quads import QUAD_COLUMNS, _iri, _text, _typed
-from kgspark.session import literal_table
+from kgspark.session import literal_table, observed_rows
 
 
 def graph_name(version: str, base: str = "urn:kg:release:v") -> str:
@@ -45,7 +45,7 @@ def replace_release(quads: DataFrame, path: str, graph: str) -> int:
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("graph").parquet(path)
     )
-    written = int(seen.get["rows"])
+    written = observed_rows(seen)
     if written == 0:
         where, fs = _path_of(quads.sparkSession, f"{path}/graph={_escape(graph)}")
         if fs.exists(where):
