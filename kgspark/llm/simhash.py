@@ -256,13 +256,14 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     groups = write_shared(simhash_groups(docs, id_col, text_col))
     unclear = write_shared(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select("doc_id"))
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    ident = F.col(f"`{id_col}`")
-    apart = write_shared(gone.union(unclear).distinct().select(F.col("doc_id").alias("apart")))
-    clear = docs.join(apart, ident.eqNullSafe(F.col("apart")), "left_anti")
+    apart = write_shared(gone.union(unclear).distinct())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("ident"))
+    met = F.col("ident").eqNullSafe(F.col("doc_id"))
+    clear = rows.join(apart, met, "left_anti").select("row.*")
     if unclear.isEmpty():
         return clear
-    rows = fingerprints(docs.join(unclear.select(F.col("doc_id").alias("apart")), ident.eqNullSafe(F.col("apart")), "left_semi"), text_col)
-    rows = rows.select("row", F.col("row").getField(id_col).alias("ident"), F.col("out.fp").alias("fp"))
+    printed = fingerprints(rows.join(unclear, met, "left_semi").select("row.*"), text_col)
+    printed = printed.select("row", F.col("row").getField(id_col).alias("ident"), F.col("out.fp").alias("fp"))
     heads = groups.select("fp", "root", "component_id").distinct()
-    rows = rows.join(heads, "fp").where("ident <=> component_id").dropDuplicates(["ident", "root"])
-    return clear.unionByName(rows.select("row.*"))
+    printed = printed.join(heads, "fp").where("ident <=> component_id").dropDuplicates(["ident", "root"])
+    return clear.unionByName(printed.select("row.*"))
