@@ -15,6 +15,10 @@ from kgspark.operators.stats import distribution
 from kgspark.session import materialise
 
 
+# Rounds after which a growing union becomes one stored table.
+COMPACT = 4
+
+
 @dataclass(frozen=True)
 class Peeling:
     """Children per level, and the edges that never peel off (empty for a DAG)."""
@@ -142,26 +146,39 @@ def ancestors_of(edges: DataFrame, start: DataFrame, start_col: str = "id") -> D
     frontier, n = materialise(
         step.select(F.col("ancestor").alias("node"), F.col("next").alias("ancestor")).join(begin, "node", "left_semi")
     )
-    known = frontier
+    known, rounds = frontier, 0
     while n:
         found = frontier.join(step, "ancestor").select("node", F.col("next").alias("ancestor")).distinct()
         frontier, n = materialise(found.join(known, ["node", "ancestor"], "left_anti"))
-        if n:
-            known = known.unionByName(frontier)
+        known, rounds = _grown(known, frontier, n, rounds)
     return known
 
 
+def _grown(known: DataFrame, new: DataFrame, n: int, rounds: int) -> tuple[DataFrame, int]:
+    """What is known with the new rows; every few rounds it becomes one table again."""
+    if n:
+        known, rounds = known.unionByName(new), rounds + 1
+        if rounds % COMPACT == 0:
+            known = materialise(known)[0]
+    return known, rounds
+
+
 def gene_ancestors(participation: DataFrame, edges: DataFrame, few: bool = False) -> DataFrame:
     """Distinct ``gene, ancestor``: a gene's pathways and everything above them.
 
-    ``few`` walks up from the given memberships instead of closing the whole
-    hierarchy; use it after filtering to some genes.
+    Memberships are pushed up level by level; a round carries on only pairs that
+    are new, so a pathway reached by many paths is one row, and memberships that
+    are closed already end after one round. ``few`` says that the memberships are
+    those of some genes only; it changes nothing any more.
     """
-    closed = ancestors_of(edges, participation, "pathway") if few else ancestors(edges)
-    through = participation.join(closed.select(F.col("node").alias("pathway"), "ancestor"), "pathway")
-    return participation.select("gene", F.col("pathway").alias("ancestor")).unionByName(
-        through.select("gene", "ancestor")
-    ).distinct()
+    step = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("next")).distinct()
+    frontier, n = materialise(participation.select("gene", F.col("pathway").alias("ancestor")).distinct())
+    known, rounds = frontier, 0
+    while n:
+        found = frontier.join(step, "ancestor").select("gene", F.col("next").alias("ancestor")).distinct()
+        frontier, n = materialise(found.join(known, ["gene", "ancestor"], "left_anti"))
+        known, rounds = _grown(known, frontier, n, rounds)
+    return known
 
 
 def closure_violations(members: DataFrame, edges: DataFrame) -> DataFrame:

@@ -6,14 +6,16 @@ A statement is ``graph, s, p, o, o_kind, o_datatype``; ``o_kind`` is ``iri`` or
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kgspark.functions.text import plain_curie
+from kgspark.session import literal_table, observed
 
+PARTS = ("pathways", "associations", "participation", "crosswalk")
 QUAD_COLUMNS = ("graph", "s", "p", "o", "o_kind", "o_datatype")
 
 
@@ -132,14 +134,14 @@ def to_quads(
 ) -> DataFrame:
     """All statements of a release with the ``part`` they were emitted for. No shuffle
     but the two ``distinct`` on the small tables."""
-    parts = {
-        "pathways": node_quads(node, v).unionByName(hierarchy_quads(hierarchy, v)),
-        "associations": gene_quads(gene, v).unionByName(association_quads(association, source, v)),
-        "participation": participation_quads(participation, v),
-        "crosswalk": crosswalk_quads(crosswalk, v),
-    }
+    tables = (
+        node_quads(node, v).unionByName(hierarchy_quads(hierarchy, v)),
+        gene_quads(gene, v).unionByName(association_quads(association, source, v)),
+        participation_quads(participation, v),
+        crosswalk_quads(crosswalk, v),
+    )
     out = None
-    for name, df in parts.items():
+    for name, df in zip(PARTS, tables):
         part = df.select(F.lit(graph).alias("graph"), "s", "p", "o", "o_kind", "o_datatype", F.lit(name).alias("part"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -150,6 +152,23 @@ def statements_per_part(emitted: DataFrame) -> DataFrame:
     return emitted.groupBy("part").agg(F.count(F.lit(1)).alias("statements"))
 
 
+def part_counts(emitted: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``emitted`` under observation, and a call for :func:`statements_per_part` of it.
+
+    Counts are taken while the first action on the result runs; make the call after it.
+    """
+    seen = Observation()
+    watched = emitted.observe(seen, *[F.count_if(F.col("part") == p).alias(p) for p in PARTS])
+
+    def counted() -> DataFrame:
+        found = {p: observed(seen, p) for p in PARTS}
+        if None in found.values():
+            return statements_per_part(emitted)
+        return literal_table(emitted.sparkSession, [x for x in found.items() if x[1]], "part STRING, statements BIGINT")
+
+    return watched, counted
+
+
 def matches_metadata(per_part: DataFrame, stated: int) -> DataFrame:
     """One row: statements counted, statements the metadata claims, equal or not."""
     return per_part.agg(F.coalesce(F.sum("statements"), F.lit(0)).cast("bigint").alias("statements")).select(
@@ -202,6 +221,12 @@ def _bind(quads: DataFrame, pattern: tuple[str, str, str]) -> tuple[DataFrame, l
     return rows.select(*columns), list(seen)
 
 
+def relevant(quads: DataFrame, patterns: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Statements with a predicate that some pattern names; all if one leaves it open."""
+    wanted = {p for _, p, _ in patterns}
+    return quads if any(p.startswith("?") for p in wanted) else quads.filter(F.col("p").isin(*sorted(wanted)))
+
+
 def match(quads: DataFrame, patterns: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Basic graph pattern: one row per solution, one column per variable, bag semantics.
 

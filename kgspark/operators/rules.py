@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kgspark.errors import LayoutError, UnknownCodeError
 from kgspark.functions.text import trim_blanks
-from kgspark.session import any_row, sample_text
+from kgspark.session import any_row, observed, sample_text
 
 
 def map_codes(
@@ -106,12 +108,8 @@ class LayoutSpec:
     note: str = ""
 
 
-def layout_report(parsed: DataFrame, spec: LayoutSpec) -> DataFrame:
-    """Rule and arity counts over a whole parsed source.
-
-    ``parsed`` comes from :func:`kgspark.sources.tsv.split_lines`: the declared
-    columns plus ``n_fields``. Rules only speak about rows of the right arity.
-    """
+def _layout_counts(spec: LayoutSpec) -> list[Column]:
+    """Rows, and violations with a sample for the arity and each rule."""
     width = len(spec.columns)
     right = F.col("n_fields") == width
     aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(~right).alias("arity_n"),
@@ -120,6 +118,19 @@ def layout_report(parsed: DataFrame, spec: LayoutSpec) -> DataFrame:
         broken = right & rule.violated()
         aggs.append(F.count_if(broken).alias(f"n{i}"))
         aggs.append(F.min(F.when(broken, F.col(rule.column))).alias(f"s{i}"))
+    return aggs
+
+
+def layout_report(parsed: DataFrame, spec: LayoutSpec) -> DataFrame:
+    """Rule and arity counts over a whole parsed source: ``rule, rows, violations, sample``.
+
+    ``parsed`` comes from :func:`kgspark.sources.tsv.split_lines`: the declared
+    columns plus ``n_fields``. Rules only speak about rows of the right arity.
+    """
+    return _as_report(parsed.agg(*_layout_counts(spec)), spec)
+
+
+def _as_report(counts: DataFrame, spec: LayoutSpec) -> DataFrame:
     entries = [F.struct(
         F.lit("arity").alias("rule"), F.col("rows"),
         F.col("arity_n").alias("violations"), F.col("arity_s").alias("sample"),
@@ -133,7 +144,38 @@ def layout_report(parsed: DataFrame, spec: LayoutSpec) -> DataFrame:
             F.lit(rule.name).alias("rule"), F.col("rows"),
             F.col(f"n{i}").alias("violations"), F.col(f"s{i}").alias("sample"),
         ))
-    return parsed.agg(*aggs).select(F.inline(F.array(*entries)))
+    return counts.select(F.inline(F.array(*entries)))
+
+
+def watch_layout(parsed: DataFrame, spec: LayoutSpec) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``parsed`` under observation, and a call that raises if a rule was broken, else returns the report.
+
+    The counts are taken while the first action on the result runs, so the source
+    is not read a second time. Make the call after that action.
+    """
+    seen = Observation()
+    counts = _layout_counts(spec)
+    watched = parsed.observe(seen, *counts)
+
+    def verify() -> DataFrame:
+        schema = parsed.limit(0).agg(*counts).schema
+        found = [observed(seen, name) for name in schema.names]
+        if found[0] is None:  # folded away as empty before it ran
+            return verify_layout(parsed, spec, strict=True)
+        report = _as_report(parsed.sparkSession.createDataFrame([tuple(found)], schema), spec)
+        return _refused(report, spec)
+
+    return watched, verify
+
+
+def header_faults(heads: DataFrame, spec: LayoutSpec) -> DataFrame:
+    """Files whose first line breaks the header rules of a source: ``file, head``."""
+    first = trim_blanks(F.substring_index("head", "\t", 1))
+    is_header = ~reduce(or_, [first.rlike(p) for p in spec.id_patterns], F.lit(False))
+    wrong = is_header != F.lit(spec.has_header)
+    if spec.has_header and spec.expected_header:
+        wrong = wrong | (F.col("head") != "\t".join(spec.expected_header))
+    return heads.filter(wrong)
 
 
 def column_examples(parsed: DataFrame, spec: LayoutSpec) -> DataFrame:
@@ -162,9 +204,13 @@ def header_matches(first_fields: Sequence[str], spec: LayoutSpec) -> list[str]:
 def verify_layout(parsed: DataFrame, spec: LayoutSpec, strict: bool = False) -> DataFrame:
     """Layout report of a source; ``strict`` raises when any rule is broken."""
     report = layout_report(parsed, spec)
-    if strict:
-        broken = [r for r in report.collect() if r["violations"]]
-        if broken:
-            text = "; ".join(f"{r['rule']}: {r['violations']} (e.g. {r['sample']!r})" for r in broken)
-            raise LayoutError(f"{spec.name}: {text}")
+    return _refused(report, spec) if strict else report
+
+
+def _refused(report: DataFrame, spec: LayoutSpec) -> DataFrame:
+    """The report, unless a rule is broken: one row per rule, so this is a small read."""
+    broken = [r for r in report.collect() if r["violations"]]
+    if broken:
+        text = "; ".join(f"{r['rule']}: {r['violations']} (e.g. {r['sample']!r})" for r in broken)
+        raise LayoutError(f"{spec.name}: {text}")
     return report

@@ -13,21 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.operators.stats import distribution
-from kgspark.session import any_row, ensure_checkpoint_dir
+from kgspark.session import any_row, ensure_checkpoint_dir, write_shared
 
 
-def set_sizes(members: DataFrame) -> DataFrame:
+def _held(members: DataFrame, is_set: bool) -> DataFrame:
+    """Distinct memberships; ``is_set`` promises that they are, which saves a shuffle of them all."""
+    held = members.select("pathway", "gene")
+    return held if is_set else held.distinct()
+
+
+def set_sizes(members: DataFrame, is_set: bool = False) -> DataFrame:
     """Distinct members per set: ``pathway, genes``."""
-    return members.select("pathway", "gene").distinct().groupBy("pathway").agg(
-        F.count(F.lit(1)).alias("genes")
-    )
+    return _held(members, is_set).groupBy("pathway").agg(F.count(F.lit(1)).alias("genes"))
 
 
-def degree_of_genes(members: DataFrame) -> DataFrame:
+def degree_of_genes(members: DataFrame, is_set: bool = False) -> DataFrame:
     """Distinct sets per member: ``gene, pathways``."""
-    return members.select("pathway", "gene").distinct().groupBy("gene").agg(
-        F.count(F.lit(1)).alias("pathways")
-    )
+    return _held(members, is_set).groupBy("gene").agg(F.count(F.lit(1)).alias("pathways"))
 
 
 def top_genes(degree: DataFrame, n: int) -> DataFrame:
@@ -62,10 +64,10 @@ def largest_sets(members: DataFrame, nodes: DataFrame | None = None, n: int = 20
     )
 
 
-def all_set_sizes(nodes: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
+def all_set_sizes(nodes: DataFrame, members: DataFrame, id_col: str = "id", is_set: bool = False) -> DataFrame:
     """Size of every node's set, 0 for a node without members."""
     return nodes.select(F.col(id_col).alias("pathway")).distinct().join(
-        set_sizes(members), "pathway", "left"
+        set_sizes(members, is_set), "pathway", "left"
     ).select("pathway", F.coalesce("genes", F.lit(0).cast("bigint")).alias("genes"))
 
 
@@ -102,31 +104,29 @@ def empty_sets(nodes: DataFrame, members: DataFrame, id_col: str = "id") -> Data
     )
 
 
-def containment(edges: DataFrame, members: DataFrame) -> DataFrame:
+def containment(edges: DataFrame, members: DataFrame, is_set: bool = False) -> DataFrame:
     """Per edge, the share of the child's members that the parent has too.
 
-    Edges with an empty set on either side are left out.
+    Edges with an empty set on either side are left out. One pass over the
+    members of the children gives both the size of the child and the overlap.
     """
-    held = members.select("pathway", "gene").distinct()
-    pairs = edges.select("child", "parent").distinct()
-    sizes = set_sizes(members)
-    sized = pairs.join(
-        sizes.select(F.col("pathway").alias("child"), F.col("genes").alias("child_genes")), "child"
-    ).join(sizes.select(F.col("pathway").alias("parent")), "parent", "left_semi")
-    common = (
+    held = _held(members, is_set)
+    pairs = edges.select("child", "parent").distinct().join(
+        held.select(F.col("pathway").alias("parent")).distinct(), "parent", "left_semi"
+    )
+    shared = held.select(F.col("pathway").alias("parent"), "gene", F.lit(1).alias("both"))
+    counted = (
         pairs.join(held.select(F.col("pathway").alias("child"), "gene"), "child")
-        .join(held.select(F.col("pathway").alias("parent"), "gene"), ["parent", "gene"], "left_semi")
+        .join(shared, ["parent", "gene"], "left")
         .groupBy("child", "parent")
-        .agg(F.count(F.lit(1)).alias("common"))
+        .agg(F.count(F.lit(1)).alias("child_genes"), F.count("both").alias("common"))
     )
-    return sized.join(common, ["child", "parent"], "left").select(
-        "child", "parent", "child_genes",
-        F.coalesce("common", F.lit(0).cast("bigint")).alias("common"),
-    ).withColumn("fraction", F.col("common").cast("double") / F.col("child_genes"))
+    return counted.withColumn("fraction", F.col("common").cast("double") / F.col("child_genes"))
 
 
 def containment_summary(contained: DataFrame, digits: int = 4) -> DataFrame:
     """Pairs compared, fully contained, their share, and the spread of the shares."""
+    contained = write_shared(contained.select("child_genes", "common", "fraction"))
     spread = distribution(contained, "fraction", digits=digits).select(
         F.col("n").alias("pairs_compared"), "mean", "min", "p25", "median", "p75", "p95", "max",
         F.lit(0).alias("_k"),
@@ -146,7 +146,7 @@ def _fingerprints(held: DataFrame, seeds: int) -> tuple[DataFrame, list[str]]:
     return held.groupBy("pathway").agg(F.count(F.lit(1)).alias("genes"), *prints), names
 
 
-def identical_members(members: DataFrame) -> DataFrame:
+def identical_members(members: DataFrame, is_set: bool = False) -> DataFrame:
     """``pathway, group_id, genes, sets`` for every set that equals another one.
 
     ``group_id`` is the smallest set of its group. Sets are grouped by size and
@@ -156,7 +156,7 @@ def identical_members(members: DataFrame) -> DataFrame:
     proof holds; equal sets are never split.
     """
     ensure_checkpoint_dir(members.sparkSession)
-    held = members.select("pathway", "gene").distinct().checkpoint(eager=True)
+    held = _held(members, True) if is_set else write_shared(_held(members, False))
     seeds = 2
     while True:
         prints, names = _fingerprints(held, seeds)
@@ -189,20 +189,20 @@ def largest_identical_group(grouped: DataFrame) -> DataFrame:
 def reconcile_sets(ours: DataFrame, theirs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Per key: sizes on both sides, members missing here, members extra here, equal or not.
 
-    Inputs are ``key, member``. ``keys`` restricts the comparison to a sample.
+    Inputs are ``key, member``. ``keys`` restricts the comparison to a sample; it is
+    applied to the counted keys, so a hot key is combined before any join on it.
     """
     sides = [
         df.select("key", "member", F.lit(mine).alias("mine"), F.lit(1 - mine).alias("other"))
         for df, mine in ((ours, 1), (theirs, 0))
     ]
     both = reduce(DataFrame.unionByName, sides)
-    if keys is not None:
-        both = both.join(keys.select("key"), "key", "left_semi")
     per_member = both.groupBy("key", "member").agg(F.max("mine").alias("mine"), F.max("other").alias("other"))
     mine, other = F.col("mine") == 1, F.col("other") == 1
-    return per_member.groupBy("key").agg(
+    counted = per_member.groupBy("key").agg(
         F.count_if(mine).alias("ours"),
         F.count_if(other).alias("theirs"),
         F.count_if(other & ~mine).alias("missing"),
         F.count_if(mine & ~other).alias("extra"),
     ).withColumn("exact_match", (F.col("missing") == 0) & (F.col("extra") == 0))
+    return counted if keys is None else counted.join(keys.select("key"), "key", "left_semi")

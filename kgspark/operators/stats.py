@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,17 +12,27 @@ from pyspark.sql import functions as F
 from kgspark.functions.text import is_isoform
 
 QUANTILES = {"p25": 0.25, "median": 0.50, "p75": 0.75, "p95": 0.95}
-BUCKETS_PER_OCTAVE = 16
+# Bits of an order key left out at each level of the descent to a rank.
+LEVELS = (44, 26, 8)
 
 
-def _order_bucket(value: Column) -> Column:
-    """A small integer that never decreases as the value grows.
+def _order_key(value: Column) -> Column:
+    """A long that never decreases as the value grows: exponent, then 48 bits of the mantissa.
 
-    Equal steps per octave suit the skewed counts and fractions summarised here:
-    a few thousand buckets cover every double, and no sampling pass is needed.
+    NaN comes last, as in a sort; infinities come at the ends.
     """
-    magnitude = F.floor(F.log2(F.abs(value) + F.lit(1e-300)) * BUCKETS_PER_OCTAVE) + F.lit(20_000)
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("bigint")
+    size = F.abs(value.cast("double"))
+    rough = F.floor(F.log2(size))
+    scaled = size / F.pow(F.lit(2.0), rough)
+    exponent = rough + F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    mantissa = F.least(F.greatest(size / F.pow(F.lit(2.0), exponent), F.lit(1.0)), F.lit(1.9999999999999998))
+    finite = (exponent + 1100) * F.lit(1 << 48) + F.floor((mantissa - 1) * float(1 << 48))
+    top = F.lit(1 << 60)
+    magnitude = F.when(size == float("inf"), top).otherwise(finite)
+    return (
+        F.when(F.isnan(value.cast("double")), top + 1).when(value > 0, magnitude).when(value < 0, -magnitude)
+        .otherwise(F.lit(0)).cast("bigint")
+    )
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,6 +43,11 @@ def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def field_counts(parsed: DataFrame) -> DataFrame:
+    """Rows per number of fields, in the form of :func:`value_histogram`."""
+    return value_histogram(parsed.select(F.col("n_fields").cast("string").alias("number of fields")), ["number of fields"])
+
+
 def distribution(
     df: DataFrame,
     column: str,
@@ -46,9 +63,11 @@ def distribution(
     Without ``by``, an empty input gives one row with n = 0. ``totals`` adds the
     sum of the values.
 
-    Ranks come from a histogram whose running sums are partitioned by group
-    *and* value bucket, with the buckets' own totals added as offsets; no task
-    sees all distinct values of a group.
+    Ranks are found by descending through prefixes of an order key, on a
+    histogram of the values: the cells of one level give the offsets, and only
+    cells that hold a wanted rank are opened at the next. A window sees at most
+    2^18 cells, the last one at most 2^13 values, however the values cluster.
+    NaN counts as the largest value and makes the mean NaN.
     """
     by = list(by)
     raw = F.col(column)
@@ -63,31 +82,37 @@ def distribution(
         .select(*by, shown.alias("v"), exact.alias("x"))
         .groupBy(*by, "v")
         .agg(F.count(F.lit(1)).alias("c"), F.sum("x").alias("s"))
-        .withColumn("b", _order_bucket(F.col("v")))
-    )
-    buckets = hist.groupBy(*by, "b").agg(
-        F.sum("c").alias("bc"), F.sum("s").alias("bs"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    # A group has at most a few thousand buckets, whatever its size.
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    upto = group.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = buckets.select(
-        *by, "b",
-        (F.sum("bc").over(upto) - F.col("bc")).alias("before"), "bc",
-        F.sum("bc").over(group).alias("n"),
-        F.sum("bs").over(group).alias("total"),
-        F.min("lo").over(group).alias("vmin"),
-        F.max("hi").over(group).alias("vmax"),
+        .withColumn("key", _order_key(F.col("v")))
     )
     ranks = {q: F.bround(F.lit(f) * (F.col("n") - 1).cast("double")).cast("bigint") for q, f in QUANTILES.items()}
-    hit = None
-    for rank in ranks.values():
-        inside = (rank >= F.col("before")) & (rank < F.col("before") + F.col("bc"))
-        hit = inside if hit is None else hit | inside
-    within = Window.partitionBy(*by, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fine = hist.join(offsets.filter(hit), by + ["b"]).withColumn(
-        "upto", F.col("before") + F.sum("c").over(within)
-    )
+    hit = reduce(or_, [(rank >= F.col("before")) & (rank < F.col("before") + F.col("bc")) for rank in ranks.values()])
+    facts = ["n", "total", "vmin", "vmax"]
+    opened = None
+    for shift in LEVELS:
+        cell = F.shiftright("key", shift).alias("cell")
+        if opened is None:
+            cells = hist.groupBy(*by, cell).agg(
+                F.sum("c").alias("bc"), F.sum("s").alias("bs"), F.min("v").alias("lo"), F.max("v").alias("hi")
+            )
+            group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+            cells = cells.select(
+                *by, "cell", "bc", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("above"),
+                F.sum("bc").over(group).alias("n"), F.sum("bs").over(group).alias("total"),
+                F.min("lo").over(group).alias("vmin"), F.max("hi").over(group).alias("vmax"),
+            )
+        else:
+            inside = _under(hist, opened, by, last).groupBy(*by, "above", cell)
+            cells = inside.agg(
+                F.sum("c").alias("bc"), F.first("start").alias("start"), *[F.first(f).alias(f) for f in facts]
+            )
+        upto = Window.partitionBy(*by, "above").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = (F.col("start") + F.sum("bc").over(upto) - F.col("bc")).alias("before")
+        opened = cells.select(*by, "cell", "bc", before, *facts).filter(hit).select(
+            *by, F.col("cell").alias("above"), F.col("before").alias("start"), *facts
+        )
+        last = shift
+    within = Window.partitionBy(*by, "above").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = _under(hist, opened, by, last).withColumn("upto", F.col("start") + F.sum("c").over(within))
     picked = [F.min(F.when(F.col("upto") > rank, F.col("v"))).alias(q) for q, rank in ranks.items()]
     mean = F.try_divide(F.first("total").cast("double"), F.first("n"))
     if digits is not None:
@@ -102,6 +127,15 @@ def distribution(
     )
 
 
+def _under(hist: DataFrame, opened: DataFrame, by: list[str], shift: int) -> DataFrame:
+    """Histogram rows in the opened cells, with what is known of these."""
+    cells = opened.select(*[F.col(c).alias(f"_{c}") for c in by], *[c for c in opened.columns if c not in by])
+    same = F.shiftright("key", shift) == F.col("above")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return hist.join(cells, same).drop(*[f"_{c}" for c in by])
+
+
 def evidence_mix(facts: DataFrame, known_codes: Sequence[str]) -> DataFrame:
     """Facts per code: ``code, facts, mapped``."""
     return facts.groupBy("code").agg(F.count(F.lit(1)).alias("facts")).withColumn(

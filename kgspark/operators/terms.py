@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from kgspark.functions.text import BLANKS, model_term
 
 LOCAL_NAME = "[A-Za-z_][A-Za-z_0-9]*"
+# A prefix label: what a declaration can bind, the empty label included.
+LABEL = r"[^\s:<>\"'()\[\]{},;^@]*"
 
 
 def _start():
@@ -62,16 +64,25 @@ def emitted_terms(lines: DataFrame, base: str) -> DataFrame:
     labels in the middle of a longer name.
     """
     body = lines.filter(~_start().startswith("@prefix") & ~_start().startswith("#"))
-    full = F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1)
-    bound = body.join(file_prefixes(lines, base), "file", "left")
-    pattern = F.concat(F.lit(r"(?<![:\w#-])\Q"), F.col("label"), F.lit(rf"\E:({LOCAL_NAME})"))
-    prefixed = F.when(
-        F.col("label").isNotNull(), F.regexp_extract_all(F.col("line"), pattern, F.lit(1))
-    ).otherwise(F.array().cast("array<string>"))
+    full = F.transform(
+        F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1),
+        lambda term: F.struct(F.lit(None).cast("string").alias("label"), term.alias("term")),
+    )
+    prefixed = F.transform(
+        F.regexp_extract_all("line", F.lit(rf"(?<![:\w#-])({LABEL}:{LOCAL_NAME})"), 1),
+        lambda name: F.struct(
+            F.substring_index(name, ":", 1).alias("label"), F.substring_index(name, ":", -1).alias("term")
+        ),
+    )
+    # The text itself is never shuffled: only counts per file, label and term are.
+    counted = (
+        body.select("file", F.inline(F.concat(full, prefixed)))
+        .groupBy("file", "label", "term").agg(F.count(F.lit(1)).alias("uses"))
+    )
+    bound = file_prefixes(lines, base).select("file", F.col("label").alias("own"))
     return (
-        bound.select(F.explode(F.concat(full, prefixed)).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("uses"))
+        counted.join(bound, "file", "left").filter(F.col("label").isNull() | (F.col("label") == F.col("own")))
+        .groupBy("term").agg(F.sum("uses").alias("uses"))
     )
 
 

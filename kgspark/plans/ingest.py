@@ -6,8 +6,9 @@ the report is written only after the checks have passed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,22 +17,24 @@ from kgspark.errors import IngestError
 from kgspark.functions.text import trim_blanks
 from kgspark.operators import resolve as R
 from kgspark.operators.diff import label_conflicts
-from kgspark.operators.quads import GraphVocabulary, as_set, statements_per_part
+from kgspark.operators.quads import GraphVocabulary, matches_metadata, part_counts
 from kgspark.operators.rules import (
-    ColumnRule, LayoutSpec, column_examples, header_matches, layout_report, map_codes, verify_layout,
+    ColumnRule, LayoutSpec, column_examples, header_faults, header_matches, layout_report, map_codes, watch_layout,
 )
 from kgspark.operators.scope import in_scope, off_scope, scope_edges, scope_filter, watch_names
-from kgspark.operators.stats import value_histogram
-from kgspark.operators.terms import term_usage
+from kgspark.operators.stats import field_counts, seeded_sample, value_histogram
+from kgspark.operators.terms import term_usage, undefined_terms
 from kgspark.plans import checks as C
 from kgspark.plans.describe import characteristics
 from kgspark.plans.release import Release
 from kgspark.session import any_row, sample_text, write_shared
+from kgspark.sources.manifests import read_manifest
 from kgspark.sources.releases import (
-    graph_name, read_release_json, read_releases, release_metadata, release_row, replace_release, write_metadata,
+    graph_name, read_metadata, read_release_json, read_releases, release_metadata, release_row, replace_release,
+    write_metadata,
 )
 from kgspark.sources.tsv import (
-    first_lines, read_keyed_tsv, read_strict_tsv, write_result, write_unresolved_report,
+    file_heads, read_keyed_tsv, read_strict_tsv, write_result, write_unresolved_report,
 )
 from kgspark.vocab import EVIDENCE_TERM, SPECIES_TAXON
 
@@ -94,8 +97,13 @@ class Settings:
     infix: str = "R-HSA-"
     model_base: str = "https://example.org/model#"
     expected_nodes: int | None = None
-    statements: tuple[int, int] = (1_000_000, 4_000_000)
+    ceiling: int | None = None
+    statements: tuple[int, int] | None = None
     spot: Mapping | None = None
+    other_members: str | None = None  # another source's sets, a table of key and member
+    sample: int | None = None  # sets compared with it, all unless given
+    seed: int = 0
+    manifest: str | None = None  # manifest of the source files, for the report
     vocabulary: GraphVocabulary = field(default_factory=GraphVocabulary)
 
     @property
@@ -130,13 +138,13 @@ def build_nodes(pathways: DataFrame, settings: Settings) -> DataFrame:
 
 
 def build_facts(
-    associations: DataFrame, nodes: DataFrame, aliases: DataFrame, settings: Settings, keep=None
+    associations: DataFrame, nodes: DataFrame, aliases: DataFrame, settings: Settings, keep=None, verify=None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Facts ``gene, pathway, code, accession``, the folded rows, the unresolved fraction.
 
     ``associations`` is ``accession, pathway, code, species``, all text. The
-    source is read once: names are checked while the folded rows are written,
-    and everything after that reads the folded rows.
+    source is read once: names and layout are checked while the folded rows are
+    written, and everything after that reads the folded rows.
     """
     keep = keep or (lambda _name, df: write_shared(df))
     watched, verify_names = watch_names(associations, "species", settings.species)
@@ -144,6 +152,8 @@ def build_facts(
         *[trim_blanks(F.col(c).cast("string")).alias(c) for c in ("accession", "pathway", "code")]
     )
     folded = keep("rows", R.collapse(kept))
+    if verify:
+        verify()
     verify_names()
     scoped = in_scope(folded, "pathway", nodes)
     mapped = map_codes(scoped, "code", settings.evidence, "term", strict=True)
@@ -174,25 +184,32 @@ def build_genes(facts: DataFrame, dictionary: DataFrame, settings: Settings) ->
 
 def build_release(
     pathways: DataFrame, relations: DataFrame, associations: DataFrame, crosswalk: DataFrame,
-    dictionary: DataFrame, settings: Settings, store=None,
+    dictionary: DataFrame, settings: Settings, store=None, verify: Mapping | None = None,
 ) -> Built:
     """All tables of a release from parsed sources.
 
     Sources: ``id, label, species``; ``child, parent``; ``accession, pathway,
     code, species``; ``pathway, term``; ``id, symbol, aliases``. ``store(name,
     df)`` writes a table and returns it as read back: both shapes derive from
-    one stored fact table.
+    one stored fact table. ``verify`` has a call per source that raises if its
+    layout was broken; it is made once the source has been read.
     """
     keep = store or (lambda _name, df: write_shared(df))
+    verified = lambda source: verify[source]() if verify else None
     nodes = keep("node", build_nodes(pathways, settings))
+    verified("pathways")
     twice = label_conflicts(nodes)
     if any_row(twice):
         raise IngestError(f"conflicting labels for {sample_text(twice, 'id')}")
     if not any_row(nodes):
         raise IngestError(f"no node is in scope {settings.scope!r}")
-    hierarchy = keep("hierarchy", scope_edges(relations.select("child", "parent").distinct(), nodes))
+    pairs = keep("relations", relations.select("child", "parent").distinct())
+    verified("relations")
+    hierarchy = keep("hierarchy", scope_edges(pairs, nodes))
     aliases = R.alias_map(dictionary)
-    facts, scoped, fraction = build_facts(associations, nodes, aliases, settings, keep)
+    facts, scoped, fraction = build_facts(
+        associations, nodes, aliases, settings, keep, verify=lambda: verified("associations")
+    )
     facts = keep("facts", facts)
     release = Release(
         node=nodes, hierarchy=hierarchy,
@@ -201,22 +218,31 @@ def build_release(
         participation=keep("participation", R.participation_edges(facts)),
         crosswalk=keep("crosswalk", in_scope(crosswalk.select("pathway", "term").distinct(), "pathway", nodes)),
     )
+    verified("crosswalk")
     if not any_row(release.crosswalk):
         raise IngestError("no crosswalk row is in scope")
     return Built(release, scoped, aliases, fraction)
 
 
-def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Verified and parsed sources; a wrong layout is an error before any work."""
-    parsed = {}
+def parse_source(spark: SparkSession, path: str, spec: LayoutSpec) -> DataFrame:
+    """Rows of one source with ``n_fields``; a wrong header in any of its files is an error."""
+    faults = header_faults(file_heads(spark, path), spec).limit(1).collect()
+    if faults:
+        problems = header_matches(faults[0]["head"].split("\t"), spec)
+        raise IngestError(f"{faults[0]['file']}: {'; '.join(problems)}")
+    must = "_All_Levels" if spec.name == "associations" else None
+    return read_strict_tsv(spark, path, spec.columns, spec.has_header, must, strict=False)
+
+
+def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict]:
+    """Parsed sources, and for each a call that raises if its layout was broken.
+
+    Layouts are observed while the sources are read for the first and only time,
+    so the call is made after that.
+    """
+    parsed, verify = {}, {}
     for name, spec in LAYOUTS.items():
-        for file, head in first_lines(spark, spark.read.text(paths[name]).inputFiles()).items():
-            problems = header_matches(head.split("\t"), spec)
-            if problems:
-                raise IngestError(f"{file}: {'; '.join(problems)}")
-        must = "_All_Levels" if name == "associations" else None
-        rows = read_strict_tsv(spark, paths[name], spec.columns, spec.has_header, must, strict=False)
-        verify_layout(rows, spec, strict=True)
+        rows, verify[name] = watch_layout(parse_source(spark, paths[name], spec), spec)
         parsed[name] = rows.drop("n_fields")
     dictionary = read_keyed_tsv(spark, paths["dictionary"], ["hgnc_id", "symbol", "uniprot_ids"])
     return {
@@ -232,7 +258,7 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Dat
             trim_blanks(F.col("Identifier")).alias("pathway"), local_id("GO_Term").alias("term")
         ),
         "dictionary": dictionary.select(local_id("hgnc_id").alias("id"), "symbol", F.col("uniprot_ids").alias("aliases")),
-    }
+    }, verify
 
 
 def run(
@@ -249,14 +275,20 @@ def run(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    built = build_release(**read_sources(spark, paths), settings=settings, store=store)
+    sources, verify = read_sources(spark, paths)
+    reports: dict[str, DataFrame] = {}
+    noted = {name: (lambda name=name: reports.setdefault(name, verify[name]())) for name in verify}
+    built = build_release(**sources, settings=settings, store=store, verify=noted)
+    store("layout", reduce(DataFrame.unionByName, [df.withColumn("source", F.lit(n)) for n, df in reports.items()]))
     write_unresolved_report(R.unresolved(built.collapsed, built.aliases), f"{tables}/unresolved")
     R.require_resolved(built.fraction, settings.max_unresolved)
 
     emitted = built.release.quads(graph, settings.source, settings.vocabulary)
-    parts = store("statements_per_part", statements_per_part(emitted))
-    replace_release(emitted, f"{workdir}/quads", graph)
-    total = parts.agg(F.sum("statements")).collect()[0][0]
+    watched, counted = part_counts(emitted)
+    total = replace_release(watched, f"{workdir}/quads", graph)
+    parts = store("statements_per_part", counted())
+    stated = parts.agg(F.sum("statements")).collect()[0][0]
+    store("metadata_check", matches_metadata(spark.createDataFrame([(total,)], "statements BIGINT"), stated))
     if release_json:
         described = read_release_json(spark, release_json).select(
             F.lit(graph).alias("graph"), "version", "doi", "doi_url", "publication_date", "license_id",
@@ -270,20 +302,27 @@ def run(
 
     loaded = read_releases(spark, f"{workdir}/quads").filter(F.col("graph") == graph)
     prefix = settings.vocabulary.participates_in.split(":", 1)[0] + ":"
-    results = store("checks", run_checks(built.release, as_set(loaded), settings, defined, prefix))
+    usage = store("term_usage", term_usage(loaded, prefix))
+    results = store("checks", run_checks(built.release, loaded, settings, defined, usage))
+    store("undefined_terms", undefined_terms(usage, defined))
     if not C.accepted(results):
         return results
+    sourced = loaded.filter(F.col("p") == settings.vocabulary.source_slot).groupBy("o").agg(F.count(F.lit(1)).alias("n"))
     report = characteristics(
-        built.release, codes=list(settings.evidence.values()), source=settings.source, statements=parts
+        built.release, codes=list(settings.evidence.values()), source=settings.source, statements=parts,
+        knowledge_sources=sourced.select(F.col("o").alias("source"), "n"),
+        metadata=read_metadata(spark, f"{workdir}/metadata").filter(F.col("s") == graph),
+        manifest=read_manifest(spark, settings.manifest) if settings.manifest else None,
     )
     write_result(report, f"{tables}/characteristics", "json")
     return results
 
 
 def layout_markdown(parsed: DataFrame, spec: LayoutSpec) -> str:
-    """Layout section of a source: rows, rules, an example per column, value counts of closed columns.
+    """Layout section of a source: rows, rules and an example per column.
 
-    Reads aggregates only: one row per rule, column and listed value.
+    Reads aggregates only: one row per rule and column. Value counts may be many;
+    they are a table of their own, :func:`layout_values`.
     """
     report = layout_report(parsed, spec).collect()
     lines = [f"### `{spec.name}`", "", f"- rows: **{report[0]['rows']}**",
@@ -293,12 +332,6 @@ def layout_markdown(parsed: DataFrame, spec: LayoutSpec) -> str:
     lines += ["", "| Col | Name | Example |", "|---|---|---|"]
     examples = {r["column"]: r["example"] for r in column_examples(parsed, spec).collect()}
     lines += [f"| {i} | `{c}` | `{(examples[c] or '')}` |" for i, c in enumerate(spec.columns, start=1)]
-    closed = [r.column for r in spec.rules if r.kind == "enum"]
-    if closed:
-        counted = value_histogram(parsed, closed).orderBy("column", F.desc("rows"), "value")
-        allowed = sum(len(r.arg) for r in spec.rules if r.kind == "enum")
-        lines.append("")
-        lines += [f"- {r['column']} `{r['value']}`: {r['rows']}" for r in counted.limit(allowed).collect()]
     broken = [r for r in report if r["violations"]]
     if broken:
         lines += ["", "**Violations**"]
@@ -306,23 +339,36 @@ def layout_markdown(parsed: DataFrame, spec: LayoutSpec) -> str:
     return "\n".join(lines) + "\n"
 
 
+def layout_values(parsed: DataFrame, spec: LayoutSpec) -> DataFrame:
+    """Rows per value of the closed columns, and per number of fields: ``column, value, rows``."""
+    closed = [r.column for r in spec.rules if r.kind == "enum"]
+    counted = field_counts(parsed)
+    return counted.unionByName(value_histogram(parsed, closed)) if closed else counted
+
+
+def member_tables(release: Release, settings: Settings) -> tuple[DataFrame, ...] | None:
+    """Our sets, another source's and the seeded sample of keys to compare; None without another source."""
+    if settings.other_members is None:
+        return None
+    ours = release.participation.select(F.col("pathway").alias("key"), F.col("gene").alias("member"))
+    theirs = release.node.sparkSession.read.parquet(settings.other_members).select("key", "member")
+    if settings.sample is None:
+        return ours, theirs
+    keys = ours.select("key").unionByName(theirs.select("key"))
+    return ours, theirs, seeded_sample(keys, "key", settings.sample, settings.seed)
+
+
 def run_checks(
-    release: Release, quads: DataFrame, settings: Settings, defined: DataFrame, term_base: str
+    release: Release, quads: DataFrame, settings: Settings, defined: DataFrame, usage: DataFrame
 ) -> DataFrame:
-    """The acceptance suite of a built release; without a spot gene that check is left out."""
-    usage = term_usage(quads, term_base)
+    """The acceptance suite of a built and stored release; without a spot gene that check is left out."""
     common = dict(
         taxon=settings.taxon, infix=settings.infix, evidence=list(settings.evidence.values()),
         expected_nodes=settings.expected_nodes, usage=usage, defined=defined, statements=settings.statements,
+        ceiling=settings.ceiling, members=member_tables(release, settings), known_set=True,
     )
     spot = settings.spot
     results = C.acceptance(
         release, quads, spot=spot or dict(gene="", must_have="", folded=["\0"], exact=[]), **common
     )
     return results if spot else results.filter(~F.col("check").startswith("8."))
-
-
-def report_paths(workdir: str, version: str) -> Sequence[str]:
-    """Where a release's tables are."""
-    base = f"{workdir.rstrip('/')}/release={graph_name(version).rsplit(':', 1)[-1]}"
-    return [f"{base}/{n}" for n in ("unresolved", "checks", "characteristics", "statements_per_part")]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.functions.text import SYMBOL_PATTERN
-from kgspark.plans.release import Release
+from kgspark.plans.release import TABLES, Release
 from kgspark.session import literal_table
 from kgspark.vocab import GENE_PANELS
 
@@ -107,10 +107,23 @@ def terms_for_gene(release: Release, symbol: str) -> DataFrame:
     return release.crosswalk.join(mine, "pathway", "left_semi").select("term").distinct().orderBy("term")
 
 
-def raw_sql(release: Release, text: str) -> DataFrame:
-    """A caller's own Spark SQL over the release's tables, registered as views."""
-    release.register()
-    return release.node.sparkSession.sql(text)
+def raw_sql(release: Release, text: str, **others: Release) -> DataFrame:
+    """A caller's own Spark SQL over the release's tables ``node``, ``facts`` and so on.
+
+    Further releases are given by name: ``v96=release`` makes ``v96_node`` and so
+    on. The views live while the text is analysed; views of these names that the
+    session had before are not kept.
+    """
+    spark = release.node.sparkSession
+    named = {"": release, **{f"{name}_": r for name, r in others.items()}}
+    for prefix, each in named.items():
+        each.register(prefix)
+    try:
+        return spark.sql(text)
+    finally:
+        for prefix in named:
+            for name in TABLES:
+                spark.catalog.dropTempView(prefix + name)
 
 
 # Query names and the keyword arguments each of them takes.

@@ -11,6 +11,9 @@ from kgspark.operators.resolve import participation_edges
 from kgspark.session import write_shared
 
 
+TABLES = ("node", "hierarchy", "gene", "facts", "participation", "crosswalk")
+
+
 @dataclass(frozen=True)
 class Release:
     """``node`` (id, label, taxon), ``hierarchy`` (child, parent), ``gene`` (id,
@@ -44,5 +47,5 @@ class Release:
 
     def register(self, prefix: str = "") -> None:
         """Register every table as a temporary view."""
-        for name in ("node", "hierarchy", "gene", "facts", "participation", "crosswalk"):
+        for name in TABLES:
             getattr(self, name).createOrReplaceTempView(prefix + name)

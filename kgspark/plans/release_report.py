@@ -11,9 +11,6 @@ from kgspark.operators.diff import diff_counts, release_diff, release_name, reti
 from kgspark.session import literal_table
 from kgspark.sources.releases import append_retired
 
-# Relabelled rows the report shows; the diff itself holds all of them.
-SHOWN_RELABELLED = 200
-
 
 def _lines(df: DataFrame, block: int, key: Column, line: Column) -> DataFrame:
     return df.select(F.lit(block).alias("block"), key.cast("string").alias("key"), line.alias("line"))
@@ -22,7 +19,7 @@ def _lines(df: DataFrame, block: int, key: Column, line: Column) -> DataFrame:
 def diff_report(diff: DataFrame, previous: str, current: str, retired: DataFrame) -> DataFrame:
     """Markdown lines ``block, key, line``, to be written in that order.
 
-    Every retired node has a line, so the report stays a table.
+    Every retired and every relabelled node has a line, so the report stays a table.
     """
     spark = diff.sparkSession
     head = [f"# {release_name(previous)} -> {release_name(current)} diff", ""]
@@ -36,7 +33,7 @@ def diff_report(diff: DataFrame, previous: str, current: str, retired: DataFrame
 
     code = lambda c: F.concat(F.lit("`"), F.col(c).cast("string"), F.lit("`"))
     row = lambda *cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-    renamed = diff.filter(F.col("change") == "relabelled").orderBy("id").limit(SHOWN_RELABELLED)
+    renamed = diff.filter(F.col("change") == "relabelled")
     return reduce(DataFrame.unionByName, [
         fixed(0, head),
         _lines(counts, 1, F.col("change"), F.concat(F.lit("- "), F.col("change"), F.lit(": **"), F.col("nodes"), F.lit("**"))),

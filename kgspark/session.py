@@ -42,15 +42,20 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     ensure_checkpoint_dir(df.sparkSession)
     seen = Observation()
     stored = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return stored, observed_rows(seen)
+    rows = observed(seen, "rows")
+    return stored, stored.count() if rows is None else int(rows)
 
 
-def observed_rows(seen: Observation) -> int:
-    """``rows`` of an observation whose action is done; 0 if the plan was folded away as empty."""
+def observed(seen: Observation, name: str):
+    """A metric of an observation whose action is done; None if nothing was observed.
+
+    A plan that is folded away as empty is never observed, but that is not the only reason for a missing metric: the
+    caller looks at its stored rows instead of guessing.
+    """
     try:
-        return int(seen.get["rows"])
+        return seen.get[name]
     except Py4JJavaError:
-        return 0
+        return None
 
 
 def write_shared(df: DataFrame) -> DataFrame:
@@ -65,6 +70,16 @@ def write_shared(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_shared(stored: DataFrame) -> None:
+    """Remove the folders of tables of :func:`write_shared` once nothing reads them any more."""
+    spark = stored.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if where.getParent().toUri().getPath() == spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base).toUri().getPath():
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A table of rows given by the caller, for use as a join side."""
     return spark.createDataFrame(list(rows), schema)

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,17 +16,33 @@ from kgspark.functions.text import BLANKS, trim_blanks
 from kgspark.session import any_row, sample_text
 
 
-def file_manifest(spark: SparkSession, directory: str, origin: str = "") -> DataFrame:
+# Bytes hashed at a time.
+CHUNK = 8 << 20
+
+
+def file_manifest(spark: SparkSession, directory: str, origin: str = "", chunk: int = CHUNK) -> DataFrame:
     """``filename, bytes, md5, retrieved_from`` of the files in a folder.
 
-    A checksum needs its file whole, so a file is one row: at most 2 GB each.
-    Larger sources come as part files.
+    Spark lists the files and deals them out, a task reads one after the other in
+    chunks, so a file of any size takes little memory.
     """
-    files = spark.read.format("binaryFile").load(directory)
+    files = spark.read.format("binaryFile").load(directory).select("path", "length")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for path in batch.column("path").to_pylist():
+                store, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?!//)", "file:///", path))
+                digest = hashlib.md5()
+                with store.open_input_stream(name) as stream:
+                    while block := stream.read(chunk):
+                        digest.update(block)
+                sums.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string())], names=["path", "length", "md5"])
+
     name = F.substring_index("path", "/", -1)
-    return files.select(
-        name.alias("filename"), F.col("length").alias("bytes"), F.md5("content").alias("md5"),
-        F.concat(F.lit(origin), name).alias("retrieved_from"),
+    return files.mapInArrow(hashed, "path STRING, length BIGINT, md5 STRING").select(
+        name.alias("filename"), F.col("length").alias("bytes"), "md5", F.concat(F.lit(origin), name).alias("retrieved_from")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kgspark.errors import IngestError
 from kgspark.functions.text import licence_url, pad_month
 from kgspark.operators.quads import QUAD_COLUMNS, _iri, _text, _typed
-from kgspark.session import literal_table, observed_rows
+from kgspark.session import ensure_checkpoint_dir, literal_table, observed
 
 
 def graph_name(version: str, base: str = "urn:kg:release:v") -> str:
@@ -35,22 +35,26 @@ def replace_release(quads: DataFrame, path: str, graph: str) -> int:
     """Replace one release graph in a table and leave all others; return its statements.
 
     Only the partition folder of the release is overwritten. Rows are sorted by
-    predicate within files, so a pattern on a predicate skips row groups. A
-    release without statements removes its folder.
+    predicate within files, so a pattern on a predicate skips row groups; the
+    order starts with the partition column, as the writer wants it, so nothing
+    sorts them again. A release without statements removes its folder, once it
+    is certain that there are none.
     """
     seen = Observation()
     rows = quads.filter(F.col("graph") == graph).select(*QUAD_COLUMNS).distinct()
     (
-        rows.sortWithinPartitions("p", "s").observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.sortWithinPartitions("graph", "p", "s").observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("graph").parquet(path)
     )
-    written = observed_rows(seen)
+    written = observed(seen, "rows")
+    if written is None:
+        written = 0 if rows.isEmpty() else read_releases(quads.sparkSession, path).filter(F.col("graph") == graph).count()
     if written == 0:
         where, fs = _path_of(quads.sparkSession, f"{path}/graph={_escape(graph)}")
         if fs.exists(where):
             fs.delete(where, True)
-    return written
+    return int(written)
 
 
 # Characters that a partition folder name spells as %XX.
@@ -126,6 +130,7 @@ def write_metadata(spark: SparkSession, new: DataFrame, path: str, graph: str) -
         stored = read_metadata(spark, path)
         touched = stored.join(others.select("s").distinct(), "s", "left_semi")
         # The read must not depend on files the write replaces.
+        ensure_checkpoint_dir(spark)
         others = others.unionByName(touched).distinct().checkpoint(eager=True)
     own.unionByName(others).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "s"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kgspark.errors import PublishError
 from kgspark.functions.text import PORTAL_PATTERN, RELEASE_TAG_PATTERN, SNAPSHOT_PATTERN, length_prefixed, md5_number
-from kgspark.session import literal_table
+from kgspark.session import literal_table, remove_shared, write_shared
 from kgspark.sources.releases import path_exists
 
 MARKER = "_manifest"
@@ -45,17 +45,20 @@ def publish_snapshot(df: DataFrame, root: str, portal: str, snapshot: str, allow
 
     A target with content is refused unless allowed; content equal to what is
     already published there is always refused, since a reader would skip it.
+    The input is evaluated once, into the checkpoint folder: what is compared,
+    written and marked are the same rows, even if the input is not stable.
     """
     spark = df.sparkSession
     target = snapshot_path(root, portal, snapshot)
+    if path_exists(spark, target) and not allow_existing:
+        raise PublishError(f"{target} is not empty")
+    df = write_shared(df)
     mark = snapshot_fingerprint(df).collect()[0]
     marker_path = f"{target}/{MARKER}"
     if path_exists(spark, marker_path):
         old = spark.read.schema(MARKER_SCHEMA).json(marker_path).collect()
         if old and (old[0]["rows"], old[0]["folded"], old[0]["mixed"]) == (mark["rows"], mark["folded"], mark["mixed"]):
             raise PublishError(f"{target} already holds identical content")
-    if path_exists(spark, target) and not allow_existing:
-        raise PublishError(f"{target} is not empty")
     if mark["rows"] == 0:
         raise PublishError("nothing to publish")
     _remove(spark, marker_path)
@@ -63,6 +66,7 @@ def publish_snapshot(df: DataFrame, root: str, portal: str, snapshot: str, allow
     literal_table(
         spark, [(portal, snapshot, mark["rows"], mark["folded"], mark["mixed"])], MARKER_SCHEMA
     ).coalesce(1).write.mode("overwrite").json(marker_path)
+    remove_shared(df)
     return target
 
 

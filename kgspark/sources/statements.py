@@ -13,8 +13,9 @@ from kgspark.session import any_row, sample_text
 from kgspark.vocab import NAMESPACES
 
 RDF_TYPE = NAMESPACES["rdf"] + "type"
-# One statement per line: subject, predicate, object, optional graph.
-LINE = r'^(\S+) (\S+) ("(?:[^"\\]|\\.)*"(?:\^\^\S+)?|[^"\s]\S*)(?: (<[^>]*>))? \.$'
+# One statement per line: subject, predicate, object, optional graph. The body of a literal is
+# matched without backtracking, so that its length does not matter.
+LINE = r'^(\S+) (\S+) ("(?:[^"\\]|\\.)*+"(?:\^\^\S+)?|[^"\s]\S*)(?: (<[^>]*>))? \.$'
 
 
 def _term(col: Column, prefixes: Mapping[str, str]) -> Column:
@@ -57,12 +58,17 @@ def write_nquads(quads: DataFrame, path: str, prefixes: Mapping[str, str] = NAME
 
 
 def read_statements(spark: SparkSession, path: str) -> DataFrame:
-    """``graph, s, p, o, o_kind, o_datatype`` of statement text; comments are skipped.
+    """:func:`parse_statements` of text files."""
+    return parse_statements(spark.read.text(path))
+
+
+def parse_statements(lines: DataFrame) -> DataFrame:
+    """``graph, s, p, o, o_kind, o_datatype`` of statement lines ``value``; comments are skipped.
 
     IRIs come without brackets, literals unquoted and unescaped. A line that is
     no statement gives a row of NULLs for the caller to count.
     """
-    lines = spark.read.text(path).filter(
+    lines = lines.filter(
         (F.length(F.trim("value")) > 0) & ~F.ltrim("value").startswith("#")
     )
     def part(i: int) -> Column:
@@ -70,7 +76,7 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
 
     parts = lines.select(part(1).alias("s"), part(2).alias("p"), part(3).alias("o"), part(4).alias("graph"))
     is_literal = F.col("o").startswith('"')
-    body = F.regexp_extract("o", r'^"((?:[^"\\]|\\.)*)"', 1)
+    body = F.regexp_extract("o", r'^"((?:[^"\\]|\\.)*+)"', 1)
     datatype = F.nullif(F.regexp_extract("o", r'"\^\^<([^>]*)>$', 1), F.lit(""))
     bare = lambda c: F.btrim(F.col(c), F.lit("<>"))
     return parts.select(

@@ -29,13 +29,31 @@ def split_lines(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def first_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
-    """First line of each file; each peek reads the head of one file only."""
-    heads = {}
-    for file in files:
-        row = spark.read.text(file).limit(1).collect()
-        heads[file] = row[0]["value"].rstrip("\r") if row else ""
-    return heads
+def first_lines(lines: DataFrame) -> DataFrame:
+    """First line of each file, ``file, head``, from ``file, position, value``."""
+    return lines.groupBy("file").agg(F.min_by(F.rtrim(F.col("value"), F.lit("\r")), F.col("position")).alias("head"))
+
+
+def file_heads(spark: SparkSession, path: str) -> DataFrame:
+    """First line of each file below a path, in one job for any number of files."""
+    lines = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0)
+    return first_lines(lines.select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position"), "value"
+    ))
+
+
+def whole_lines(spark: SparkSession, path: str, has_header: bool) -> DataFrame:
+    """``value`` of each line of text files; with ``has_header`` without the first line of each file.
+
+    The delimited reader knows where a file starts, so it drops that line and no
+    other. Its delimiter is a control character; should a line hold one, the
+    reader hands over the line as it is.
+    """
+    if not has_header:
+        return spark.read.text(path)
+    read = spark.read.schema("value STRING, broken STRING").option("header", True).option("sep", "\x01").option(
+        "quote", "").option("columnNameOfCorruptRecord", "broken")
+    return read.csv(path).select(F.coalesce("broken", "value").alias("value"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -63,23 +81,16 @@ def read_strict_tsv(
     declared. ``strict`` raises at the first line of wrong arity; without it the
     rows come with ``n_fields`` for :func:`arity_violations`.
     """
-    lines = spark.read.text(path)
-    files = lines.inputFiles()
+    files = spark.read.text(path).inputFiles()
     if name_must_contain:
         wrong = [f for f in files if name_must_contain not in f.rsplit("/", 1)[-1]]
         if wrong:
             raise LayoutError(f"file name must contain {name_must_contain!r}: {wrong[0]}")
-    heads = first_lines(spark, files)
-    for file, head in heads.items():
-        is_header = head.split("\t", 1)[0].strip().lower() in HEADER_WORDS
-        if is_header != has_header:
-            raise LayoutError(f"{file}: header expected: {has_header}, first line is {head!r}")
-    if has_header:
-        # Only a file's first block can hold its header line.
-        start = F.col("_metadata.file_block_start") == 0
-        headers = sorted({h for h in heads.values()})
-        lines = lines.filter(~(start & F.rtrim(F.col("value"), F.lit("\r")).isin(*headers)))
-    parsed = split_lines(lines.select("value"), columns)
+    is_header = F.lower(trim_blanks(F.substring_index("head", "\t", 1))).isin(*HEADER_WORDS)
+    wrong = file_heads(spark, path).filter(is_header != F.lit(has_header)).limit(1).collect()
+    if wrong:
+        raise LayoutError(f"{wrong[0]['file']}: header expected: {has_header}, first line is {wrong[0]['head']!r}")
+    parsed = split_lines(whole_lines(spark, path, has_header), columns)
     if not strict:
         return parsed
     bad = arity_violations(parsed, len(columns))
@@ -92,13 +103,14 @@ def read_strict_tsv(
 def read_keyed_tsv(spark: SparkSession, path: str, required: Sequence[str], key: str | None = None) -> DataFrame:
     """A tab-separated source with a header and standard quoting, by column name.
 
-    A missing column is an error. Rows with a blank ``key`` (the first required
-    column unless given) are skipped; other columns are not read.
+    A missing column is an error, and so is a file whose header differs from the
+    first one's, when it is read. A quoted field may hold line breaks. Rows with a
+    blank ``key`` (the first required column unless given) are skipped.
     """
     key = key or required[0]
     df = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option(
-        "multiLine", False
-    ).csv(path)
+        "multiLine", True
+    ).option("enforceSchema", False).csv(path)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise LayoutError(f"{path} has no column {', '.join(missing)}")

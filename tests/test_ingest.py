@@ -102,6 +102,61 @@ def test_unresolved_report_and_characteristics(spark, done):
     assert report[("distribution", "depth_below_root", "max")] == 2
     assert report[("participation", "matches", "")] == 1
     assert report[("statements", "part", "associations")] == 58
+    labels = {(r["section"], r["metric"], r["item"]): r["label"] for r in spark.read.json(f"{work}/release=v97/characteristics").collect()}
+    assert labels[("hierarchy", "root", "R-HSA-1")] == "Signal by RAS" and labels[("gene_sets", "hub", "1")] == "G1"
+    assert labels[("release", "pav:version", "")] == "V97"
+    assert report[("associations", "knowledge_source", "infores:source")] == 7
+    layout = spark.read.parquet(f"{work}/release=v97/layout")
+    assert {r["source"] for r in layout.collect()} == {"pathways", "relations", "associations", "crosswalk"}
+    assert layout.filter("violations > 0").count() == 0
+    check = spark.read.parquet(f"{work}/release=v97/metadata_check").collect()[0]
+    assert check["matches"] and check["statements"] == 75
+    undefined = spark.read.parquet(f"{work}/release=v97/undefined_terms")
+    assert undefined.columns == ["term", "uses"]
+
+
+def test_members_of_another_source_are_sampled(spark, defined, tmp_path):
+    theirs = spark.createDataFrame([("R-HSA-1", "1"), ("R-HSA-2", "9")], "key STRING, member STRING")
+    theirs.write.parquet(str(tmp_path / "other"))
+    chosen = settings(other_members=str(tmp_path / "other"), sample=2, seed=5, ceiling=2)
+    results = {r["check"].split(".")[0]: r for r in I.run(spark, sources(tmp_path), str(tmp_path / "w"), chosen, defined).collect()}
+    assert results["10"]["status"] == "WARN" and results["10"]["detail"].endswith("of 2 differ")
+    assert results["4"]["status"] == "FAIL" and "above 2" in results["4"]["detail"]
+
+
+def test_the_large_source_is_read_once(spark, defined, tmp_path):
+    """Rows read from the association file: its own number, plus the first block for the header check."""
+    paths = sources(tmp_path, associations=ASSOCIATIONS * 200)
+    plans = []
+    inner = I.watch_layout
+
+    def watched(parsed, spec):
+        if spec.name == "associations":
+            counter = spark.sparkContext.accumulator(0)
+            plans.append(counter)
+
+            def count(batches):
+                for batch in batches:
+                    counter.add(batch.num_rows)
+                    yield batch
+
+            parsed = parsed.mapInArrow(count, parsed.schema)
+        return inner(parsed, spec)
+
+    I.watch_layout = watched
+    try:
+        I.run(spark, paths, str(tmp_path / "w"), settings(max_unresolved=0.5), defined)
+    finally:
+        I.watch_layout = inner
+    assert plans[0].value == len(ASSOCIATIONS) * 200
+
+
+def test_the_graph_is_shuffled_once(spark, done):
+    """Writing a release needs one exchange of its statements; counting the stored set needs none of them."""
+    _, work, _ = done
+    loaded = read_releases(spark, f"{work}/quads")
+    plan = I.C.chk_total(loaded, 1, 10**9, known_set=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" in plan
 
 
 def test_next_release_leaves_the_first(spark, done, defined, tmp_path):
@@ -145,7 +200,21 @@ def test_layout_section(spark, tmp_path):
     parsed = I.read_strict_tsv(spark, paths["associations"], spec.columns, False, strict=False)
     text = I.layout_markdown(parsed, spec)
     assert "- rows: **17**" in text and "| 5 | `evidence_code` | `IEA` |" in text
-    assert "- species_name `Homo sapiens`: 16" in text and "- uniprot_accession:pattern: 1, first `P1`" in text
+    assert "- uniprot_accession:pattern: 1, first `P1`" in text
+    values = {(r["column"], r["value"]): r["rows"] for r in I.layout_values(parsed, spec).collect()}
+    assert values[("species_name", HUMAN)] == 16 and values[("number of fields", "6")] == 17
+    assert values[("evidence_code", "TAS")] + values[("evidence_code", "IEA")] == 17
+
+
+def test_undeclared_values_hide_no_others(spark):
+    """However many values a closed column holds, each is counted."""
+    spec = I.LAYOUTS["associations"]
+    rows = spark.range(500).selectExpr(
+        "'P00001' AS uniprot_accession", "'R-HSA-1' AS pathway_stable_id", "'https://x' AS pathway_browser_url",
+        "'e' AS event_name", "concat('X', id) AS evidence_code", "'Homo sapiens' AS species_name", "6 AS n_fields",
+    )
+    values = I.layout_values(rows, spec)
+    assert values.count() == 500 + 1 + 1 and values.filter("column = 'species_name'").collect()[0]["rows"] == 500
 
 
 def test_codes_are_strict_without_layout_checks(spark):

@@ -226,6 +226,36 @@ def test_random_distributions_per_group(spark):
     assert len(got) == 3
 
 
+def test_distribution_of_infinite_and_missing_numbers(spark):
+    inf, nan = float("inf"), float("nan")
+    frame = lambda values: spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    got = stats.distribution(frame([1.0, 2.0, nan]), "v").collect()[0]
+    assert (got["n"], got["min"], got["p25"], got["median"]) == (3, 1.0, 1.0, 2.0)
+    assert all(math.isnan(got[k]) for k in ("mean", "p75", "p95", "max"))
+    got = stats.distribution(frame([-inf, -1.5, 0.0, 5e-324, 1.5, inf]), "v").collect()[0]
+    assert (got["min"], got["p25"], got["median"], got["p75"], got["max"]) == (-inf, -1.5, 0.0, 1.5, inf)
+
+
+def test_order_key_never_decreases(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-300, 300) for _ in range(3000)] + [2.0**k * m for k in range(-60, 60) for m in (1, 1 - 2**-53, -1)]
+    frame = spark.createDataFrame([(v,) for v in [*values, 0.0, float("inf"), float("-inf"), float("nan")]], "v DOUBLE")
+    keys = [r["k"] for r in frame.withColumn("k", stats._order_key(F.col("v"))).orderBy("v").collect()]
+    assert keys == sorted(keys)
+
+
+def test_clustered_values_are_spread(spark):
+    """250,000 values close together: exact, and no window sees more than a small part of them."""
+    df = spark.range(250_000).selectExpr("1700000000 + (id * 7919) % 250000 AS v")
+    got = stats.distribution(df, "v").collect()[0]
+    at = lambda f: 1_700_000_000 + round(f * 249_999)
+    assert (got["min"], got["p25"], got["median"], got["p75"], got["p95"], got["max"]) == (at(0), at(0.25), at(0.5), at(0.75), at(0.95), at(1))
+    keys = df.select(stats._order_key(F.col("v")).alias("k"))
+    for above, below in zip((60, *stats.LEVELS), (*stats.LEVELS, 0)):
+        cells = keys.select(F.shiftright("k", above).alias("a"), F.shiftright("k", below).alias("b")).distinct()
+        assert cells.groupBy("a").count().agg(F.max("count")).collect()[0][0] <= 1 << 17
+
+
 def test_double_distribution(spark):
     rng = random.Random(6)
     values = [rng.gauss(0, 100) for _ in range(301)] + [0.0, -0.5]
@@ -310,6 +340,10 @@ def test_release_diff(spark, tmp_path):
     write_report(report, str(tmp_path / "report"))
     text = [r["line"] for r in report.orderBy("block", "key").collect()]
     assert text[0] == "# V96 -> V97 diff" and "- retired: **1**" in text and "| `1` | a | `5` |" in text and "| `2` | b | B |" in text
+    many = spark.range(1_000).selectExpr("id", "concat('old ', id) AS label")
+    renamed = spark.range(1_000).selectExpr("id", "concat('new ', id) AS label")
+    _, lines = compare_releases(many, renamed, "v1", "v2", str(tmp_path / "h2"))
+    assert lines.filter("block = 5").count() == 1_000
     plain = diff.retired_rows(diff.release_diff(old, new), "96", "97")
     assert plain.collect()[0]["replaced_by"] is None
 
@@ -321,6 +355,10 @@ def test_counts_against_expectation(spark):
     status = lambda *a, **k: C.chk_count(nodes, *a, **k).collect()[0]["status"]
     assert status(None) == "PASS" and status(100) == "PASS" and status(105) == "PASS" and status(110) == "FAIL"
     assert status(100, ceiling=50) == "FAIL"
+    large = C.chk_count(spark.range(20_000), 20_000).collect()[0]
+    assert large["status"] == "PASS"
+    total = C.chk_total(spark.range(5)).collect()[0]
+    assert (total["status"], total["detail"]) == ("PASS", "5 statements, nothing to compare")
 
 
 def test_cardinality_counts_zero_and_two(spark):

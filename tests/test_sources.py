@@ -54,6 +54,53 @@ def test_header_of_every_file_is_dropped(spark, tmp_path):
     assert sorted(r["id"] for r in rows) == ["0", "1", "2"]
 
 
+def test_only_the_first_line_is_a_header(spark, tmp_path):
+    """A later line that equals the header is a row, and a line with a control character is kept whole."""
+    write(tmp_path / "a.txt", "Identifier\tName\n1\tx\nIdentifier\tName\n2\ty\x01z\n")
+    rows = tsv.read_strict_tsv(spark, str(tmp_path), ["id", "name"], True).collect()
+    assert sorted(tuple(r) for r in rows) == [("1", "x"), ("2", "y\x01z"), ("Identifier", "Name")]
+
+
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / f"n{n}"
+        folder.mkdir()
+        for i in range(n):
+            write(folder / f"part{i:03}.txt", f"Identifier\tName\n{i}\tx\n")
+        spark.sparkContext.setJobGroup(f"scan{n}", "scan")
+        try:
+            assert tsv.read_strict_tsv(spark, str(folder), ["id", "name"], True).count() == n
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"scan{n}"))
+
+    assert jobs(50) == jobs(3)
+
+
+def test_keyed_files_need_one_header(spark, tmp_path):
+    write(tmp_path / "a.tsv", 'k\tv\n1\t"two\nlines"\n')
+    assert [tuple(r) for r in tsv.read_keyed_tsv(spark, str(tmp_path), ["k", "v"]).collect()] == [("1", "two\nlines")]
+    write(tmp_path / "b.tsv", "v\tk\n1\t2\n")
+    with pytest.raises(Exception, match="header"):
+        tsv.read_keyed_tsv(spark, str(tmp_path), ["k", "v"]).collect()
+
+
+def test_manifest_of_a_file_larger_than_a_chunk(spark, tmp_path):
+    data = bytes(range(256)) * 1000
+    (tmp_path / "big.bin").write_bytes(data)
+    row = manifests.file_manifest(spark, str(tmp_path), chunk=1000).collect()[0]
+    assert (row["bytes"], row["md5"]) == (len(data), hashlib.md5(data).hexdigest())
+
+
+def test_publication_of_an_unstable_input(spark, tmp_path):
+    """Marker and data agree although the input differs each time it is evaluated."""
+    df = spark.range(50).select(F.col("id"), F.expr("uuid()").alias("v"))
+    snapshots.publish_snapshot(df, str(tmp_path), "nf", "2026-09-21")
+    stored = snapshots.read_snapshot(spark, str(tmp_path), "nf", "2026-09-21")
+    marker = spark.read.schema(snapshots.MARKER_SCHEMA).json(f"{tmp_path}/nf/2026-09-21/_manifest").collect()[0]
+    assert tuple(snapshots.snapshot_fingerprint(stored).collect()[0]) == (marker["rows"], marker["folded"], marker["mixed"])
+
+
 def test_keyed_scan_uses_quoting(spark, tmp_path):
     path = write(tmp_path / "d.tsv", 'hgnc_id\tname\tsymbol\tuniprot_ids\nHGNC:1\tx\t"SO""D\t1"\tP1|P2\n \ty\tZ\tP3\nHGNC:2\t\tFUS\t\n')
     rows = tsv.read_keyed_tsv(spark, path, ["hgnc_id", "symbol", "uniprot_ids"]).orderBy("hgnc_id").collect()

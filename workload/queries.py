@@ -23,7 +23,7 @@ from kgspark.plans import ingest as I
 from kgspark.plans import queries as N
 from kgspark.plans.describe import characteristics
 from kgspark.session import write_shared
-from kgspark.sources import manifests, releases, snapshots, statements
+from kgspark.sources import manifests, releases, snapshots, statements, tsv
 from workload.tables import CURATED, INFERRED, MODEL_BASE, SPOT_GENE, SPOT_PATHWAY, SYMBOLS, Tables
 
 Query = Callable[[Tables], DataFrame]
@@ -81,6 +81,12 @@ def nquads_lines(t: Tables) -> DataFrame:
     return statements.nquads_lines(quads)
 
 
+@query
+def parse_statements(t: Tables) -> DataFrame:
+    """Statement lines of every document, read back."""
+    return statements.parse_statements(nquads_lines(t).withColumnRenamed("line", "value"))
+
+
 @query
 def release_metadata(t: Tables) -> DataFrame:
     described = t.read("orders").selectExpr(
@@ -369,6 +375,32 @@ def reconcile_sets(t: Tables) -> DataFrame:
     return S.reconcile_sets(ours, theirs)
 
 
+@query
+def first_lines(t: Tables) -> DataFrame:
+    """First lines by position, whatever order the lines come in."""
+    lines = t.read("documents").select(
+        F.concat(F.lit("d"), "doc_id").alias("file"), F.posexplode(F.split("text", "\n", -1)).alias("position", "value")
+    )
+    return tsv.first_lines(lines.repartition("value"))
+
+
+@query
+def trim_blanks(t: Tables) -> DataFrame:
+    """Padded labels come back as they were."""
+    padded = t.node.select("id", F.concat(F.lit(" \t\r\n"), "label", F.lit("\t \n")).alias("label"))
+    trimmed = X.trim_blanks(F.col("label"))
+    return padded.select("id", trimmed.alias("trimmed"), F.length(trimmed).cast("bigint").alias("n"))
+
+
+@query
+def reconcile_sample(t: Tables) -> DataFrame:
+    """Sampled keys only, against memberships that differ."""
+    t = t.kept()
+    ours = t.facts.selectExpr("pathway AS key", "gene AS member")
+    theirs = t.damaged.selectExpr("pathway AS key", "gene AS member")
+    return S.reconcile_sets(ours, theirs, T.seeded_sample(ours, "key", 100, SEED))
+
+
 @query
 def seeded_sample(t: Tables) -> DataFrame:
     return T.seeded_sample(t.edges, "pathway", 5, SEED)
@@ -448,12 +480,13 @@ def select_union(t: Tables) -> DataFrame:
 
 @query
 def bgp_match(t: Tables) -> DataFrame:
-    stored = write_shared(t.emitted)
-    found = Q.match(stored, [
+    patterns = [
         ("?a", "a", "biolink:GeneToPathwayAssociation"), ("?a", "biolink:subject", "?gene"),
         ("?a", "biolink:object", "?pathway"), ("?pathway", "biolink:part_of", "?parent"),
         ("?gene", "rdfs:label", "?symbol"),
-    ])
+    ]
+    stored = write_shared(Q.relevant(t.kept().emitted, patterns).sortWithinPartitions("p"))
+    found = Q.match(stored, patterns)
     return found.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("solutions"), F.countDistinct("parent").alias("parents")
     )
@@ -546,8 +579,15 @@ def closure_violations(t: Tables) -> DataFrame:
 
 @query
 def closed_memberships(t: Tables) -> DataFrame:
+    """Closed memberships lack nothing; a level of the hierarchy taken out again leaves holes."""
     closed = H.gene_ancestors(t.edges, t.hierarchy).select("gene", F.col("ancestor").alias("pathway"))
-    return H.closure_violations(closed, t.hierarchy).agg(F.count(F.lit(1)).alias("violations"))
+    closed = write_shared(closed)
+    inner = t.hierarchy.select(F.col("child").alias("pathway")).distinct()
+    holed = closed.join(inner, "pathway", "left_semi")
+    count = F.count(F.lit(1)).alias("violations")
+    return H.closure_violations(closed, t.hierarchy).agg(count).select(F.lit("closed").alias("memberships"), "violations").unionByName(
+        H.closure_violations(holed, t.hierarchy).agg(count).select(F.lit("without roots").alias("memberships"), "violations")
+    )
 
 
 # Release diff.
@@ -683,10 +723,10 @@ def chk_terms(t: Tables) -> DataFrame:
 def acceptance(t: Tables) -> DataFrame:
     t = t.kept(edges=True)
     return C.acceptance(
-        t.release, t.emitted.drop("part"), taxon="PROMO", infix="1", evidence=["A", "R"], expected_nodes=2000,
+        t.release, write_shared(t.emitted.drop("part").distinct()), known_set=True, taxon="PROMO", infix="1", evidence=["A", "R"], expected_nodes=2000,
         spot=_spot(t), usage=M.term_usage(t.event_quads, MODEL_BASE), defined=t.defined,
         statements=(1_000, 10_000_000_000),
-        members=(t.facts.selectExpr("pathway AS key", "gene AS member"), t.edges.selectExpr("pathway AS key", "gene AS member")),
+        members=(t.facts.selectExpr("pathway AS key", "gene AS member"), t.damaged.selectExpr("pathway AS key", "gene AS member")),
     )
 
 
