@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, Window
@@ -72,27 +73,33 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         .select("a.conv_id", "a.node", F.col("b.node").alias("up"), F.col("a.score").alias("total"), F.lit(1).cast("bigint").alias("length"))
     )
     parents = state.where("up is not null").select("conv_id", F.col("up").alias("node")).distinct()
-    jumps = [state]
+    jumps, done = [], []
     for _ in range(base.count().bit_length()):
-        if state.where("up is not null").isEmpty():
+        # Conversations all of whose messages have reached their root are settled; the others go on.
+        open_ = write_shared(state.where("up is not null").select("conv_id").distinct())
+        if open_.isEmpty():
             break
+        held = state.alias("a").join(open_.alias("b"), same("a", "b"), "left_anti")
+        done.append(held)
+        state = write_shared(state.alias("a").join(open_.alias("b"), same("a", "b"), "left_semi"))
+        jumps.append(state)
         state = write_shared(
             state.alias("a").join(state.alias("b"), same("a", "b") & (F.col("a.up") == F.col("b.node")), "left").select(
                 "a.conv_id", "a.node", F.col("b.up").alias("up"), (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
                 (F.col("a.length") + F.coalesce("b.length", F.lit(0))).alias("length"),
             )
         )
-        jumps.append(state)
-    rooted = state.where("up is null").alias("a")
+    rooted = reduce(DataFrame.unionByName, [*done, state]).where("up is null").alias("a")
     leaves = rooted.join(parents.alias("b"), same("a", "b") & (F.col("a.node") == F.col("b.node")), "left_anti")
     order = Window.partitionBy("conv_id").orderBy(F.desc(F.col("total") / F.col("length")), F.desc("length"), "node")
     best = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
-    paths = best.select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up"))
-    for k, jump in enumerate(jumps[:-1] if len(jumps) > 1 else []):
+    paths = write_shared(best.select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up")))
+    for k, jump in enumerate(jumps):
+        # Ancestors 2^k steps above those found so far: the distances so far are 0 to 2^k - 1, the new ones follow on.
         nodes = jump.where("up is not null").select("conv_id", "node", F.col("up").alias("above"))
-        paths = paths.alias("a").join(nodes.alias("b"), same("a", "b") & (F.col("a.node") == F.col("b.node")), "left")
-        steps = F.array(F.struct("a.node", "a.up"), F.struct(F.col("b.above").alias("node"), (F.col("a.up") + (1 << k)).alias("up")))
-        paths = paths.select("a.conv_id", "leaf", F.explode(F.filter(steps, lambda s: s["node"].isNotNull())).alias("s")).select("conv_id", "leaf", "s.*")
+        met = paths.alias("a").join(nodes.alias("b"), same("a", "b") & (F.col("a.node") == F.col("b.node")))
+        above = met.select("a.conv_id", "a.leaf", F.col("b.above").alias("node"), (F.col("a.up") + (1 << k)).alias("up"))
+        paths = paths.unionByName(write_shared(above))
     return paths
 
 
