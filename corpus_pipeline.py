@@ -36,7 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by their kind; n_chars follows the text."""
     redacted = redact(docs)
-    return redacted.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(docs.columns)
+    return redacted.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

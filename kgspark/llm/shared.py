@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from kgspark.session import write_shared
+from kgspark.session import remove_shared, write_shared
 
 #: ASCII white space as a byte string: the separators of `[^\x20\x09-\x0D]+` words. ``bytes.split()`` uses the same six.
 WHITE = b" \t\n\r\x0b\f"
@@ -80,7 +80,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
-        now = write_shared(small.select("e.*").where("u <> v").distinct())
+        last, now = now, write_shared(small.select("e.*").where("u <> v").distinct())
+        remove_shared(last)
         before, seen = seen, _digest(now)
         if seen == before:
             break

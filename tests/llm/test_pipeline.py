@@ -54,6 +54,18 @@ def test_run(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["sequence", "words", "doc_ids", "pieces", "text"]
 
 
+def test_each_stage_takes_awkward_documents(spark, tmp_path, docs):
+    """Nulls, repeated rows, clashing and dotted column names: one stage after the other."""
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    held = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        held = stage(spark, held, str(tmp_path))
+        assert held.columns == docs.columns
+        held.write.parquet(f"{tmp_path}/{name}")
+        held = spark.read.parquet(f"{tmp_path}/{name}")
+    assert corpus_pipeline.STAGES[-1][1](spark, held, str(tmp_path)).count() > 0
+
+
 def test_each_stage_takes_an_empty_table(spark, tmp_path, no_docs):
     spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES:

@@ -73,6 +73,17 @@ def test_components_of_chains_stars_and_rings(spark):
     assert found == {i: 0 for i in range(1, 201)} | {2000 + i: 1000 for i in range(100)} | {3000 + i: 3000 for i in range(1, 50)}
 
 
+def test_component_rounds_leave_one_table(spark):
+    from pathlib import Path
+
+    from kgspark.session import ensure_checkpoint_dir
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    found = components(spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long"))
+    assert len(set(folder.iterdir()) - before) == 1 and found.count() == 40
+
+
 def test_one_document_of_each_group_stays(docs, rows):
     """Also where an id is repeated, is the smallest of two groups, or is null."""
     root_of = dict(zip((r[1] for r in rows), brute.near_groups([brute.fingerprint(r[1]) for r in rows])))
