@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from kgspark.errors import IngestError, LayoutError, PublishError
 from kgspark.operators import rules, terms
+from kgspark.session import ensure_checkpoint_dir
 from kgspark.sources import manifests, snapshots, tsv
 from kgspark.sources.releases import append_retired, retired_quads
 
@@ -96,6 +98,10 @@ def test_publication_of_an_unstable_input(spark, tmp_path):
     """Marker and data agree although the input differs each time it is evaluated."""
     df = spark.range(50).select(F.col("id"), F.expr("uuid()").alias("v"))
     snapshots.publish_snapshot(df, str(tmp_path), "nf", "2026-09-21")
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    snapshots.publish_snapshot(df, str(tmp_path), "nf", "2026-09-22")
+    assert set(folder.iterdir()) == before  # nothing is left in the shared folder
     stored = snapshots.read_snapshot(spark, str(tmp_path), "nf", "2026-09-21")
     marker = spark.read.schema(snapshots.MARKER_SCHEMA).json(f"{tmp_path}/nf/2026-09-21/_manifest").collect()[0]
     assert tuple(snapshots.snapshot_fingerprint(stored).collect()[0]) == (marker["rows"], marker["folded"], marker["mixed"])

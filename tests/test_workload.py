@@ -5,11 +5,14 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from tests.compare import SEEN, connect, difference
+from tests.compare import connect, difference
+from workload import oracles
+from workload.queries import QUERIES as BOUND
+from workload.queries import bound
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: bound(run) for name, run in BOUND.items()}
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
