@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, insort
+from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kgspark.llm.shared import map_text
 from kgspark.session import write_shared
@@ -93,6 +96,27 @@ def pieces(docs: DataFrame, capacity: int, id_col: str, text_col: str, source_co
     return rows.select("doc_id", "source", "cluster", "piece", F.col("at")["words"].alias("words"), *[part.alias("text")] * texts)
 
 
+def _dealt(docs: DataFrame, capacity: int, id_col: str, text_col: str, source_col: str, texts: bool, part: int) -> DataFrame:
+    """Pieces with their part, dealt by a hash of document and piece; about ``part`` of them in each."""
+    made = write_shared(pieces(docs, capacity, id_col, text_col, source_col, texts))
+    parts = -(-made.count() // part)
+    return made.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(max(parts, 1))))
+
+
+def _placed(part: pa.Table, capacity: int) -> tuple[pa.Table, list[int], list[int]]:
+    """The pieces of one part, longest first, ties by document and piece; the sequence and place of each."""
+    keys = [("words", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("cluster", "ascending")]
+    part = part.take(pc.sort_indices(part, sort_keys=keys))
+    chosen = best_fit(*(part[c].to_pylist() for c in ("words", "source", "cluster")), capacity)
+    held: Counter = Counter()
+    places = []
+    for c in chosen:
+        places.append(held[c])
+        held[c] += 1
+    first = part["part"][0].as_py() << LOW
+    return part, [first + c for c in chosen], places
+
+
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", texts: bool = False, part: int = PART
 ) -> DataFrame:
@@ -104,32 +128,44 @@ def pack(
     sequences at the end of each part. Null or empty texts are empty pieces; null sources conflict with nothing; repeated
     rows are packed each. An empty table gives no row.
     """
-    made = write_shared(pieces(docs, capacity, id_col, text_col, source_col, texts))
-    parts = -(-made.count() // part)
+    dealt = _dealt(docs, capacity, id_col, text_col, source_col, texts, part)
     columns = ["doc_id", "source", "piece", "words", *["text"] * texts]
+    schema = ", ".join(f"`{c}` {dealt.schema[c].dataType.simpleString()}" for c in columns)
 
-    def one_part(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["words", "doc_id", "piece", "cluster"], ascending=[False, True, True, True], kind="stable", na_position="first")
-        none_if_null = lambda values: [None if pd.isna(v) else v for v in values]
-        chosen = best_fit(frame["words"].tolist(), none_if_null(frame["source"]), none_if_null(frame["cluster"]), capacity)
-        frame = frame.assign(sequence=[(int(frame["part"].iloc[0]) << LOW) + c for c in chosen])
-        frame["place"] = frame.groupby("sequence").cumcount()
-        return frame[[*columns, "sequence", "place"]]
-
-    dealt = made.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(max(parts, 1))))
-    schema = ", ".join(f"`{c}` {made.schema[c].dataType.simpleString()}" for c in columns)
-    return dealt.groupBy("part").applyInPandas(one_part, f"{schema}, sequence bigint, place bigint")
-
-
-def sequences(docs: DataFrame, capacity: int = CAPACITY, separator: str = "\n\n", **columns: str) -> DataFrame:
-    """One row per sequence: sequence, words, doc_ids, pieces, text (the pieces in their order, separated)."""
-    packed = pack(docs, capacity, texts=True, **columns)
-    held = F.array_sort(F.collect_list(F.struct("place", "doc_id", "piece", "words", "text")))
-    return packed.groupBy("sequence").agg(held.alias("held")).select(
-        "sequence", F.aggregate("held", F.lit(0).cast("bigint"), lambda n, h: n + h["words"]).alias("words"),
-        F.transform("held", lambda h: h["doc_id"]).alias("doc_ids"), F.transform("held", lambda h: h["piece"]).alias("pieces"),
-        F.array_join(F.transform("held", lambda h: h["text"]), separator).alias("text"),
-    )
+    def one_part(given: pa.Table) -> pa.Table:
+        rows, chosen, places = _placed(given, capacity)
+        added = [pa.array(chosen, pa.int64()), pa.array(places, pa.int64())]
+        return pa.table([*(rows[c] for c in columns), *added], names=[*columns, "sequence", "place"])
+
+    return dealt.groupBy("part").applyInArrow(one_part, f"{schema}, sequence bigint, place bigint")
+
+
+def sequences(
+    docs: DataFrame, capacity: int = CAPACITY, separator: str = "\n\n", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", part: int = PART
+) -> DataFrame:
+    """One row per sequence of :func:`pack`: sequence, words, doc_ids, pieces, text (the pieces in their order, separated).
+
+    A part holds its sequences whole, so they are put together where they are packed.
+    """
+    dealt = _dealt(docs, capacity, id_col, text_col, source_col, True, part)
+
+    kind = dealt.schema["doc_id"].dataType
+    id_type = to_arrow_type(kind)
+
+    def one_part(given: pa.Table) -> pa.Table:
+        rows, chosen, _ = _placed(given, capacity)
+        held: dict[int, list] = {}
+        for sequence, row in zip(chosen, rows.select(["doc_id", "piece", "words", "text"]).to_pylist()):
+            held.setdefault(sequence, []).append(row)  # rows keep their order, which is that of place
+        of = lambda name: [[r[name] for r in rows] for rows in held.values()]
+        columns = {
+            "sequence": pa.array(list(held), pa.int64()), "words": pa.array(map(sum, of("words")), pa.int64()),
+            "doc_ids": pa.array(of("doc_id"), pa.list_(id_type)), "pieces": pa.array(of("piece"), pa.list_(pa.int32())),
+            "text": pa.array(map(separator.join, of("text")), pa.string()),
+        }
+        return pa.table(columns)
+
+    return dealt.groupBy("part").applyInArrow(one_part, f"sequence bigint, words bigint, doc_ids array<{kind.simpleString()}>, pieces array<int>, text string")
 
 
 def op4_packing(docs: DataFrame) -> DataFrame:

@@ -78,8 +78,21 @@ def test_a_hot_source_is_spread(spark):
     assert len({r["sequence"] for r in found}) >= 600  # one hot document in each
 
 
+def test_large_ids_beside_a_null_stay_exact(spark):
+    rows = [(2**60 + i, f"a{i} b", "s") for i in range(20)] + [(None, "c d", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r["doc_id"] for r in packing.op4_packing(df).collect()} == {r[0] for r in rows}
+    assert {d for r in packing.sequences(df).collect() for d in r["doc_ids"]} == {r[0] for r in rows}
+
+
 def test_sequences_and_empty_table(docs, rows, no_docs):
     made = packing.sequences(docs, 300).collect()
     assert sum(r["words"] for r in made) == sum(len((r[1] or "").encode().split()) for r in rows)
-    assert all(len(r["doc_ids"]) == len(r["pieces"]) for r in made)
+    packed = {}
+    for r in packing.pack(docs, 300, texts=True).orderBy("sequence", "place").collect():
+        packed.setdefault(r["sequence"], []).append((r["doc_id"], r["piece"], r["text"]))
+    for r in made:
+        ids, pieces, texts = zip(*packed.pop(r["sequence"]))
+        assert (r["doc_ids"], r["pieces"], r["text"]) == (list(ids), list(pieces), "\n\n".join(texts))
+    assert not packed
     assert packing.op4_packing(no_docs).collect() == [] and packing.sequences(no_docs).collect() == []
