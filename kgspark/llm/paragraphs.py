@@ -3,17 +3,21 @@
 A paragraph is a line of at least ``min_words`` words. Its shingles of five words are hashed; bands of MinHash values,
 tuned for recall at the wanted similarity, bring similar paragraphs together; colliding ones are verified on their whole
 shingle sets. Linked paragraphs form clusters, and a cluster keeps its first paragraph by document and place.
+
+A passage may also be repeated inside longer paragraphs, or across line breaks. For these, each document's windows of 32
+words are thinned by keeping the smallest hash of any 19 neighbours: whatever two passages of 50 words or more have in
+common, they keep a common window.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.llm.shared import components, map_text
@@ -23,7 +27,10 @@ MIN_WORDS, SHINGLE, SIMILARITY, RECALL, ROWS = 50, 5, 0.8, 0.995, 2
 #: Distinct paragraphs of one band key in a tile side; a larger bucket is dealt out as pairs of chunks.
 CHUNK = 512
 CONTINUED = bytes(range(0x80, 0xC0))
-UNIT = "unit array<int>, start array<bigint>, end array<bigint>, words array<int>, node array<bigint>, bands array<array<bigint>>, members array<array<bigint>>"
+#: Words in a window (a power of two) and neighbours thinned to one; a repeat of their sum less one is always found.
+SPAN, THIN = 32, 19
+UNIT = "unit array<int>, start array<bigint>, end array<bigint>, words array<int>, node array<bigint>, bands array<array<bigint>>"
+SET = "node array<bigint>, members array<array<int>>"
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -51,34 +58,128 @@ def band_keys(members: np.ndarray, multiply: np.ndarray, add: np.ndarray, rows:
     return [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(lows)]
 
 
-def units_of(docs: DataFrame, id_col: str, text_col: str, min_words: int, similarity: float, rows: int) -> DataFrame:
-    """Stored: one row per paragraph: doc_id, unit, start, end (code points), words, node, bands, members.
+def paragraphs_of(text: bytes | None, min_words: int) -> Iterator[tuple[int, int, int, list[bytes]]]:
+    """(number, start, end, folded words) of each line long enough; start and end in code points."""
+    at = 0
+    for number, line in enumerate((text or b"").split(b"\n")):
+        size = len(line.translate(None, CONTINUED))
+        words = line.lower().split()
+        if len(words) >= min_words:
+            yield number, at, at + size, words
+        at += size + 1
 
-    ``node`` names the paragraph's sequence of folded words (64 bits). Case and white space do not matter. ``members`` is
-    its shingle set, to verify candidates by.
-    """
+
+def node_of(words: list[bytes]) -> int:
+    """Name of a sequence of folded words (64 bits): case and white space do not matter."""
+    return xxhash.xxh64_intdigest(b" ".join(words), 1) - (1 << 63)
+
+
+def _exploded(docs: DataFrame, id_col: str, text_col: str, one: Callable, fields: str) -> DataFrame:
+    """One row per paragraph from ``one(text)``, which gives a tuple of lists in the order of ``fields``."""
+    names = [f.split()[0] for f in fields.split(", ")]
+    made = map_text(docs, text_col, lambda texts: dict(zip(names, map(list, zip(*map(one, texts))))), fields, [id_col])
+    made = made.select(F.col("row").getField(id_col).alias("doc_id"), F.explode(F.arrays_zip(*[f"out.{n}" for n in names])).alias("u"))
+    return made.select("doc_id", *[F.col("u").getField(n).alias(n) for n in names])
+
+
+def units_of(docs: DataFrame, id_col: str, text_col: str, min_words: int, similarity: float, rows: int) -> DataFrame:
+    """Stored: one row per paragraph: doc_id, unit, start, end (code points), words, node, bands."""
     multiply, add = coefficients(rows * tuned_bands(similarity, rows))
 
     def one(text: bytes | None) -> tuple[list, ...]:
-        columns: tuple[list, ...] = ([], [], [], [], [], [], [])
-        at = 0
-        for number, line in enumerate((text or b"").split(b"\n")):
-            size = len(line.translate(None, CONTINUED))
-            words = line.lower().split()
-            if len(words) >= min_words:
-                members = shingle_set(words)
-                node = xxhash.xxh64_intdigest(b" ".join(words), 1) - (1 << 63)
-                values = (number, at, at + size, len(words), node, band_keys(members, multiply, add, rows), members.view(np.int64).tolist())
-                for column, value in zip(columns, values):
-                    column.append(value)
-            at += size + 1
+        columns: tuple[list, ...] = ([], [], [], [], [], [])
+        for number, start, end, words in paragraphs_of(text, min_words):
+            values = (number, start, end, len(words), node_of(words), band_keys(shingle_set(words), multiply, add, rows))
+            for column, value in zip(columns, values):
+                column.append(value)
         return columns
 
-    names = [f.split()[0] for f in UNIT.split(", ")]
-    kernel = lambda texts: dict(zip(names, map(list, zip(*map(one, texts)))))
-    made = map_text(docs, text_col, kernel, UNIT, [id_col])
-    made = made.select(F.col("row").getField(id_col).alias("doc_id"), F.explode(F.arrays_zip(*[f"out.{n}" for n in names])).alias("u"))
-    return write_shared(made.select("doc_id", *[F.col("u").getField(n).alias(n) for n in names]))
+    return write_shared(_exploded(docs, id_col, text_col, one, UNIT))
+
+
+def sets_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(node, members): the shingle set of each paragraph, to verify candidates by.
+
+    Shingles are 32-bit hashes here, which halves what is shuffled: two different ones of a pair of paragraphs of 100
+    words are the same number with a probability of 2 in a million.
+    """
+
+    def one(text: bytes | None) -> tuple[list, list]:
+        nodes, members = [], []
+        for _, _, _, words in paragraphs_of(text, min_words):
+            node = node_of(words)
+            if node not in nodes:
+                nodes.append(node)
+                members.append(np.unique(shingle_set(words).astype(np.uint32)).view(np.int32).tolist())
+        return nodes, members
+
+    return _exploded(docs, id_col, text_col, one, SET).drop("doc_id")
+
+
+# ---------------------------------------------------------------- windows
+
+
+class _Hashes(dict):
+    """Hash of each word, computed once per batch."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def thinned_windows(words: list[bytes], known: dict, span: int = SPAN, thin: int = THIN) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of the windows that are the smallest of ``thin`` neighbours; equal ones once."""
+    if len(words) < span + thin - 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    size, base = 1, 0x9E3779B97F4A7C15
+    while size < span:  # a window is two halves
+        hashes = hashes[:-size] * np.uint64(base) + hashes[size:]
+        size, base = 2 * size, base * base % (1 << 64)
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(32)
+    lows = np.lib.stride_tricks.sliding_window_view(hashes, thin).min(axis=1)
+    edge = np.zeros(thin - 1, np.uint64)
+    highest = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, lows, edge]), thin).max(axis=1)
+    kept = np.flatnonzero(hashes <= highest)
+    values, first = np.unique(hashes[kept], return_index=True)
+    return values.view(np.int64), kept[first]
+
+
+def shared_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored: doc_id, start, end (words), head: windows found in more than one document, head being the smallest of these.
+
+    Every repeat of SPAN + THIN - 1 words or more between two documents shows in both; shorter ones, down to SPAN words,
+    may. Rows without an id take no part, nor do repeats within one document.
+    """
+
+    def kernel(texts: list) -> dict[str, list]:
+        known = _Hashes()
+        made = [thinned_windows((t or b"").lower().split(), known) for t in texts]
+        return {"window": [m[0].tolist() for m in made], "start": [m[1].tolist() for m in made]}
+
+    found = map_text(docs, text_col, kernel, "window array<bigint>, start array<int>", [id_col])
+    found = found.select(F.col("row").getField(id_col).alias("doc_id"), F.explode(F.arrays_zip("out.window", "out.start")).alias("w"))
+    found = write_shared(found.where("doc_id is not null").select("doc_id", "w.window", "w.start"))
+    shared = found.groupBy("window").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
+    shared = write_shared(shared.where("head < last").select("window", "head"))  # stored: the join can split a hot window
+    met = found.join(shared, "window").select("doc_id", "start", (F.col("start") + SPAN).alias("end"), "head")
+    return write_shared(met)
+
+
+def covered(spans: Column) -> Column:
+    """Number of words in the union of sorted (start, end) spans."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("reach"))
+
+    def step(done: Column, s: Column) -> Column:
+        added = F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], done["reach"]))
+        return F.struct((done["total"] + added).alias("total"), F.greatest(done["reach"], s["end"]).cast("bigint").alias("reach"))
+
+    return F.aggregate(spans, zero, step, lambda done: done["total"])
+
+
+# ---------------------------------------------------------------- paragraphs
 
 
 def verified(sets: list[np.ndarray], nodes: np.ndarray, similarity: float) -> list[tuple[int, int]]:
@@ -132,11 +233,15 @@ def _verify_tiles(similarity: float):
     return run
 
 
-def clusters(units: DataFrame, similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
-    """(node, cluster): each distinct paragraph that is linked to a smaller node, directly or by a chain."""
+def clusters(units: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
+    """(node, cluster): each distinct paragraph that is linked to a smaller node, directly or by a chain.
+
+    ``sets`` are made from the texts again and meet the candidates as they come: keeping them all would cost more than
+    a second reading.
+    """
     keyed = units.select("node", F.explode("bands").alias("key")).distinct()
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = shared.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    shared = write_shared(shared.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")))
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     dealt = keyed.join(shared, "key").select(
         "node", "key", own.alias("own"),
@@ -144,7 +249,8 @@ def clusters(units: DataFrame, similarity: float = SIMILARITY, chunk: int = CHUN
             F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda other: other != own))).alias("other"),
     )
     tiles = write_shared(dealt.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("tile"), "node"))
-    wanted = units.join(tiles.select("node").distinct(), "node", "left_semi")
+    # Candidates grow with the corpus: sort and merge, whatever their number happens to be.
+    wanted = sets.join(tiles.select("node").distinct().hint("merge"), "node", "left_semi")
     members = write_shared(wanted.groupBy("node").agg(F.first("members").alias("members")))
     met = tiles.join(members, "node").select("tile", "node", "members")
     edges = met.repartition("tile").sortWithinPartitions("tile").mapInArrow(_verify_tiles(similarity), "u bigint, v bigint")
@@ -161,32 +267,48 @@ def repeated_paragraphs(
     id counts as the smallest. Null and empty texts have no paragraphs.
     """
     units = units_of(docs, id_col, text_col, min_words, similarity, rows)
-    named = units.select("doc_id", "unit", "start", "end", "words", "node").join(clusters(units, similarity), "node", "left")
-    named = named.withColumn("cluster", F.coalesce("cluster", "node")).drop("node")
+    named = units.select("doc_id", "unit", "start", "end", "words", "node").join(
+        clusters(units, sets_of(docs, id_col, text_col, min_words), similarity), "node", "left"
+    )
+    named = write_shared(named.withColumn("cluster", F.coalesce("cluster", "node")).drop("node"))
     place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "unit", "start")
     heads = named.groupBy("cluster").agg(F.min(place).alias("first"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids"))
     heads = heads.where("n > 1").select(F.col("cluster").alias("c"), "first", F.col("low").alias("head"), (F.col("low").eqNullSafe(F.col("high")) & F.col("ids").isin(0, F.col("n"))).alias("alone"))
-    found = named.join(heads, F.col("cluster") == F.col("c"), "left")
+    found = named.join(write_shared(heads), F.col("cluster") == F.col("c"), "left")
     removed = F.col("c").isNotNull() & ~place.eqNullSafe(F.col("first"))
     return write_shared(found.select("doc_id", "unit", "start", "end", "words", "cluster", "head", removed.alias("removed"), (~F.coalesce("alone", F.lit(True))).alias("spread")))
 
 
 def describe_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_paragraphs, n_repeated, n_removed, removed_words, class_id.
+    """One row per row of ``docs``: doc_id, n_paragraphs, n_repeated, n_removed, removed_words, passage_words,
+    passage_removed, class_id.
 
-    class_id: the smallest id of the documents joined by shared paragraphs, directly or by a chain; its own id if none.
+    n_repeated: paragraphs that other documents have too; n_removed: those of a cluster but its first. passage_words:
+    words inside passages shared with other documents, wherever they stand; passage_removed: those of them whose first
+    document is another one. class_id: the smallest id of the documents joined by shared paragraphs or passages,
+    directly or by a chain; its own id if none.
     """
     units = repeated_paragraphs(docs, id_col, text_col, **options)
-    links = components(units.where("spread and doc_id is not null").select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
+    windows = shared_windows(docs, id_col, text_col)
+    edges = units.where("spread and doc_id is not null").select(F.col("doc_id").alias("u"), F.col("head").alias("v"))
+    links = components(edges.unionByName(windows.select(F.col("doc_id").alias("u"), F.col("head").alias("v"))))
     count = lambda condition: F.count(F.when(condition, 1))
     summed = units.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_paragraphs"), count(F.col("spread")).alias("n_repeated"), count(F.col("removed")).alias("n_removed"),
         F.sum(F.when(F.col("removed"), F.col("words")).otherwise(0)).alias("removed_words"),
     )
+    # A document's own windows: no more than it has words.
+    spans = windows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", (F.col("head") < F.col("doc_id")).alias("later")))).alias("spans"))
+    passages = spans.select(
+        F.col("doc_id").alias("id"), covered(F.col("spans")).alias("passage_words"),
+        covered(F.filter("spans", lambda s: s["later"])).alias("passage_removed"),
+    )
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"))
-    out = ids.alias("d").join(summed.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left").join(links, F.col("d.doc_id") == F.col("node"), "left")
+    out = ids.alias("d").join(summed.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left")
+    out = out.join(passages, F.col("d.doc_id") == F.col("id"), "left").join(links, F.col("d.doc_id") == F.col("node"), "left")
     zero = lambda name: F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
-    return out.select("d.doc_id", *map(zero, ("n_paragraphs", "n_repeated", "n_removed", "removed_words")), F.coalesce("root", "d.doc_id").alias("class_id"))
+    counts = ("n_paragraphs", "n_repeated", "n_removed", "removed_words", "passage_words", "passage_removed")
+    return out.select("d.doc_id", *map(zero, counts), F.coalesce("root", "d.doc_id").alias("class_id"))
 
 
 def op6_paragraphs(docs: DataFrame) -> DataFrame:

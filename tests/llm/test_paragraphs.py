@@ -1,5 +1,4 @@
 import random
-import re
 
 import pytest
 
@@ -12,9 +11,9 @@ def shingles(words):
 
 
 def by_brute_force(rows, min_words, similarity=0.8):
-    """One row per document row: doc_id, n_paragraphs, n_repeated, n_removed, removed_words, class_id."""
+    """Paragraphs (doc_id, unit, shingles, words) and their clusters."""
     units = []
-    for doc_id, text in {(r[0], r[1], i if r[0] is not None else None): 0 for i, r in enumerate(rows)} and [(r[0], r[1]) for r in rows]:
+    for doc_id, text in ((r[0], r[1]) for r in rows):
         for number, line in enumerate((text or "").split("\n")):
             words = brute.WORD.findall(line.translate(brute.UPPER))
             if len(words) >= min_words:
@@ -45,7 +44,7 @@ def near_copies(seed):
 @pytest.mark.parametrize("chunk", [512, 3])
 def test_clusters_match_all_pairs(spark, monkeypatch, chunk):
     rows = near_copies(6)
-    monkeypatch.setattr(paragraphs, "clusters", lambda units, similarity, f=paragraphs.clusters: f(units, similarity, chunk))
+    monkeypatch.setattr(paragraphs, "clusters", lambda units, sets, similarity, f=paragraphs.clusters: f(units, sets, similarity, chunk))
     units, groups = by_brute_force(rows, 50)
     found = paragraphs.repeated_paragraphs(spark.createDataFrame(rows, brute.SCHEMA).repartition(3)).collect()
     got = {}
@@ -65,12 +64,57 @@ def test_one_row_per_document(spark):
     rows = near_copies(9)
     _, groups = by_brute_force(rows, 50)
     spread = [g for g in groups.values() if len({x[0] for x in g}) > 1]
-    roots = brute.linked(80, ((x[0], g[0][0]) for g in spread for x in g))
-    found = {r["doc_id"]: r for r in paragraphs.op6_paragraphs(spark.createDataFrame(rows, brute.SCHEMA)).collect()}
+    grams = {}
+    for d, text, *_ in rows:
+        words = text.lower().split()
+        for i in range(len(words) - paragraphs.SPAN + 1):
+            grams.setdefault(tuple(words[i : i + paragraphs.SPAN]), set()).add(d)
+    df = spark.createDataFrame(rows, brute.SCHEMA)
+    found = {r["doc_id"]: r for r in paragraphs.op6_paragraphs(df).collect()}
+    windows = [(r["doc_id"], r["head"], r["start"]) for r in paragraphs.shared_windows(df).collect()]
+    texts = {r[0]: r[1].lower().split() for r in rows}
+    for d, head, at in windows:  # each is a true repeat
+        assert min(grams[tuple(texts[d][at : at + paragraphs.SPAN])]) <= head and len(grams[tuple(texts[d][at : at + paragraphs.SPAN])]) > 1
+    roots = brute.linked(80, [(x[0], g[0][0]) for g in spread for x in g] + [(d, head) for d, head, _ in windows])
     assert [found[i]["class_id"] for i in range(80)] == roots
     assert [found[i]["n_repeated"] for i in range(80)] == [sum(x[0] == i for g in spread for x in g) for i in range(80)]
-    clean = {i for i in range(80)} - {x[0] for g in groups.values() if len(g) > 1 for x in g}
-    assert clean and all(found[i]["n_removed"] == 0 and found[i]["class_id"] == i for i in clean)
+    clean = {i for i in range(80)} - {x[0] for g in groups.values() if len(g) > 1 for x in g} - {d for ds in grams.values() if len(ds) > 1 for d in ds}
+    assert clean and all(found[i]["n_removed"] == found[i]["passage_words"] == 0 and found[i]["class_id"] == i for i in clean)
+
+
+def test_passages_of_fifty_words_anywhere(spark):
+    """Inside a paragraph, across lines, in other case, once or often: each is found in each document; nothing else is."""
+    rng = random.Random(11)
+    rows, expected = [], {}
+    for p in range(40):
+        passage = brute.sentence(rng, rng.choice([50, 51, 55, 70])).split()
+        for _ in range(rng.randrange(2, 5)):
+            before, after = (brute.sentence(rng, rng.randrange(200)).split() for _ in "ab")
+            words = before + passage + after
+            text = "".join(w + rng.choice([" ", " ", " ", "\n", "\t "]) for w in words)
+            expected.setdefault(p, []).append(len(rows))
+            rows.append((len(rows), rng.choice([text, text.upper()]), None, None, None))
+    clean = list(range(len(rows), len(rows) + 60))
+    rows += [(i, brute.sentence(rng, 150), None, None, None) for i in clean]
+    found = {r["doc_id"]: r for r in paragraphs.op6_paragraphs(spark.createDataFrame(rows, brute.SCHEMA).repartition(5)).collect()}
+    for ids in expected.values():
+        assert {found[i]["class_id"] for i in ids} == {min(ids)}
+        assert all(found[i]["passage_words"] >= 32 for i in ids)
+        assert [found[i]["passage_removed"] > 0 for i in sorted(ids)] == [False] + [True] * (len(ids) - 1)
+    assert all(found[i]["passage_words"] == 0 and found[i]["class_id"] == i for i in clean)
+
+
+def test_thinning_keeps_a_window_of_every_neighbourhood():
+    rng = random.Random(5)
+    for vocabulary in (2, 5, 1000):
+        words = [f"{rng.randrange(vocabulary)}".encode() for _ in range(400)]
+        hashes, starts = paragraphs.thinned_windows(words, paragraphs._Hashes())
+        kept = {tuple(words[s : s + 32]) for s in starts.tolist()}
+        assert len(kept) == len(hashes)
+        windows = [tuple(words[i : i + 32]) for i in range(400 - 31)]
+        assert all(any(w in kept for w in windows[i : i + 19]) for i in range(len(windows) - 18))
+    assert len(paragraphs.thinned_windows(words[:49], paragraphs._Hashes())[0]) == 0
+    assert len(paragraphs.thinned_windows(words[:50], paragraphs._Hashes())[0]) >= 1
 
 
 def test_awkward_documents(docs, rows, no_docs):
@@ -112,4 +156,3 @@ def test_dense_group_is_verified_whole():
     roots = brute.linked(60, ((i, j) for i in range(60) for j in range(i) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))))
     found = dict(paragraphs.verified(sets, np.arange(60), 0.8))
     assert [found.get(i, i) for i in range(60)] == roots
-    assert re  # the module's own expressions are not needed here
