@@ -64,8 +64,9 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (u, v; long): one row (node, root) per node of an edge that is not its own root.
 
     Large-star and small-star steps in turn: each node points all its larger neighbours at its smallest one, then itself
-    and its smaller neighbours. A step is grouped minima and equi-joins, so hot nodes are combined before the shuffle and
-    split by adaptive execution. Each round is a stored table; the loop ends when a round changes nothing.
+    and its smaller neighbours. A step is grouped minima, combined before the shuffle, and equi-joins with the stored
+    minima: stored, so that adaptive execution can split the neighbours of a hot node. The loop ends when a round changes
+    nothing; tables of earlier rounds are removed.
     Null ends and loops are ignored; repeated edges count once; no edges give no rows.
     """
     now = write_shared(
@@ -74,14 +75,17 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _digest(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = write_shared(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = write_shared(large)
+        done, low = low, write_shared(large.groupBy("u").agg(F.min("v").alias("m")))
+        remove_shared(done)
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
         last, now = now, write_shared(small.select("e.*").where("u <> v").distinct())
-        remove_shared(last)
+        for done in (last, large, low):
+            remove_shared(done)
         before, seen = seen, _digest(now)
         if seen == before:
             break

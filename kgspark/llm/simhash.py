@@ -212,7 +212,8 @@ def link_edges(distinct: DataFrame, radius: int = 4, chunk: int = CHUNK) -> Data
     blocks, equal = scheme(distinct.count(), radius)
     keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"), blocks, equal)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = shared.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    # Stored, so that the join below can split a hot key.
+    shared = write_shared(shared.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     dealt = keyed.join(shared, "key").select(
         "fp", "key", own.alias("own"),
@@ -237,7 +238,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     edges = link_edges(distinct.select("fp"), radius)
     rooted = distinct.join(components(edges), F.col("fp") == F.col("node"), "left")
     rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    rooted = write_shared(rooted)
+    named = write_shared(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     return prints.join(rooted.select("fp", "root").join(named, "root"), "fp").select("doc_id", "fp", "root", "component_id")
 
 
