@@ -11,7 +11,7 @@ from kgspark.functions.text import BLANKS, model_term
 
 LOCAL_NAME = "[A-Za-z_][A-Za-z_0-9]*"
 # A prefix label: what a declaration can bind, the empty label included.
-LABEL = r"[^\s:<>\"'()\[\]{},;^@]*"
+LABEL = r"[^\s:<>\"'()\[\]{},;^@]*+"
 
 
 def _start():
@@ -63,7 +63,8 @@ def emitted_terms(lines: DataFrame, base: str) -> DataFrame:
     model base. Declarations and comment lines are skipped, and so are
     labels in the middle of a longer name.
     """
-    body = lines.filter(~_start().startswith("@prefix") & ~_start().startswith("#"))
+    # Both spellings of a name hold a colon.
+    body = lines.filter(F.contains("line", F.lit(":")) & ~_start().startswith("@prefix") & ~_start().startswith("#"))
     full = F.transform(
         F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1),
         lambda term: F.struct(F.lit(None).cast("string").alias("label"), term.alias("term")),
