@@ -1,8 +1,10 @@
 """Repeated paragraphs across documents: MinHash banding, exact Jaccard, components, removal of all but the first.
 
-A paragraph is a line of at least ``min_words`` words. Its shingles of five words are hashed; bands of MinHash values,
-tuned for recall at the wanted similarity, bring similar paragraphs together; colliding ones are verified on their whole
-shingle sets. Linked paragraphs form clusters, and a cluster keeps its first paragraph by document and place.
+A paragraph is a line of at least one shingle of five words. Further units are the consecutive short lines of a
+paragraph that blank lines end, joined, and a short document as a whole, however few its words. The shingles of a unit are
+hashed; bands of MinHash values, tuned for recall at the wanted similarity, bring similar units together; colliding ones
+are verified on their whole shingle sets. Linked units form clusters, and a cluster keeps its first unit by document and
+place.
 
 A passage may also be repeated inside longer paragraphs, or across line breaks. For these, each document's windows of 32
 words are thinned by keeping the smallest hash of any 19 neighbours: whatever two passages of 50 words or more have in
@@ -23,13 +25,16 @@ from pyspark.sql import functions as F
 from kgspark.llm.shared import components, map_text
 from kgspark.session import write_shared
 
+#: MIN_WORDS: a line or document of fewer words is short. It decides what is joined and how a line is reported, not what is compared.
 MIN_WORDS, SHINGLE, SIMILARITY, RECALL, ROWS = 50, 5, 0.8, 0.995, 2
+#: Kinds of units: a line, short lines joined, a short document.
+LINE, JOINED, WHOLE = 0, 1, 2
 #: Distinct paragraphs of one band key in a tile side; a larger bucket is dealt out as pairs of chunks.
 CHUNK = 512
 CONTINUED = bytes(range(0x80, 0xC0))
 #: Words in a window (a power of two) and neighbours thinned to one; a repeat of their sum less one is always found.
 SPAN, THIN = 32, 19
-UNIT = "unit array<int>, start array<bigint>, end array<bigint>, words array<int>, node array<bigint>, bands array<array<bigint>>"
+UNIT = "kind array<int>, unit array<int>, start array<bigint>, end array<bigint>, words array<int>, node array<bigint>, bands array<array<bigint>>"
 SET = "node array<bigint>, members array<array<int>>"
 
 
@@ -44,29 +49,84 @@ def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(made[:n], np.uint64) | np.uint64(1), np.array(made[n:], np.uint64)
 
 
+class _Hashes(dict):
+    """Hash of each word, computed once per batch."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(32)
+    return hashes
+
+
+def shingle_hashes(words: list[bytes], known: dict, shingle: int = SHINGLE) -> np.ndarray:
+    """64-bit hash of the shingle that starts at each word; fewer words than a shingle are one shingle."""
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    size = min(shingle, len(words))
+    n = len(words) - size + 1
+    made = hashes[:n].copy()
+    for i in range(1, size):
+        made = made * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+    return _mixed(made)
+
+
 def shingle_set(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles."""
-    digest = xxhash.xxh64_intdigest
-    made = {digest(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))}
-    return np.sort(np.fromiter(made, np.uint64, len(made)))
+    return np.unique(shingle_hashes(words, _Hashes(), shingle))
 
 
-def band_keys(members: np.ndarray, multiply: np.ndarray, add: np.ndarray, rows: int) -> list[int]:
-    mixed = members[:, None] * multiply[None, :] + add[None, :]
+def bands_of(hashes: np.ndarray, spans: list[tuple[int, int]], multiply: np.ndarray, add: np.ndarray, rows: int) -> list[list[int]]:
+    """Band keys of each span (start, end) of shingles."""
+    mixed = multiply[:, None] * hashes[None, :] + add[:, None]
     mixed ^= mixed >> np.uint64(32)
-    lows = (mixed * multiply[None, :]).min(axis=0).reshape(-1, rows)
-    return [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(lows)]
+    mixed *= multiply[:, None]
+    mixed = np.pad(mixed, ((0, 0), (0, 1)))  # a span may end with the last shingle
+    lows = np.minimum.reduceat(mixed, np.array(spans).ravel(), axis=1)[:, ::2].reshape(-1, rows, len(spans))
+    keys = np.arange(1, len(lows) + 1, dtype=np.uint64)[:, None] * np.uint64(0xC2B2AE3D27D4EB4F)
+    for i in range(rows):
+        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + lows[:, i])
+    return keys.T.view(np.int64).tolist()
+
+
+def band_keys(members: np.ndarray, multiply: np.ndarray, add: np.ndarray, rows: int) -> list[int]:
+    return bands_of(members, [(0, len(members))], multiply, add, rows)[0]
+
+
+def units_in(text: bytes | None, short: int) -> tuple[list[bytes], list[tuple[int, int, int, int, int, int]]]:
+    """(folded words, units) of a text. Unit: kind, number of the first line, start, end (code points), first word, words."""
+    words, units, run, at = [], [], [], 0
 
+    def join() -> None:
+        if len(run) > 1 and (n := sum(r[5] for r in run)) >= SHINGLE:
+            units.append((JOINED, run[0][1], run[0][2], run[-1][3], run[0][4], n))
+        run.clear()
 
-def paragraphs_of(text: bytes | None, min_words: int) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """(number, start, end, folded words) of each line long enough; start and end in code points."""
-    at = 0
     for number, line in enumerate((text or b"").split(b"\n")):
         size = len(line.translate(None, CONTINUED))
-        words = line.lower().split()
-        if len(words) >= min_words:
-            yield number, at, at + size, words
+        own = line.lower().split()
+        unit = (LINE, number, at, at + size, len(words), len(own))
+        if len(own) >= SHINGLE:
+            units.append(unit)
+        if 0 < len(own) < short:
+            run.append(unit)
+        else:
+            join()
+        words += own
         at += size + 1
+    join()
+    if 0 < len(words) < short and all(u[5] < len(words) for u in units):
+        units.append((WHOLE, 0, 0, at - 1, 0, len(words)))
+    return words, units
+
+
+def shingled(unit: tuple) -> tuple[int, int]:
+    """First and last shingle (exclusive) of a unit."""
+    return unit[4], unit[4] + max(1, unit[5] - SHINGLE + 1)
 
 
 def node_of(words: list[bytes]) -> int:
@@ -75,43 +135,45 @@ def node_of(words: list[bytes]) -> int:
 
 
 def _exploded(docs: DataFrame, id_col: str, text_col: str, one: Callable, fields: str) -> DataFrame:
-    """One row per paragraph from ``one(text)``, which gives a tuple of lists in the order of ``fields``."""
+    """One row per unit from ``one(text, known)``, which gives a tuple of lists in the order of ``fields``."""
     names = [f.split()[0] for f in fields.split(", ")]
-    made = map_text(docs, text_col, lambda texts: dict(zip(names, map(list, zip(*map(one, texts))))), fields, [id_col])
+
+    def kernel(texts: list) -> dict[str, list]:
+        known = _Hashes()
+        return dict(zip(names, map(list, zip(*(one(t, known) for t in texts)))))
+
+    made = map_text(docs, text_col, kernel, fields, [id_col])
     made = made.select(F.col("row").getField(id_col).alias("doc_id"), F.explode(F.arrays_zip(*[f"out.{n}" for n in names])).alias("u"))
     return made.select("doc_id", *[F.col("u").getField(n).alias(n) for n in names])
 
 
-def units_of(docs: DataFrame, id_col: str, text_col: str, min_words: int, similarity: float, rows: int) -> DataFrame:
-    """Stored: one row per paragraph: doc_id, unit, start, end (code points), words, node, bands."""
+def units_of(docs: DataFrame, id_col: str, text_col: str, short: int, similarity: float, rows: int) -> DataFrame:
+    """Stored: one row per unit: doc_id, kind, unit, start, end (code points), words, node, bands."""
     multiply, add = coefficients(rows * tuned_bands(similarity, rows))
 
-    def one(text: bytes | None) -> tuple[list, ...]:
-        columns: tuple[list, ...] = ([], [], [], [], [], [])
-        for number, start, end, words in paragraphs_of(text, min_words):
-            values = (number, start, end, len(words), node_of(words), band_keys(shingle_set(words), multiply, add, rows))
-            for column, value in zip(columns, values):
-                column.append(value)
-        return columns
+    def one(text: bytes | None, known: dict) -> tuple[list, ...]:
+        words, units = units_in(text, short)
+        if not units:
+            return tuple([] for _ in range(7))
+        bands = bands_of(shingle_hashes(words, known), list(map(shingled, units)), multiply, add, rows)
+        kinds, numbers, starts, ends, firsts, sizes = map(list, zip(*units))
+        return kinds, numbers, starts, ends, sizes, [node_of(words[a : a + n]) for a, n in zip(firsts, sizes)], bands
 
     return write_shared(_exploded(docs, id_col, text_col, one, UNIT))
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(node, members): the shingle set of each paragraph, to verify candidates by.
+def sets_of(docs: DataFrame, id_col: str, text_col: str, short: int) -> DataFrame:
+    """(node, members): the shingle set of each unit, to verify candidates by.
 
     Shingles are 32-bit hashes here, which halves what is shuffled: two different ones of a pair of paragraphs of 100
     words are the same number with a probability of 2 in a million.
     """
 
-    def one(text: bytes | None) -> tuple[list, list]:
-        nodes, members = [], []
-        for _, _, _, words in paragraphs_of(text, min_words):
-            node = node_of(words)
-            if node not in nodes:
-                nodes.append(node)
-                members.append(np.unique(shingle_set(words).astype(np.uint32)).view(np.int32).tolist())
-        return nodes, members
+    def one(text: bytes | None, known: dict) -> tuple[list, list]:
+        words, units = units_in(text, short)
+        hashes = shingle_hashes(words, known).astype(np.uint32).view(np.int32) if units else None
+        found = {node_of(words[u[4] : u[4] + u[5]]): shingled(u) for u in units}
+        return list(found), [np.unique(hashes[a:b]) for a, b in found.values()]
 
     return _exploded(docs, id_col, text_col, one, SET).drop("doc_id")
 
@@ -119,14 +181,6 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Data
 # ---------------------------------------------------------------- windows
 
 
-class _Hashes(dict):
-    """Hash of each word, computed once per batch."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def thinned_windows(words: list[bytes], known: dict, span: int = SPAN, thin: int = THIN) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first word) of the windows that are the smallest of ``thin`` neighbours; equal ones once."""
     if len(words) < span + thin - 1:
@@ -136,9 +190,7 @@ def thinned_windows(words: list[bytes], known: dict, span: int = SPAN, thin: int
     while size < span:  # a window is two halves
         hashes = hashes[:-size] * np.uint64(base) + hashes[size:]
         size, base = 2 * size, base * base % (1 << 64)
-    hashes ^= hashes >> np.uint64(31)
-    hashes *= np.uint64(0xD6E8FEB86659FD93)
-    hashes ^= hashes >> np.uint64(32)
+    hashes = _mixed(hashes)
     lows = np.lib.stride_tricks.sliding_window_view(hashes, thin).min(axis=1)
     edge = np.zeros(thin - 1, np.uint64)
     highest = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, lows, edge]), thin).max(axis=1)
@@ -257,45 +309,57 @@ def clusters(units: DataFrame, sets: DataFrame, similarity: float = SIMILARITY,
     return components(edges).withColumnRenamed("root", "cluster")
 
 
-def repeated_paragraphs(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, similarity: float = SIMILARITY, rows: int = ROWS
+def repeated_units(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: int = MIN_WORDS, similarity: float = SIMILARITY, rows: int = ROWS
 ) -> DataFrame:
-    """Stored: one row per paragraph of ``min_words`` words or more: doc_id, unit, start, end, words, cluster, head, removed, spread.
+    """Stored: one row per unit: doc_id, kind, unit, start, end, words, cluster, head, removed, spread.
 
-    ``removed``: all paragraphs of a cluster but its first by document and place. ``head``: the smallest document of the
-    cluster. ``spread``: the cluster reaches more than one document. Rows that share an id count as one document; a null
-    id counts as the smallest. Null and empty texts have no paragraphs.
+    ``kind``: LINE (of a shingle or more), JOINED (two or more consecutive lines of fewer than ``short`` words) or WHOLE (a
+    document of fewer than ``short`` words that is no other unit). All kinds are compared with each other. ``removed``: all
+    units of a cluster but its first by document and place. ``head``: the smallest document of the cluster. ``spread``: the
+    cluster reaches more than one document. Rows that share an id count as one document; a null id counts as the smallest.
+    Null and empty texts have no units.
     """
-    units = units_of(docs, id_col, text_col, min_words, similarity, rows)
-    named = units.select("doc_id", "unit", "start", "end", "words", "node").join(
-        clusters(units, sets_of(docs, id_col, text_col, min_words), similarity), "node", "left"
+    units = units_of(docs, id_col, text_col, short, similarity, rows)
+    named = units.select("doc_id", "kind", "unit", "start", "end", "words", "node").join(
+        clusters(units, sets_of(docs, id_col, text_col, short), similarity), "node", "left"
     )
     named = write_shared(named.withColumn("cluster", F.coalesce("cluster", "node")).drop("node"))
-    place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "unit", "start")
+    place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "unit", "start", "kind")
     heads = named.groupBy("cluster").agg(F.min(place).alias("first"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids"))
     heads = heads.where("n > 1").select(F.col("cluster").alias("c"), "first", F.col("low").alias("head"), (F.col("low").eqNullSafe(F.col("high")) & F.col("ids").isin(0, F.col("n"))).alias("alone"))
     found = named.join(write_shared(heads), F.col("cluster") == F.col("c"), "left")
     removed = F.col("c").isNotNull() & ~place.eqNullSafe(F.col("first"))
-    return write_shared(found.select("doc_id", "unit", "start", "end", "words", "cluster", "head", removed.alias("removed"), (~F.coalesce("alone", F.lit(True))).alias("spread")))
+    return write_shared(found.select("doc_id", "kind", "unit", "start", "end", "words", "cluster", "head", removed.alias("removed"), (~F.coalesce("alone", F.lit(True))).alias("spread")))
+
+
+def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, **options) -> DataFrame:
+    """The lines of ``min_words`` words or more of :func:`repeated_units`."""
+    return repeated_units(docs, id_col, text_col, **options).where((F.col("kind") == LINE) & (F.col("words") >= min_words)).drop("kind")
 
 
 def describe_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_paragraphs, n_repeated, n_removed, removed_words, passage_words,
-    passage_removed, class_id.
+    """One row per row of ``docs``: doc_id, n_paragraphs, n_long, n_repeated, n_removed, removed_words, n_joined,
+    joined_repeated, joined_removed, passage_words, passage_removed, class_id.
 
-    n_repeated: paragraphs that other documents have too; n_removed: those of a cluster but its first. passage_words:
+    n_paragraphs: lines of a shingle or more; n_long: those of MIN_WORDS words or more; n_repeated: paragraphs that other
+    documents have too; n_removed: those of a cluster but its first. n_joined, joined_repeated, joined_removed: the same of
+    joined short lines and short documents, whose words are also in their lines and not counted again. passage_words:
     words inside passages shared with other documents, wherever they stand; passage_removed: those of them whose first
-    document is another one. class_id: the smallest id of the documents joined by shared paragraphs or passages,
-    directly or by a chain; its own id if none.
+    document is another one. class_id: the smallest id of the documents joined by shared units or passages, directly or by
+    a chain; its own id if none.
     """
-    units = repeated_paragraphs(docs, id_col, text_col, **options)
+    units = repeated_units(docs, id_col, text_col, **options)
     windows = shared_windows(docs, id_col, text_col)
     edges = units.where("spread and doc_id is not null").select(F.col("doc_id").alias("u"), F.col("head").alias("v"))
     links = components(edges.unionByName(windows.select(F.col("doc_id").alias("u"), F.col("head").alias("v"))))
     count = lambda condition: F.count(F.when(condition, 1))
+    line = F.col("kind") == LINE
     summed = units.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_paragraphs"), count(F.col("spread")).alias("n_repeated"), count(F.col("removed")).alias("n_removed"),
-        F.sum(F.when(F.col("removed"), F.col("words")).otherwise(0)).alias("removed_words"),
+        count(line).alias("n_paragraphs"), count(line & (F.col("words") >= MIN_WORDS)).alias("n_long"),
+        count(line & F.col("spread")).alias("n_repeated"), count(line & F.col("removed")).alias("n_removed"),
+        F.sum(F.when(line & F.col("removed"), F.col("words")).otherwise(0)).alias("removed_words"),
+        count(~line).alias("n_joined"), count(~line & F.col("spread")).alias("joined_repeated"), count(~line & F.col("removed")).alias("joined_removed"),
     )
     # A document's own windows: no more than it has words.
     spans = windows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", (F.col("head") < F.col("doc_id")).alias("later")))).alias("spans"))
@@ -307,7 +371,10 @@ def describe_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = ids.alias("d").join(summed.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left")
     out = out.join(passages, F.col("d.doc_id") == F.col("id"), "left").join(links, F.col("d.doc_id") == F.col("node"), "left")
     zero = lambda name: F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
-    counts = ("n_paragraphs", "n_repeated", "n_removed", "removed_words", "passage_words", "passage_removed")
+    counts = (
+        "n_paragraphs", "n_long", "n_repeated", "n_removed", "removed_words", "n_joined", "joined_repeated", "joined_removed",
+        "passage_words", "passage_removed",
+    )
     return out.select("d.doc_id", *map(zero, counts), F.coalesce("root", "d.doc_id").alias("class_id"))
 
 

@@ -104,6 +104,30 @@ def test_passages_of_fifty_words_anywhere(spark):
     assert all(found[i]["passage_words"] == 0 and found[i]["class_id"] == i for i in clean)
 
 
+def test_short_units(spark):
+    """Short lines, hard-wrapped near copies and short documents are linked too, each like all pairs at 0.8."""
+    rng = random.Random(21)
+    other = lambda n: brute.sentence(rng, n)
+    license_, near, wrapped, tiny = other(9), other(30).split(), other(48).split(), other(3)
+    changed = [*near[:-1], "changed"]
+    wrap = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+    rewrapped = [*wrapped[:-1], "changed"]
+    texts = [
+        f"{other(60)}\n{license_}", f"{license_.upper()}\n{other(70)}",  # a line of nine words
+        f"{other(80)}\n{' '.join(near)}", f"{' '.join(changed)}\n{other(55)}",  # near copies of 30 words
+        f"{other(60)}\n\n{wrap(wrapped, 10)}\n\n{other(60)}", f"{other(90)}\n\n{wrap(rewrapped, 7)}\n\n{other(52)}",  # wrapped anew
+        tiny, f" {tiny} ", "one\n\ntwo\n\nthree four", "one two\n\nthree\n\nfour",  # whole documents
+        other(9), other(3), f"{other(60)}\n{other(30)}", "", "",
+    ]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], brute.SCHEMA).repartition(4)
+    found = sorted(paragraphs.op6_paragraphs(df).collect(), key=lambda r: r["doc_id"])
+    assert [r["class_id"] for r in found] == [0, 0, 2, 2, 4, 4, 6, 6, 8, 8, 10, 11, 12, 13, 14]
+    assert [r["n_removed"] for r in found] == [0, 1, 0, 1] + [0] * 11
+    assert [r["removed_words"] for r in found] == [0, 9, 0, 30] + [0] * 11
+    assert [r["joined_removed"] for r in found] == [0, 0, 0, 0, 0, 1, 0, 1, 0, 1] + [0] * 5
+    assert [r["n_long"] for r in found] == [1, 1, 1, 1, 2, 2] + [0] * 6 + [1, 0, 0]
+
+
 def test_thinning_keeps_a_window_of_every_neighbourhood():
     rng = random.Random(5)
     for vocabulary in (2, 5, 1000):
