@@ -41,6 +41,19 @@ def test_checksums_and_context(text, kinds):
     assert [pii.KINDS[k] for _, k, _, _ in pii.scored(text)] == kinds
 
 
+@pytest.mark.parametrize(
+    "text, accounts",
+    [
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+        ("IBAN DE89 3704 0044 0532 0130 00 EUR 5", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 BIC: X", ["DE89370400440532013000"]),
+        ("REF AB12 DE89370400440532013000 GB82 WEST 1234 5698 7654 32 X", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]),
+    ],
+)
+def test_accounts_among_capitals(text, accounts):
+    assert [text[a:b] for a, k, b, _ in pii.scored(text) if pii.KINDS[k] == "iban"] == accounts
+
+
 def test_context_raises_the_score():
     near, far = pii.scored("server 10.0.0.1")[0][3], pii.scored("x 10.0.0.1")[0][3]
     assert near > far
