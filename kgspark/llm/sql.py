@@ -120,6 +120,30 @@ summed AS (SELECT doc_id, bytes, h, depth, sum(bytes) OVER (PARTITION BY depth,
 fit AS (SELECT doc_id, bytes, h, min(depth) AS depth FROM summed WHERE total <= 1048576 OR depth = 60 GROUP BY doc_id, bytes, h)
 SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), CAST(depth AS INT), '0') END AS shard, CAST(depth AS INT) AS depth FROM fit"""
 
+_TERMS = "regexp_extract_all({0}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(_LOWER.format("coalesce(text, '')"))
+
+#: Every term against every group and every other source, as the definition reads; 128-bit integers throughout.
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+said AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+vocabulary AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS b FROM said GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(b) AS HUGEINT) AS m FROM vocabulary GROUP BY lang),
+counts AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS a FROM said SEMI JOIN vocabulary USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, sum(a) AS n FROM counts GROUP BY lang, source),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cells AS (
+    SELECT lang, source, term, coalesce(a, 0) AS a, 1 + 1000000000 * (coalesce(a, 0) + 2) // (coalesce(n, 0) + 2 * v) AS p, 1 + 1000000000 * (b + 2) // (m + 2 * v) AS q
+    FROM groups JOIN langs USING (lang) JOIN vocabulary USING (lang) LEFT JOIN counts USING (lang, source, term) LEFT JOIN totals USING (lang, source)),
+sums AS (
+    SELECT l.lang, l.source, r.source AS item, sum((l.p - r.p) * (l.p - r.p) // (l.p + r.p)) AS value
+    FROM cells l JOIN cells r ON l.lang = r.lang AND l.term = r.term AND l.source <> r.source GROUP BY ALL),
+pairs AS (
+    SELECT l.lang, l.source, 'pair' AS part, r.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM groups l JOIN groups r ON l.lang = r.lang AND l.source <> r.source LEFT JOIN sums ON sums.lang = l.lang AND sums.source = l.source AND sums.item = r.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM cells WHERE a > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "C") AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op3_secrets": _secrets(),
     "op5_decontaminate": DECONTAMINATE,
@@ -127,4 +151,5 @@ ORACLES: dict[str, str] = {
     "op8_quality": QUALITY,
     "op9_warc": WARC,
     "op10_sharding": SHARDING,
+    "op13_divergence": DIVERGENCE,
 }

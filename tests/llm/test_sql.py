@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_dedup", "decontamination", "secret_scans", "best_fit_packing"]
 
