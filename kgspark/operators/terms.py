@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from kgspark.functions.text import BLANKS, model_term
 
 LOCAL_NAME = "[A-Za-z_][A-Za-z_0-9]*"
-# A prefix label: what a declaration can bind, the empty label included.
-LABEL = r"[^\s:<>\"'()\[\]{},;^@]*+"
+# What may stand before the colon of a prefixed name, labels of any file among it.
+HEAD = r"[^\s:<>\"'()\[\]{},;^@]*+"
+# No label starts right after one of these.
+JOINED = r"[:_\p{L}\p{N}#-]"
 
 
 def _start():
@@ -61,28 +63,27 @@ def emitted_terms(lines: DataFrame, base: str) -> DataFrame:
 
     A prefixed name counts only where the file itself binds the prefix to the
     model base. Declarations and comment lines are skipped, and so are
-    labels in the middle of a longer name.
+    labels in the middle of a longer name. What stands before a colon may be
+    longer than the label (``see/ex:T``), so it is counted whole and its end
+    compared with the label of the file.
     """
     # Both spellings of a name hold a colon.
     body = lines.filter(F.contains("line", F.lit(":")) & ~_start().startswith("@prefix") & ~_start().startswith("#"))
-    full = F.transform(
-        F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1),
-        lambda term: F.struct(F.lit(None).cast("string").alias("label"), term.alias("term")),
-    )
-    prefixed = F.transform(
-        F.regexp_extract_all("line", F.lit(rf"(?<![:\w#-])({LABEL}:{LOCAL_NAME})"), 1),
-        lambda name: F.struct(
-            F.substring_index(name, ":", 1).alias("label"), F.substring_index(name, ":", -1).alias("term")
-        ),
-    )
-    # The text itself is never shuffled: only counts per file, label and term are.
+    full = F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1)
+    prefixed = F.regexp_extract_all("line", F.lit(rf"(?<!{JOINED})({HEAD}:{LOCAL_NAME})"), 1)
+    # The text itself is never shuffled: only counts per file and name are. A name without a colon was written in full.
     counted = (
-        body.select("file", F.inline(F.concat(full, prefixed)))
-        .groupBy("file", "label", "term").agg(F.count(F.lit(1)).alias("uses"))
+        body.select("file", F.explode(F.concat(full, prefixed)).alias("name"))
+        .groupBy("file", "name").agg(F.count(F.lit(1)).alias("uses"))
+        .select("file", "uses", F.substring_index("name", ":", -1).alias("term"),
+                F.when(F.contains("name", F.lit(":")), F.substring_index("name", ":", 1)).alias("head"))
     )
     bound = file_prefixes(lines, base).select("file", F.col("label").alias("own"))
+    head, own = F.col("head"), F.col("own")
+    before = F.substring(head, F.length(head) - F.length(own), F.lit(1))
+    labelled = (head == own) | (F.endswith(head, own) & ~before.rlike(JOINED))
     return (
-        counted.join(bound, "file", "left").filter(F.col("label").isNull() | (F.col("label") == F.col("own")))
+        counted.join(bound, "file", "left").filter(head.isNull() | labelled)
         .groupBy("term").agg(F.sum("uses").alias("uses"))
     )
 

@@ -179,6 +179,28 @@ def test_term_scans_of_files(spark, tmp_path):
     assert {r["term"] for r in defined.collect()} == {"uses", "Full"}
 
 
+@pytest.mark.parametrize(
+    "line, terms_of_ex",
+    [
+        ("b.ex:C x/ex:D =ex:E |ex:F é.ex:G <ex:H (ex:I", "CDEFGHI"),
+        ("aex:A éex:B _ex:C 5ex:D -ex:E #ex:F :ex:G urn:ex:H a-ex:I", ""),
+        ("ex:A ex:Bex:C ex:D.ex:E ex:F,ex:G;ex:H a:b.ex:I a:.ex:J", "ADEFGHIJ"),
+    ],
+)
+def test_labels_inside_longer_names(spark, line, terms_of_ex):
+    """Only : \\w # - before a label hide it; ``Bex`` is a local name of its own."""
+    rows = [("f", "@prefix ex: <urn:m#> ."), ("f", line), ("g", "@prefix other: <urn:m#> ."), ("g", line)]
+    found = terms.emitted_terms(spark.createDataFrame(rows, "file STRING, line STRING"), "urn:m#").collect()
+    assert "".join(sorted(r["term"] for r in found if len(r["term"]) == 1)) == terms_of_ex
+    assert all(r["uses"] == 1 for r in found)
+
+
+def test_the_empty_label(spark):
+    rows = [("f", "@prefix : <urn:m#> ."), ("f", ":A x.:B x:C (:D ::E")]
+    found = terms.emitted_terms(spark.createDataFrame(rows, "file STRING, line STRING"), "urn:m#").collect()
+    assert sorted(r["term"] for r in found) == ["A", "B", "D"]
+
+
 def test_results_in_three_formats(spark, tmp_path):
     df = spark.createDataFrame([("SOD1", 3)], "symbol STRING, n INT")
     for fmt, line in (("tsv", "SOD1\t3"), ("csv", "SOD1,3"), ("json", '{"symbol":"SOD1","n":3}')):

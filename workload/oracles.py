@@ -170,6 +170,9 @@ TABLES = {
     "file_lines": f"""
         SELECT doc_id AS file, lang, unnest(string_split(lang || ':' || replace(text, ' ', ' ' || lang || ':'), chr(10))) AS line
         FROM documents WHERE lang IN ('en', 'fr')""",
+    "glued_lines": """
+        SELECT lang, unnest(string_split(lang || ':' || replace(text, ' ', substr('./=|-#é:', CAST(doc_id % 8 AS INT) + 1, 1) || lang || ':'), chr(10))) AS line
+        FROM documents""",
     "model_lines": """
         SELECT unnest(string_split(CASE WHEN role = 'user' THEN 'model:' ELSE '    model:' END || text, chr(10))) AS line
         FROM conversations""",
@@ -604,6 +607,10 @@ SQL = {
         SELECT term, count(*) AS uses FROM (
           SELECT unnest(regexp_extract_all(line, '{NEW_WORD}' || lang || ':{LOCAL}', 1)) AS term FROM file_lines
           WHERE NOT starts_with(ltrim(line), '#')) GROUP BY term""",
+    "emitted_terms_glued": rf"""
+        SELECT term, count(*) AS uses FROM (
+          SELECT unnest(regexp_extract_all(line, '(?:^|[^:_\pL\pN#-])' || lang || ':{LOCAL}', 1)) AS term FROM glued_lines
+          WHERE NOT starts_with(ltrim(line), '#')) GROUP BY term""",
     "defined_terms": r"""
         SELECT DISTINCT substr(subject, 7) AS term FROM (SELECT regexp_extract(line, '^([^\s#@]\S*)', 1) AS subject FROM model_lines)
         WHERE starts_with(subject, 'model:') AND length(subject) > 6""",

@@ -513,6 +513,11 @@ def emitted_terms(t: Tables) -> DataFrame:
     return M.emitted_terms(t.model_files, MODEL_BASE)
 
 
+@query
+def emitted_terms_glued(t: Tables) -> DataFrame:
+    return M.emitted_terms(t.glued_files, MODEL_BASE)
+
+
 @query
 def defined_terms(t: Tables) -> DataFrame:
     return M.defined_terms(t.model_text, MODEL_BASE, "model")

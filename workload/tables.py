@@ -189,6 +189,16 @@ class Tables:
             "split(concat(lang, ':', replace(text, ' ', concat(' ', lang, ':'))), '\\n'))) AS line",
         )
 
+    @cached_property
+    def glued_files(self) -> DataFrame:
+        """Documents as statement files whose names are glued together, each file by a separator of its own."""
+        glue = "element_at(array('.', '/', '=', '|', '-', '#', 'é', ':'), CAST(doc_id % 8 AS INT) + 1)"
+        return self.read("documents").selectExpr(
+            "CAST(doc_id AS STRING) AS file",
+            f"explode(concat(array(concat('@prefix ', lang, ': <{MODEL_BASE}> .')), "
+            f"split(concat(lang, ':', replace(text, ' ', concat({glue}, lang, ':'))), '\n'))) AS line",
+        )
+
     @cached_property
     def model_text(self) -> DataFrame:
         """Turns as model text: what a user says defines, what an answer says only mentions."""
