@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kgspark.errors import LayoutError
 from kgspark.functions.text import BLANKS, trim_blanks
-from kgspark.session import any_row
+from kgspark.session import any_row, write_shared
+from kgspark.sources.quoted import files_with_open_lines, quoted_records
 from kgspark.vocab import HEADER_WORDS
 
 
@@ -106,17 +109,55 @@ def read_keyed_tsv(spark: SparkSession, path: str, required: Sequence[str], key:
     A missing column is an error, and so is a file whose header differs from the
     first one's, when it is read. A quoted field may hold line breaks. Rows with a
     blank ``key`` (the first required column unless given) are skipped.
+
+    Files are split and read in parallel. Spark's delimited reader takes those
+    without a line break in a field line by line; the records of the others are
+    put together first (:mod:`kgspark.sources.quoted`).
     """
     key = key or required[0]
-    df = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option(
-        "multiLine", True
-    ).option("enforceSchema", False).csv(path)
-    missing = [c for c in required if c not in df.columns]
+    options = {"sep": "\t", "quote": '"', "escape": '"', "enforceSchema": "false", "header": "true"}
+    columns = spark.read.options(**options, multiLine=True).csv(path).columns
+    missing = [c for c in required if c not in columns]
     if missing:
         raise LayoutError(f"{path} has no column {', '.join(missing)}")
+    lines = physical_lines(spark, path)
+    spanning = [r["file"] for r in files_with_open_lines(lines).collect()]  # names of files
+    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
+    df = spark.read.options(**options).schema(schema).csv(path)
+    if spanning:
+        here = F.col("_metadata.file_path").isin(*spanning)
+        rest = _records_by_name(lines.filter(F.col("file").isin(*spanning)), columns, schema)
+        df = df.filter(~here).select(*required).unionByName(rest.select(*required))
     return df.select(*required).filter(F.length(F.btrim(F.coalesce(F.col(key), F.lit("")), F.lit(BLANKS))) > 0)
 
 
+def physical_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, block, position, value`` of text files: ``block`` is where a split starts, ``position`` grows within it.
+
+    Only line feeds end a line; a carriage return before one goes.
+    """
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"), F.rtrim(F.col("value"), F.lit("\r")).alias("value"),
+    )
+
+
+def _records_by_name(lines: DataFrame, columns: Sequence[str], schema: str) -> DataFrame:
+    """Columns of the records of ``lines``, the first record of each file being its header."""
+    # The lines are read once: positions of another reading need not be the same.
+    records = write_shared(quoted_records(write_shared(lines)))
+    parsed = records.filter(F.length(trim_blanks(F.col("record"))) > 0).select(
+        "file", "block", "position", F.from_csv("record", F.lit(schema), {"sep": "\t", "quote": '"', "escape": '"'}).alias("row"),
+    )
+    first = parsed.groupBy("file").agg(F.min(F.struct("block", "position")).alias("first"))
+    marked = parsed.join(first, "file").withColumn("head", F.struct("block", "position") == F.col("first"))
+    wrong = reduce(or_, [~F.col("row").getField(c).eqNullSafe(F.lit(c)) for c in columns])
+    faulty = marked.filter(F.col("head") & wrong).agg(F.min("file")).first()[0]
+    if faulty is not None:
+        raise LayoutError(f"{faulty}: its header is not that of the first file")
+    return marked.filter(~F.col("head")).select("row.*")
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "tsv") -> None:
     """A result table as ``tsv``, ``csv`` or ``json`` files, written in parallel."""
     if fmt == "json":

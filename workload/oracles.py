@@ -419,6 +419,12 @@ SQL = {
                AND contains(split_part(content, chr(10), 1), chr(9)), FALSE) AS tabular, count(*) AS files
         FROM (SELECT 'page' AS kind, html AS content FROM pages UNION ALL SELECT 'document', text FROM documents
               UNION ALL SELECT 'table', o_orderkey || chr(9) || o_orderstatus FROM orders) GROUP BY 1, 2""",
+    "quoted_records": """
+        SELECT file, position // 7 AS block, position, record FROM (
+          SELECT doc_id::VARCHAR AS file, 0 AS position, '"' || replace(text, '"', '""') || '"' || chr(9) || lang AS record FROM documents
+          UNION ALL
+          SELECT doc_id::VARCHAR, length(text) - length(replace(text, chr(10), '')) + 1, source || ' 5" wide' || chr(9) || '"' || lang || '"'
+          FROM documents)""",
     "manifest_compare": """
         SELECT doc_id::VARCHAR AS filename, md5(text) AS ours_md5,
                md5(CASE WHEN lang = 'de' THEN text || '.' ELSE text END) AS theirs_md5, lang <> 'de' AS same

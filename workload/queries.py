@@ -23,7 +23,7 @@ from kgspark.plans import ingest as I
 from kgspark.plans import queries as N
 from kgspark.plans.describe import characteristics
 from kgspark.session import write_shared
-from kgspark.sources import manifests, releases, snapshots, statements, tsv
+from kgspark.sources import manifests, quoted, releases, snapshots, statements, tsv
 from workload.tables import CURATED, INFERRED, MODEL_BASE, SPOT_GENE, SPOT_PATHWAY, SYMBOLS, Tables
 
 Query = Callable[[Tables], DataFrame]
@@ -87,6 +87,18 @@ def parse_statements(t: Tables) -> DataFrame:
     return statements.parse_statements(nquads_lines(t).withColumnRenamed("line", "value"))
 
 
+@query
+def quoted_records(t: Tables) -> DataFrame:
+    """Each document as a quoted file of two records, its lines in blocks, put together again."""
+    content = (
+        "concat('\"', replace(text, '\"', '\"\"'), '\"\\t', lang, '\\n', source, ' 5\" wide\\t\"', lang, '\"')"
+    )
+    lines = t.read("documents").selectExpr(
+        "CAST(doc_id AS STRING) AS file", f"posexplode(split({content}, '\n')) AS (position, value)"
+    )
+    return quoted.quoted_records(lines.selectExpr("file", "position div 7 AS block", "position", "value"))
+
+
 @query
 def release_metadata(t: Tables) -> DataFrame:
     described = t.read("orders").selectExpr(
