@@ -562,6 +562,7 @@ SQL = {
         SELECT pathway, genes FROM spelled
         WHERE spelled = (SELECT spelled FROM same_sets ORDER BY sets DESC, group_id LIMIT 1)""",
     "reconcile_sets": "SELECT *, missing = 0 AND extra = 0 AS exact_match FROM member_compare",
+    "reconcile_by_digest": "SELECT *, missing = 0 AND extra = 0 AS exact_match FROM member_compare",
     "reconcile_sample": """
         SELECT *, missing = 0 AND extra = 0 AS exact_match FROM member_compare WHERE key IN (
           SELECT pathway FROM (SELECT DISTINCT pathway, md5(pathway || ':97') AS h FROM edges ORDER BY h, pathway LIMIT 100))""",
@@ -648,6 +649,12 @@ SQL = {
         LEFT JOIN (SELECT DISTINCT memberships, gene, parent AS pathway FROM closed_kinds JOIN hierarchy ON child = pathway
                    EXCEPT SELECT * FROM closed_kinds) i ON i.memberships = k.memberships GROUP BY k.memberships""",
     "release_diff": "SELECT id, previous_label, current_label, change FROM changes",
+    "release_diff_by_digest": "SELECT id, previous_label, current_label, change FROM changes",
+    "table_difference": """
+        SELECT gene, pathway, sum(l)::BIGINT AS left_rows, sum(r)::BIGINT AS right_rows FROM (
+          SELECT gene, pathway, 1 AS l, 0 AS r FROM edges UNION ALL SELECT gene, pathway, 0, 1 FROM damaged
+          UNION ALL SELECT gene, pathway, 0, 1 FROM damaged WHERE pathway IN (SELECT id FROM node WHERE taxon = 'PROMO'))
+        GROUP BY gene, pathway HAVING sum(l) <> sum(r)""",
     "diff_counts": "SELECT change, count(*) AS nodes FROM changes GROUP BY change",
     "successors": "SELECT id, label, replaced_by FROM followers",
     "retired_rows": """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kgspark.functions import text as X
 from kgspark.operators import diff as D
+from kgspark.operators import digests as G
 from kgspark.operators import hierarchy as H
 from kgspark.operators import quads as Q
 from kgspark.operators import resolve as R
@@ -387,6 +388,13 @@ def reconcile_sets(t: Tables) -> DataFrame:
     return S.reconcile_sets(ours, theirs)
 
 
+@query
+def reconcile_by_digest(t: Tables) -> DataFrame:
+    t = t.kept(edges=True)
+    ours, theirs = (df.selectExpr("pathway AS key", "gene AS member") for df in (t.edges, t.damaged))
+    return G.reconcile_sets_by_digest(ours, theirs, is_set=True)
+
+
 @query
 def first_lines(t: Tables) -> DataFrame:
     """First lines by position, whatever order the lines come in."""
@@ -614,6 +622,19 @@ def release_diff(t: Tables) -> DataFrame:
     return D.release_diff(t.previous, t.current)
 
 
+@query
+def release_diff_by_digest(t: Tables) -> DataFrame:
+    return G.release_diff_by_digest(t.previous, t.current)
+
+
+@query
+def table_difference(t: Tables) -> DataFrame:
+    """Edges before and after a partial run, those of the damaged ones twice that end in a promoted node."""
+    t = t.kept(edges=True)
+    promoted = t.node.filter("taxon = 'PROMO'").selectExpr("id AS pathway")
+    return G.table_difference(t.edges, t.damaged.unionByName(t.damaged.join(promoted, "pathway", "left_semi").select("gene", "pathway")), ["gene"])
+
+
 @query
 def diff_counts(t: Tables) -> DataFrame:
     return D.diff_counts(D.release_diff(t.previous, t.current))
