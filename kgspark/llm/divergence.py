@@ -22,7 +22,7 @@ from kgspark.session import write_shared
 #: Documents of a language a kept term stands in; terms ranked per group; scale of p.
 LEAST_DOCUMENTS, TOP, SCALE = 10, 10, 1_000_000_000
 #: Entries of the word counts a task holds before it hands them on.
-HELD = 200_000
+HELD, DOCUMENT = 400_000, 1 << 38
 #: Rows of one group, and of all groups, that a task holds before it reduces them to skybands.
 GROUP_ROWS, TASK_ROWS = 4_096, 262_144
 #: Sources and terms of a tile: a tile of the pairs compares two chunks of sources over one block of terms.
@@ -37,34 +37,33 @@ def term_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str)
     given = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple, Counter] = defaultdict(Counter)
-        documents: dict[tuple, Counter] = defaultdict(Counter)
+        # Occurrences and documents of a term in one number: a task hands on long before either reaches DOCUMENT.
+        counts: dict[tuple, dict[bytes, int]] = defaultdict(dict)
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for group, found in counts.items():
+            for (lang, source), found in counts.items():
                 terms = list(found)
-                own = documents[group]
                 for at in range(0, len(terms), 10_000):
                     some = terms[at : at + 10_000]
+                    both = np.array([found[t] for t in some], np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([group[0]] * len(some), pa.string()), pa.array([group[1]] * len(some), pa.string()),
+                            pa.array([lang] * len(some), pa.string()), pa.array([source] * len(some), pa.string()),
                             pa.array([t.decode("utf-8", "replace") for t in some], pa.string()),
-                            pa.array([found[t] for t in some], pa.int64()), pa.array([own[t] for t in some], pa.int64()),
+                            pa.array(both % DOCUMENT, pa.int64()), pa.array(both // DOCUMENT, pa.int64()),
                         ],
                         names=["lang", "source", "term", "n", "d"],
                     )
             counts.clear()
-            documents.clear()
 
         for batch in batches:
-            for lang, source, raw in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text")):
-                terms = Counter(raw.as_py().translate(LETTERS).split())
-                before = len(counts[lang, source])
-                counts[lang, source].update(terms)
-                documents[lang, source].update(terms.keys())
-                held += len(counts[lang, source]) - before
+            for lang, source, raw in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text").to_pylist()):
+                own = counts[lang, source]
+                before, known = len(own), own.get
+                for term, n in Counter(raw.translate(LETTERS).split()).items():
+                    own[term] = known(term, 0) + DOCUMENT + n
+                held += len(own) - before
                 if held > HELD:
                     yield from flush()
                     held = 0
