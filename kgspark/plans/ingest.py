@@ -28,9 +28,10 @@ from kgspark.plans import checks as C
 from kgspark.plans.describe import characteristics
 from kgspark.plans.release import Release
 from kgspark.session import any_row, sample_text, write_shared
+from kgspark.sources.loads import fresh_load, move, path_exists, remove
 from kgspark.sources.manifests import read_manifest
 from kgspark.sources.releases import (
-    graph_name, read_metadata, read_release_json, read_releases, release_metadata, release_row, replace_release,
+    discard_release, graph_name, publish_release, read_release_json, read_staged, release_metadata, release_row, stage_release,
     write_metadata,
 )
 from kgspark.sources.tsv import (
@@ -265,10 +266,21 @@ def run(
     spark: SparkSession, paths: Mapping[str, str], workdir: str, settings: Settings, defined: DataFrame,
     release_json: str | None = None,
 ) -> DataFrame:
-    """The whole job; returns the check rows. Tables go to ``workdir``."""
+    """The whole job; returns the check rows. Tables go to ``workdir``.
+
+    Everything is written aside first. A release takes the place of the one
+    before it when its checks have passed: its tables by a rename, its
+    statements by their marker, its metadata last. A job that fails or is killed
+    leaves the former release; what a failed check was about is in the folder
+    ``failed=...``.
+    """
     workdir = workdir.rstrip("/")
     graph = graph_name(settings.version)
-    tables = f"{workdir}/release={graph.rsplit(':', 1)[-1]}"
+    version = graph.rsplit(":", 1)[-1]
+    final, replaced = f"{workdir}/release={version}", f"{workdir}/_replaced/{version}"
+    if path_exists(spark, replaced) and not path_exists(spark, final):
+        move(spark, replaced, final)  # a job was killed between its two renames
+    tables = f"{workdir}/_staged/{version}-{fresh_load()}"
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{tables}/{name}"
@@ -285,7 +297,7 @@ def run(
 
     emitted = built.release.quads(graph, settings.source, settings.vocabulary)
     watched, counted = part_counts(emitted)
-    total = replace_release(watched, f"{workdir}/quads", graph)
+    load, total = stage_release(watched, f"{workdir}/quads", graph)
     parts = store("statements_per_part", counted())
     stated = parts.agg(F.sum("statements")).collect()[0][0]
     store("metadata_check", matches_metadata(spark.createDataFrame([(total,)], "statements BIGINT"), stated))
@@ -296,26 +308,34 @@ def run(
         )
     else:
         described = release_row(spark, graph=graph, version=f"v{settings.version.lstrip('vV')}", triples=total)
-    write_metadata(
-        spark, release_metadata(described, settings.run_date, taxon=settings.taxon), f"{workdir}/metadata", graph
-    )
+    metadata = release_metadata(described, settings.run_date, taxon=settings.taxon)
 
-    loaded = read_releases(spark, f"{workdir}/quads").filter(F.col("graph") == graph)
+    loaded = read_staged(spark, f"{workdir}/quads", graph, load)
     prefix = settings.vocabulary.participates_in.split(":", 1)[0] + ":"
     usage = store("term_usage", term_usage(loaded, prefix))
     results = store("checks", run_checks(built.release, loaded, settings, defined, usage))
     store("undefined_terms", undefined_terms(usage, defined))
     if not C.accepted(results):
-        return results
+        discard_release(spark, f"{workdir}/quads", graph, load)
+        remove(spark, f"{workdir}/failed={version}")
+        move(spark, tables, f"{workdir}/failed={version}")
+        return spark.read.parquet(f"{workdir}/failed={version}/checks")
     sourced = loaded.filter(F.col("p") == settings.vocabulary.source_slot).groupBy("o").agg(F.count(F.lit(1)).alias("n"))
     report = characteristics(
         built.release, codes=list(settings.evidence.values()), source=settings.source, statements=parts,
         knowledge_sources=sourced.select(F.col("o").alias("source"), "n"),
-        metadata=read_metadata(spark, f"{workdir}/metadata").filter(F.col("s") == graph),
+        metadata=metadata.filter(F.col("s") == graph),
         manifest=read_manifest(spark, settings.manifest) if settings.manifest else None,
     )
     write_result(report, f"{tables}/characteristics", "json")
-    return results
+    if path_exists(spark, final):
+        remove(spark, replaced)
+        move(spark, final, replaced)
+    move(spark, tables, final)
+    publish_release(spark, f"{workdir}/quads", graph, load)
+    write_metadata(spark, metadata, f"{workdir}/metadata", graph)
+    remove(spark, replaced)
+    return spark.read.parquet(f"{final}/checks")
 
 
 def layout_markdown(parsed: DataFrame, spec: LayoutSpec) -> str:

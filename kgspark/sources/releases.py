@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kgspark.errors import IngestError
 from kgspark.functions.text import licence_url, pad_month
 from kgspark.operators.quads import QUAD_COLUMNS, _iri, _text, _typed
-from kgspark.session import ensure_checkpoint_dir, literal_table, observed
+from kgspark.session import literal_table, observed
+from kgspark.sources.loads import EMPTY, current_loads, fresh_load, names_in, path_exists, publish, remove
 
 
 def graph_name(version: str, base: str = "urn:kg:release:v") -> str:
@@ -19,42 +20,51 @@ def graph_name(version: str, base: str = "urn:kg:release:v") -> str:
     return base + number
 
 
-def _path_of(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def stage_release(quads: DataFrame, path: str, graph: str) -> tuple[str, int]:
+    """Write the statements of a graph to a fresh folder; return the load and its number of statements.
 
+    Readers do not see it before :func:`publish_release`. Rows are sorted by
+    predicate within files, so a pattern on a predicate skips row groups. The
+    statements are a set; without any there is no folder.
+    """
+    spark, load, seen = quads.sparkSession, fresh_load(), Observation()
+    folder = staged_folder(path, graph, load)
+    rows = quads.filter(F.col("graph") == graph).select(*QUAD_COLUMNS).distinct().drop("graph")
+    rows.sortWithinPartitions("p", "s").observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    written = observed(seen, "rows")
+    if written is None:
+        written = spark.read.parquet(folder).count()
+    if written == 0:
+        remove(spark, folder)
+        load = EMPTY
+    return load, int(written)
+
+
+def publish_release(spark: SparkSession, path: str, graph: str, load: str) -> None:
+    """Make a staged load the release that readers see; the one before it goes afterwards."""
+    name = f"graph={_escape(graph)}"
+    publish(spark, path, name, load, name)
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder or file exists, on whatever file system it names."""
-    where, fs = _path_of(spark, path)
-    return fs.exists(where)
+
+def discard_release(spark: SparkSession, path: str, graph: str, load: str) -> None:
+    """Remove a staged load that will not be published."""
+    if load != EMPTY:
+        remove(spark, staged_folder(path, graph, load))
 
 
 def replace_release(quads: DataFrame, path: str, graph: str) -> int:
     """Replace one release graph in a table and leave all others; return its statements.
 
-    Only the partition folder of the release is overwritten. Rows are sorted by
-    predicate within files, so a pattern on a predicate skips row groups; the
-    order starts with the partition column, as the writer wants it, so nothing
-    sorts them again. A release without statements removes its folder, once it
-    is certain that there are none.
+    The new statements are written aside and then made current in one step, so
+    a write that fails leaves the former release.
     """
-    seen = Observation()
-    rows = quads.filter(F.col("graph") == graph).select(*QUAD_COLUMNS).distinct()
-    (
-        rows.sortWithinPartitions("graph", "p", "s").observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("graph").parquet(path)
-    )
-    written = observed(seen, "rows")
-    if written is None:
-        written = 0 if rows.isEmpty() else read_releases(quads.sparkSession, path).filter(F.col("graph") == graph).count()
-    if written == 0:
-        where, fs = _path_of(quads.sparkSession, f"{path}/graph={_escape(graph)}")
-        if fs.exists(where):
-            fs.delete(where, True)
-    return int(written)
+    load, written = stage_release(quads, path, graph)
+    publish_release(quads.sparkSession, path, graph, load)
+    return written
+
+
+def staged_folder(path: str, graph: str, load: str) -> str:
+    return f"{path}/graph={_escape(graph)}/load={load}"
 
 
 # Characters that a partition folder name spells as %XX.
@@ -67,9 +77,21 @@ def _escape(value: str) -> str:
 
 
 def read_releases(spark: SparkSession, path: str) -> DataFrame:
-    """The statement table over all releases."""
+    """The statement table over all published releases."""
+    folders = [f"{path}/{name}/load={load}" for name, load in sorted(current_loads(spark, path).items()) if load != EMPTY]
+    return _statements(spark, path, folders)
+
+
+def read_staged(spark: SparkSession, path: str, graph: str, load: str) -> DataFrame:
+    """The statements of one load, published or not."""
+    return _statements(spark, path, [] if load == EMPTY else [staged_folder(path, graph, load)])
+
+
+def _statements(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
     schema = "s STRING, p STRING, o STRING, o_kind STRING, o_datatype STRING, graph STRING"
-    return spark.read.schema(schema).parquet(path).select(*QUAD_COLUMNS)
+    if not folders:
+        return spark.createDataFrame([], schema).select(*QUAD_COLUMNS)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*QUAD_COLUMNS)
 
 
 def release_metadata(
@@ -118,29 +140,48 @@ def upsert_metadata(existing: DataFrame, new: DataFrame, graph: str) -> DataFram
     return kept.unionByName(new).distinct()
 
 
+METADATA = "s STRING, p STRING, o STRING, o_kind STRING, o_datatype STRING, own BOOLEAN, load BIGINT"
+#: Loads kept side by side; one more puts them together.
+MOST_LOADS = 32
+
+
 def write_metadata(spark: SparkSession, new: DataFrame, path: str, graph: str) -> None:
-    """Upsert metadata in storage: each subject is its own partition folder.
+    """Upsert metadata in storage: a load is appended, and reading decides what it replaces.
 
-    The graph's folder is replaced. Activity statements accumulate: those already
-    stored are kept and repeated ones collapse.
+    The graph's own statements replace those of its earlier loads; activity
+    statements accumulate. Every load is one folder of few files whatever it
+    describes. When there are many loads, the new one takes in what the others
+    still say and they go; they say nothing new, should that be interrupted.
     """
-    own = new.filter(F.col("s") == graph)
-    others = new.filter(F.col("s") != graph)
-    if path_exists(spark, path):
-        stored = read_metadata(spark, path)
-        touched = stored.join(others.select("s").distinct(), "s", "left_semi")
-        # The read must not depend on files the write replaces.
-        ensure_checkpoint_dir(spark)
-        others = others.unionByName(touched).distinct().checkpoint(eager=True)
-    own.unionByName(others).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "s"
-    ).parquet(path)
+    loads = _metadata_loads(spark, path)
+    rows = new.withColumn("own", F.col("s") == graph)
+    crowded = len(loads) >= MOST_LOADS
+    if crowded:
+        kept = _last_statements(spark, path).filter(~F.col("own") | (F.col("s") != graph))
+        rows = rows.unionByName(kept.select(*rows.columns)).distinct()
+    rows.write.mode("append").parquet(f"{path}/load={max(loads, default=0) + 1}")
+    if crowded:
+        for load in loads:
+            remove(spark, f"{path}/load={load}")
+
+
+def _metadata_loads(spark: SparkSession, path: str) -> list[int]:
+    return [int(n[len("load="):]) for n in names_in(spark, path) if n.startswith("load=")]
+
+
+def _last_statements(spark: SparkSession, path: str) -> DataFrame:
+    """Statements with ``own``: of a graph those of its last load, of an activity all."""
+    if not _metadata_loads(spark, path):
+        return spark.createDataFrame([], METADATA).drop("load")
+    stored = spark.read.schema(METADATA).parquet(path)
+    last = stored.filter("own").groupBy("s").agg(F.max("load").alias("last"))
+    kept = stored.join(last, "s", "left").filter(~F.col("own") | (F.col("load") == F.col("last")))
+    return kept.drop("load", "last").distinct()
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Stored metadata statements."""
-    schema = "p STRING, o STRING, o_kind STRING, o_datatype STRING, s STRING"
-    return spark.read.schema(schema).parquet(path).select("s", "p", "o", "o_kind", "o_datatype")
+    return _last_statements(spark, path).select("s", "p", "o", "o_kind", "o_datatype")
 
 
 def append_retired(rows: DataFrame, path: str) -> None:

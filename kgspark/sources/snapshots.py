@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kgspark.errors import PublishError
 from kgspark.functions.text import PORTAL_PATTERN, RELEASE_TAG_PATTERN, SNAPSHOT_PATTERN, length_prefixed, md5_number
 from kgspark.session import literal_table, remove_shared, write_shared
-from kgspark.sources.releases import path_exists
+from kgspark.sources.loads import path_exists, remove
 
 MARKER = "_manifest"
 MARKER_SCHEMA = "portal STRING, snapshot STRING, rows BIGINT, folded STRING, mixed BIGINT"
@@ -61,7 +61,7 @@ def publish_snapshot(df: DataFrame, root: str, portal: str, snapshot: str, allow
             raise PublishError(f"{target} already holds identical content")
     if mark["rows"] == 0:
         raise PublishError("nothing to publish")
-    _remove(spark, marker_path)
+    remove(spark, marker_path)
     df.write.mode("overwrite").parquet(f"{target}/data")
     literal_table(
         spark, [(portal, snapshot, mark["rows"], mark["folded"], mark["mixed"])], MARKER_SCHEMA
@@ -70,13 +70,6 @@ def publish_snapshot(df: DataFrame, root: str, portal: str, snapshot: str, allow
     return target
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(where):
-        fs.delete(where, True)
-
-
 def list_published(spark: SparkSession, root: str) -> DataFrame:
     """``portal, snapshot, rows`` of the marked snapshots; unmarked folders are not listed."""
     markers = f"{root.rstrip('/')}/*/*/{MARKER}"

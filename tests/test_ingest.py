@@ -176,6 +176,21 @@ def test_failed_check_leaves_no_report(spark, defined, tmp_path):
     assert not (work / "release=v97" / "characteristics").exists()
 
 
+def test_a_failed_load_leaves_the_release(spark, done, defined, tmp_path):
+    """Neither a failing check nor a failing write takes anything from the release that is there."""
+    _, work, _ = done
+    def state():
+        quads = read_releases(spark, f"{work}/quads").groupBy("graph").count().collect()
+        meta = read_metadata(spark, f"{work}/metadata").filter("s = 'urn:kg:release:v97'").collect()
+        return sorted(map(tuple, quads)), sorted(map(tuple, meta), key=str), spark.read.parquet(f"{work}/release=v97/facts").count()
+
+    before = state()
+    fewer = [r for r in ASSOCIATIONS if r[0] != "P00002"]
+    results = I.run(spark, sources(tmp_path, associations=fewer), work, settings(expected_nodes=30, max_unresolved=0.5), defined)
+    assert results.filter("status = 'FAIL'").count() == 1 and state() == before
+    assert spark.read.parquet(f"{work}/failed=v97/facts").count() < before[2]
+
+
 def test_too_many_unresolved_rows_stop_the_job(spark, defined, tmp_path):
     with pytest.raises(IngestError, match="unresolved"):
         I.run(spark, sources(tmp_path), str(tmp_path / "w"), settings(max_unresolved=0.01), defined)
