@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.operators.stats import distribution
@@ -66,9 +66,14 @@ def largest_sets(members: DataFrame, nodes: DataFrame | None = None, n: int = 20
 
 def all_set_sizes(nodes: DataFrame, members: DataFrame, id_col: str = "id", is_set: bool = False) -> DataFrame:
     """Size of every node's set, 0 for a node without members."""
-    return nodes.select(F.col(id_col).alias("pathway")).distinct().join(
-        set_sizes(members, is_set), "pathway", "left"
-    ).select("pathway", F.coalesce("genes", F.lit(0).cast("bigint")).alias("genes"))
+    return with_empty_sets(nodes, set_sizes(members, is_set), id_col)
+
+
+def with_empty_sets(nodes: DataFrame, sizes: DataFrame, id_col: str = "id") -> DataFrame:
+    """``pathway, genes`` of every node, 0 where ``sizes`` has none."""
+    return nodes.select(F.col(id_col).alias("pathway")).distinct().join(sizes, "pathway", "left").select(
+        "pathway", F.coalesce("genes", F.lit(0).cast("bigint")).alias("genes")
+    )
 
 
 def set_size_distribution(nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -140,27 +145,36 @@ def containment_summary(contained: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def _fingerprints(held: DataFrame, seeds: int) -> tuple[DataFrame, list[str]]:
-    prints = [F.bit_xor(F.xxhash64(F.lit(seed), F.col("gene"))).alias(f"f{seed}") for seed in range(seeds)]
+def member_hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("gene"))
+
+
+def fingerprints(held: DataFrame, seeds: int) -> tuple[DataFrame, list[str]]:
+    """Size and xor fingerprints of each set, ``pathway, genes, f0, ...``, and the names that identify it."""
+    prints = [F.bit_xor(member_hash(seed)).alias(f"f{seed}") for seed in range(seeds)]
     names = ["genes"] + [f"f{seed}" for seed in range(seeds)]
     return held.groupBy("pathway").agg(F.count(F.lit(1)).alias("genes"), *prints), names
 
 
-def identical_members(members: DataFrame, is_set: bool = False) -> DataFrame:
+def identical_members(members: DataFrame, is_set: bool = False, prints: DataFrame | None = None) -> DataFrame:
     """``pathway, group_id, genes, sets`` for every set that equals another one.
 
     ``group_id`` is the smallest set of its group. Sets are grouped by size and
     xor fingerprints, which combine on the map side. The grouping is then proved
     on the members themselves: in a true group every member occurs once per set.
     Should a fingerprint ever collide, more hash seeds split the group until the
-    proof holds; equal sets are never split.
+    proof holds; equal sets are never split. ``prints`` are :func:`fingerprints`
+    kept from before.
     """
     ensure_checkpoint_dir(members.sparkSession)
     held = _held(members, True) if is_set else write_shared(_held(members, False))
     seeds = 2
     while True:
-        prints, names = _fingerprints(held, seeds)
-        prints = prints.checkpoint(eager=True)
+        if prints is None:
+            prints, names = fingerprints(held, seeds)
+            prints = prints.checkpoint(eager=True)
+        else:
+            names = [c for c in prints.columns if c != "pathway"]
         groups = prints.groupBy(*names).agg(
             F.count(F.lit(1)).alias("sets"), F.min("pathway").alias("group_id")
         ).filter(F.col("sets") > 1)
@@ -170,7 +184,7 @@ def identical_members(members: DataFrame, is_set: bool = False) -> DataFrame:
         )
         if not any_row(seen.filter(F.col("seen") != F.col("sets"))):
             return grouped
-        seeds += 2
+        prints, seeds = None, seeds + 2
 
 
 def identical_sets(members: DataFrame) -> DataFrame:

@@ -138,9 +138,11 @@ def _under(hist: DataFrame, opened: DataFrame, by: list[str], shift: int) -> Dat
 
 def evidence_mix(facts: DataFrame, known_codes: Sequence[str]) -> DataFrame:
     """Facts per code: ``code, facts, mapped``."""
-    return facts.groupBy("code").agg(F.count(F.lit(1)).alias("facts")).withColumn(
-        "mapped", F.coalesce(F.col("code").isin(*known_codes), F.lit(False))
-    )
+    return facts.groupBy("code").agg(F.count(F.lit(1)).alias("facts")).withColumn("mapped", is_mapped(known_codes))
+
+
+def is_mapped(known_codes: Sequence[str]) -> Column:
+    return F.coalesce(F.col("code").isin(*known_codes), F.lit(False))
 
 
 def accession_counts(facts: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from kgspark.operators import hierarchy as H
 from kgspark.operators import sets as S
 from kgspark.operators import stats as T
 from kgspark.operators.shapes import shape_agreement
+from kgspark.plans.incremental import Measures
 from kgspark.plans.release import Release
 from kgspark.session import write_shared
 
@@ -61,7 +62,7 @@ def characteristics(
     release: Release, *, codes: Sequence[str], source: str, statements: DataFrame | None = None,
     band: tuple[int, int] = (15, 500), top: int = 20, classes: Mapping[str, str] | None = None,
     knowledge_sources: DataFrame | None = None, metadata: DataFrame | None = None,
-    manifest: tuple[DataFrame, DataFrame] | None = None,
+    manifest: tuple[DataFrame, DataFrame] | None = None, measures: Measures | None = None,
 ) -> DataFrame:
     """The report. ``statements`` (part, statements) adds the emitted counts.
 
@@ -70,6 +71,9 @@ def characteristics(
     stored about the release, ``manifest`` the header (key, value) and the files
     (filename, bytes) of its sources.
 
+    ``measures`` are those of this release, as :func:`kgspark.plans.incremental.advance`
+    keeps them from one release to the next; without them they are counted here.
+
     What several sections read (degrees, set sizes, overlaps, equal sets) is
     computed once and kept in the checkpoint folder; the sections themselves are
     small aggregates over those tables.
@@ -81,12 +85,19 @@ def characteristics(
 
     depths = keep(H.depth(node, release.hierarchy))
     degree = keep(H.degrees(node, release.hierarchy))
-    sizes = keep(S.all_set_sizes(node, members, is_set=True))
-    gene_degree = keep(S.degree_of_genes(members, is_set=True))
-    contained = keep(S.containment(release.hierarchy, members, is_set=True))
-    grouped = keep(S.identical_members(members, is_set=True))
+    if measures is None:
+        sizes = keep(S.all_set_sizes(node, members, is_set=True))
+        gene_degree = keep(S.degree_of_genes(members, is_set=True))
+        contained = keep(S.containment(release.hierarchy, members, is_set=True))
+        grouped = keep(S.identical_members(members, is_set=True))
+        evidence = keep(T.evidence_mix(release.facts, codes))
+    else:
+        sizes = keep(S.with_empty_sets(node, measures.sizes))
+        gene_degree = measures.degrees
+        contained = keep(measures.contained(release.hierarchy))
+        grouped = keep(S.identical_members(members, is_set=True, prints=measures.sizes))
+        evidence = measures.evidence.withColumn("mapped", T.is_mapped(codes))
     terms = keep(release.crosswalk.select("pathway", "term").distinct().groupBy("pathway").agg(count.alias("terms")))
-    evidence = keep(T.evidence_mix(release.facts, codes))
 
     def measure(df: DataFrame, name: str, column: str) -> DataFrame:
         return df.select(F.lit(name).alias("measure"), F.col(column).cast("bigint").alias("value"))

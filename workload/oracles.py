@@ -94,6 +94,21 @@ TABLES = {
         LEFT JOIN (SELECT h.child, h.parent, count(*) AS common FROM hierarchy h
                    JOIN edges a ON a.pathway = h.child JOIN edges b ON b.pathway = h.parent AND b.gene = a.gene
                    GROUP BY h.child, h.parent) x ON x.child = h.child AND x.parent = h.parent""",
+    "new_facts": """
+        SELECT DISTINCT CASE WHEN gene IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 8000) THEN gene + 1 ELSE gene END AS gene,
+               pathway, code, accession FROM facts""",
+    "new_edges": "SELECT DISTINCT gene, pathway FROM new_facts",
+    "new_hierarchy": """
+        SELECT child, parent FROM hierarchy EXCEPT SELECT p_partkey, p_partkey // 3 FROM part WHERE p_size = 5
+        UNION ALL SELECT p_partkey, p_partkey // 2 FROM part WHERE p_size = 50""",
+    "new_sizes": "SELECT pathway, count(*) AS genes FROM new_edges GROUP BY pathway",
+    "new_contained": """
+        SELECT h.child, h.parent, c.genes AS child_genes, coalesce(x.common, 0) AS common,
+               coalesce(x.common, 0)::DOUBLE / c.genes AS fraction
+        FROM new_hierarchy h JOIN new_sizes c ON c.pathway = h.child JOIN new_sizes p ON p.pathway = h.parent
+        LEFT JOIN (SELECT h.child, h.parent, count(*) AS common FROM new_hierarchy h
+                   JOIN new_edges a ON a.pathway = h.child JOIN new_edges b ON b.pathway = h.parent AND b.gene = a.gene
+                   GROUP BY h.child, h.parent) x ON x.child = h.child AND x.parent = h.parent""",
     "spelled": """
         SELECT pathway, string_agg(gene, ',' ORDER BY gene) AS spelled, count(*) AS genes FROM small_sets GROUP BY pathway""",
     "same_sets": """
@@ -557,6 +572,15 @@ SQL = {
         SELECT s.*, f.fully_contained, round(f.fully_contained::DOUBLE / greatest(s.pairs_compared, 1), 4) AS fully_contained_fraction
         FROM (SELECT n AS pairs_compared, mean, min, p25, median, p75, p95, max FROM ({spread('contained', 'fraction', digits=4)})) s,
              (SELECT count(*) FILTER (WHERE common = child_genes) AS fully_contained FROM contained) f""",
+    "advanced_measures": """
+        SELECT 'genes' AS measure, pathway::VARCHAR AS item, genes AS value FROM new_sizes
+        UNION ALL SELECT 'pathways', gene::VARCHAR, count(*) FROM new_edges GROUP BY gene
+        UNION ALL SELECT 'common', child || '-' || parent, common FROM new_contained WHERE common > 0
+        UNION ALL SELECT 'facts', code, count(*) FROM new_facts GROUP BY code""",
+    "advanced_containment": f"""
+        SELECT s.*, f.fully_contained, round(f.fully_contained::DOUBLE / greatest(s.pairs_compared, 1), 4) AS fully_contained_fraction
+        FROM (SELECT n AS pairs_compared, mean, min, p25, median, p75, p95, max FROM ({spread('new_contained', 'fraction', digits=4)})) s,
+             (SELECT count(*) FILTER (WHERE common = child_genes) AS fully_contained FROM new_contained) f""",
     "identical_sets": "SELECT group_id, sets, genes FROM same_sets",
     "largest_identical_group": """
         SELECT pathway, genes FROM spelled

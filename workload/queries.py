@@ -20,6 +20,7 @@ from kgspark.operators import shapes as P
 from kgspark.operators import stats as T
 from kgspark.operators import terms as M
 from kgspark.plans import checks as C
+from kgspark.plans import incremental as V
 from kgspark.plans import ingest as I
 from kgspark.plans import queries as N
 from kgspark.plans.describe import characteristics
@@ -635,6 +636,27 @@ def table_difference(t: Tables) -> DataFrame:
     return G.table_difference(t.edges, t.damaged.unionByName(t.damaged.join(promoted, "pathway", "left_semi").select("gene", "pathway")), ["gene"])
 
 
+@query
+def advanced_measures(t: Tables) -> DataFrame:
+    """Measures of the next release, moved there by the difference of facts."""
+    old = t.release.stored()
+    moved = V.advance(V.measure(old).stored(), old, t.next_release)
+    rows = lambda df, name, item, value: df.selectExpr(f"'{name}' AS measure", f"{item} AS item", f"{value} AS value")
+    return (
+        rows(moved.sizes, "genes", "CAST(pathway AS STRING)", "genes")
+        .unionByName(rows(moved.degrees, "pathways", "CAST(gene AS STRING)", "pathways"))
+        .unionByName(rows(moved.common, "common", "concat(child, '-', parent)", "common"))
+        .unionByName(rows(moved.evidence, "facts", "code", "facts"))
+    )
+
+
+@query
+def advanced_containment(t: Tables) -> DataFrame:
+    old = t.release.stored()
+    new = t.next_release
+    return S.containment_summary(V.advance(V.measure(old).stored(), old, new).contained(new.hierarchy))
+
+
 @query
 def diff_counts(t: Tables) -> DataFrame:
     return D.diff_counts(D.release_diff(t.previous, t.current))
