@@ -631,6 +631,10 @@ SQL = {
     "bgp_match": """
         SELECT g.symbol, count(*) AS solutions, count(DISTINCT h.parent) AS parents
         FROM facts f JOIN hierarchy h ON h.child = f.pathway JOIN gene g ON g.id = f.gene GROUP BY g.symbol""",
+    "bgp_match_ids": """
+        SELECT g.symbol, count(*) AS solutions, count(DISTINCT h.parent) AS parents
+        FROM facts f JOIN hierarchy h ON h.child = f.pathway JOIN gene g ON g.id = f.gene GROUP BY g.symbol""",
+    "distinct_encoded": "SELECT graph, count(*) AS statements FROM two_releases GROUP BY graph",
     "graph_set": "SELECT graph, count(*) AS statements FROM two_releases GROUP BY graph",
     "term_usage": "SELECT term, uses FROM usage",
     "undefined_terms": "SELECT term, uses FROM usage WHERE term NOT IN (SELECT term FROM defined)",

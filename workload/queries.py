@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kgspark.functions import text as X
 from kgspark.operators import diff as D
 from kgspark.operators import digests as G
+from kgspark.operators import encoded as E
 from kgspark.operators import hierarchy as H
 from kgspark.operators import quads as Q
 from kgspark.operators import resolve as R
@@ -513,6 +514,27 @@ def bgp_match(t: Tables) -> DataFrame:
     )
 
 
+@query
+def bgp_match_ids(t: Tables) -> DataFrame:
+    """The same pattern over encoded statements; only the symbols of the answer are decoded."""
+    patterns = [
+        ("?a", "a", "biolink:GeneToPathwayAssociation"), ("?a", "biolink:subject", "?gene"),
+        ("?a", "biolink:object", "?pathway"), ("?pathway", "biolink:part_of", "?parent"),
+        ("?gene", "rdfs:label", "?symbol"),
+    ]
+    encoded = E.encode(Q.relevant(t.kept().emitted, patterns))
+    found = E.match_ids(encoded, patterns).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("solutions"), F.countDistinct("parent").alias("parents")
+    )
+    return encoded.decode(found, ["symbol"])
+
+
+@query
+def distinct_encoded(t: Tables) -> DataFrame:
+    repeated = t.two_releases.unionByName(t.two_releases.filter("graph = 'v1'"))
+    return E.distinct_statements(E.encode(repeated), by_graph=True)
+
+
 @query
 def graph_set(t: Tables) -> DataFrame:
     repeated = t.two_releases.unionByName(t.two_releases.filter("graph = 'v1'"))
