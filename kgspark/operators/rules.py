@@ -7,12 +7,12 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from kgspark.errors import LayoutError, UnknownCodeError
 from kgspark.functions.text import trim_blanks
-from kgspark.session import any_row, observed, sample_text
+from kgspark.session import any_row, literal_table, observed, sample_text
 
 
 def map_codes(
@@ -168,6 +168,56 @@ def watch_layout(parsed: DataFrame, spec: LayoutSpec) -> tuple[DataFrame, Callab
     return watched, verify
 
 
+def watch_values(parsed: DataFrame, spec: LayoutSpec) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``parsed`` under observation, and a call for ``column, value, rows``: what a source holds, seen while it is read.
+
+    Rows per declared value of the closed columns; rows per number of fields (column ``fields``: the declared number, and
+    ``other``); for every column its smallest value (``rows`` is NULL), as an example. Make the call after the first action.
+    """
+    closed = [(r.column, v) for r in spec.rules if r.kind == "enum" for v in r.arg]
+    right = F.col("n_fields") == len(spec.columns)
+    aggs = [F.count_if(F.col(c) == v).alias(f"v{i}") for i, (c, v) in enumerate(closed)]
+    aggs += [F.count_if(right).alias("right"), F.count_if(~right).alias("other")]
+    aggs += [F.min(F.when(right, F.col(c))).alias(f"e{i}") for i, c in enumerate(spec.columns)]
+    seen = Observation()
+
+    def counted() -> DataFrame:
+        names = [f"v{i}" for i in range(len(closed))] + ["right", "other"] + [f"e{i}" for i in range(len(spec.columns))]
+        found = dict(zip(names, (observed(seen, n) for n in names)))
+        if found["right"] is None:
+            found = parsed.agg(*aggs).first().asDict()
+        rows = [(c, v, found[f"v{i}"]) for i, (c, v) in enumerate(closed)]
+        rows += [("fields", str(len(spec.columns)), found["right"]), ("fields", "other", found["other"])]
+        rows += [(c, found[f"e{i}"], None) for i, c in enumerate(spec.columns)]
+        return literal_table(parsed.sparkSession, rows, "column STRING, value STRING, rows BIGINT")
+
+    return parsed.observe(seen, *aggs), counted
+
+
+def layout_samples(parsed: DataFrame, spec: LayoutSpec, most: int = 20) -> DataFrame:
+    """The smallest offending values of each rule: ``rule, place, value, rows``, ``most`` of them at most.
+
+    One pass; values are counted and cut to the smallest within tasks before they meet.
+    """
+    right = F.col("n_fields") == len(spec.columns)
+    broken = [F.when(~right, F.struct(F.lit("arity").alias("rule"), F.col("n_fields").cast("string").alias("value")))]
+    broken += [
+        F.when(right & rule.violated(), F.struct(F.lit(rule.name).alias("rule"), F.col(rule.column).alias("value"))) for rule in spec.rules
+    ]
+    return smallest(parsed.select(F.inline(F.array_compact(F.array(*broken)))), "rule", "value", most)
+
+
+def smallest(rows: DataFrame, by: str, value: str, most: int) -> DataFrame:
+    """The ``most`` smallest distinct values per group, with their rows: ``by, place, value, rows``.
+
+    A rank limit is applied by each task before groups are put together, so a group brings a few rows of each task
+    however many it has.
+    """
+    counted = rows.groupBy(by, value).agg(F.count(F.lit(1)).alias("rows"))
+    place = F.row_number().over(Window.partitionBy(by).orderBy(value))
+    return counted.withColumn("place", place).filter(F.col("place") <= most).select(by, "place", value, "rows")
+
+
 def header_faults(heads: DataFrame, spec: LayoutSpec) -> DataFrame:
     """Files whose first line breaks the header rules of a source: ``file, head``."""
     first = trim_blanks(F.substring_index("head", "\t", 1))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from kgspark.functions.text import plain_curie
 from kgspark.operators import hierarchy as H
+from kgspark.operators.rules import smallest
 from kgspark.operators.sets import reconcile_sets
 from kgspark.operators.shapes import reconcile_shapes
-from kgspark.operators.terms import term_review
+from kgspark.operators.terms import term_review, undefined_terms
 from kgspark.plans.release import Release
 
 
@@ -260,9 +261,7 @@ def acceptance(
 
     ``members``: our sets, theirs, and the keys to compare if not all. ``known_set``: ``quads`` holds no duplicates.
     """
-    entities = release.node.select(plain_curie("node", F.col("id")).alias("id"), "taxon").unionByName(
-        release.gene.select(plain_curie("gene", F.col("id")).alias("id"), "taxon")
-    )
+    entities = acceptance_entities(release)
     checks = [
         chk_taxon(entities, taxon),
         chk_ids(release.node, infix),
@@ -280,14 +279,53 @@ def acceptance(
     return suite(checks)
 
 
+def check_offenders(
+    release: Release, *, taxon: str, infix: str, evidence: Sequence[str], usage: DataFrame | None = None,
+    defined: DataFrame | None = None, most: int = 20,
+) -> DataFrame:
+    """The smallest offenders of the checks that have any: ``check, place, offender, rows``, ``most`` a check at most.
+
+    Checks 1, 2, 3, 5, 6 and 7 name nodes, codes and associations, 12 the terms that the model lacks. ``rows`` tells
+    how often an offender offends. All checks are cut in one pass over their offenders.
+    """
+    entities = acceptance_entities(release)
+    named = lambda check, df, offender: df.select(F.lit(check).alias("check"), offender.cast("string").alias("offender"))
+    bare = missing_evidence(release.facts)
+    tables = [
+        named("1. one taxon only", foreign_taxa(entities, taxon), F.col("id")),
+        named("2. ids carry the infix", foreign_ids(release.node, infix), F.col("id")),
+        named("3. exactly one taxon per node", taxon_cardinality(entities, entities), F.col("id")),
+        named("5. hierarchy is acyclic", H.find_cycle_nodes(release.hierarchy), F.col("node")),
+        named("6. no dangling endpoints", dangling_endpoints(release.hierarchy, release.node), F.col("id")),
+        named("7. evidence is the mapped set", unexpected_evidence(release.facts, evidence), F.col("code")),
+        named("7. evidence is the mapped set", bare, F.concat_ws(" ", F.col("gene").cast("string"), F.col("pathway").cast("string"))),
+    ]
+    if usage is not None and defined is not None:
+        tables.append(named("12. model terms are defined", undefined_terms(usage, defined), F.col("term")))
+    return smallest(suite(tables), "check", "offender", most)
+
+
+def acceptance_entities(release: Release) -> DataFrame:
+    """Nodes and genes with their taxon; ids carry what they are, as both may use the same numbers."""
+    return release.node.select(plain_curie("node", F.col("id")).alias("id"), "taxon").unionByName(
+        release.gene.select(plain_curie("gene", F.col("id")).alias("id"), "taxon")
+    )
+
+
 def accepted(results: DataFrame) -> bool:
     """False when a critical check failed. One row per check, so this is a small read."""
     return results.filter(F.col("status") == "FAIL").isEmpty()
 
 
-def markdown(results: DataFrame, title: str) -> str:
-    """The report of a suite."""
+def markdown(results: DataFrame, title: str, offenders: DataFrame | None = None) -> str:
+    """The report of a suite; with the offenders of :func:`check_offenders` below it."""
     rows = sorted(results.collect(), key=lambda r: int(r["check"].split(".")[0]))
     lines = [f"# {title}", "", "| Check | Status | Detail |", "|---|---|---|"]
     lines += [f"| {r['check']} | **{r['status']}** | {r['detail']} |" for r in rows]
+    if offenders is not None:
+        listed: dict[str, list[str]] = {}
+        for r in sorted(offenders.collect(), key=lambda r: (int(r["check"].split(".")[0]), r["place"])):  # a few per check
+            listed.setdefault(r["check"], []).append(f"- `{r['offender']}`" + (f" ({r['rows']} times)" if r["rows"] > 1 else ""))
+        for check, lines_of in listed.items():
+            lines += ["", f"## {check}", "", *lines_of]
     return "\n".join(lines) + "\n"

@@ -19,7 +19,7 @@ from kgspark.operators import resolve as R
 from kgspark.operators.diff import label_conflicts
 from kgspark.operators.quads import GraphVocabulary, matches_metadata, part_counts
 from kgspark.operators.rules import (
-    ColumnRule, LayoutSpec, column_examples, header_faults, header_matches, layout_report, map_codes, watch_layout,
+    ColumnRule, LayoutSpec, column_examples, header_faults, header_matches, layout_report, map_codes, watch_layout, watch_values,
 )
 from kgspark.operators.scope import in_scope, off_scope, scope_edges, scope_filter, watch_names
 from kgspark.operators.stats import field_counts, seeded_sample, value_histogram
@@ -235,15 +235,16 @@ def parse_source(spark: SparkSession, path: str, spec: LayoutSpec) -> DataFrame:
     return read_strict_tsv(spark, path, spec.columns, spec.has_header, must, strict=False)
 
 
-def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict]:
-    """Parsed sources, and for each a call that raises if its layout was broken.
+def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict, dict]:
+    """Parsed sources, for each a call that raises if its layout was broken, and one for the values it holds.
 
-    Layouts are observed while the sources are read for the first and only time,
-    so the call is made after that.
+    Both are observed while the sources are read for the first and only time, so
+    the calls are made after that.
     """
-    parsed, verify = {}, {}
+    parsed, verify, values = {}, {}, {}
     for name, spec in LAYOUTS.items():
         rows, verify[name] = watch_layout(parse_source(spark, paths[name], spec), spec)
+        rows, values[name] = watch_values(rows, spec)
         parsed[name] = rows.drop("n_fields")
     dictionary = read_keyed_tsv(spark, paths["dictionary"], ["hgnc_id", "symbol", "uniprot_ids"])
     return {
@@ -259,7 +260,7 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> tuple[dict[st
             trim_blanks(F.col("Identifier")).alias("pathway"), local_id("GO_Term").alias("term")
         ),
         "dictionary": dictionary.select(local_id("hgnc_id").alias("id"), "symbol", F.col("uniprot_ids").alias("aliases")),
-    }, verify
+    }, verify, values
 
 
 def run(
@@ -287,11 +288,14 @@ def run(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    sources, verify = read_sources(spark, paths)
+    sources, verify, values = read_sources(spark, paths)
     reports: dict[str, DataFrame] = {}
     noted = {name: (lambda name=name: reports.setdefault(name, verify[name]())) for name in verify}
     built = build_release(**sources, settings=settings, store=store, verify=noted)
-    store("layout", reduce(DataFrame.unionByName, [df.withColumn("source", F.lit(n)) for n, df in reports.items()]))
+    sourced = lambda tables: reduce(DataFrame.unionByName, [df.withColumn("source", F.lit(n)) for n, df in tables.items()])
+    layout = store("layout", sourced(reports))
+    held = store("layout_values", sourced({name: counted() for name, counted in values.items()}))
+    write_text(spark, layout_sections(layout, held), f"{tables}/layout_report")
     write_unresolved_report(R.unresolved(built.collapsed, built.aliases), f"{tables}/unresolved")
     R.require_resolved(built.fraction, settings.max_unresolved)
 
@@ -315,6 +319,10 @@ def run(
     usage = store("term_usage", term_usage(loaded, prefix))
     results = store("checks", run_checks(built.release, loaded, settings, defined, usage))
     store("undefined_terms", undefined_terms(usage, defined))
+    offenders = store("offenders", C.check_offenders(
+        built.release, taxon=settings.taxon, infix=settings.infix, evidence=list(settings.evidence.values()), usage=usage, defined=defined
+    ))
+    write_text(spark, C.markdown(results, f"Checks of {version}", offenders), f"{tables}/check_report")
     if not C.accepted(results):
         discard_release(spark, f"{workdir}/quads", graph, load)
         remove(spark, f"{workdir}/failed={version}")
@@ -338,20 +346,43 @@ def run(
     return spark.read.parquet(f"{final}/checks")
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A short report as one text file."""
+    rows = [(line,) for line in text.split("\n")]
+    spark.createDataFrame(rows, "line STRING").coalesce(1).write.mode("overwrite").text(path)
+
+
 def layout_markdown(parsed: DataFrame, spec: LayoutSpec) -> str:
     """Layout section of a source: rows, rules and an example per column.
 
     Reads aggregates only: one row per rule and column. Value counts may be many;
     they are a table of their own, :func:`layout_values`.
     """
-    report = layout_report(parsed, spec).collect()
+    examples = {r["column"]: r["example"] for r in column_examples(parsed, spec).collect()}
+    return layout_section(spec, layout_report(parsed, spec).collect(), examples, [])
+
+
+def layout_sections(layout: DataFrame, values: DataFrame) -> str:
+    """Layout sections of all sources from what was observed while they were read; one row per rule, column and value."""
+    rules, held = layout.collect(), values.collect()
+    sections = []
+    for name, spec in LAYOUTS.items():
+        own = [r for r in held if r["source"] == name]
+        examples = {r["column"]: r["value"] for r in own if r["rows"] is None}
+        counts = sorted((r["column"], -r["rows"], r["value"]) for r in own if r["rows"])
+        sections.append(layout_section(spec, [r for r in rules if r["source"] == name], examples, [(c, v, -n) for c, n, v in counts]))
+    return "\n".join(sections)
+
+
+def layout_section(spec: LayoutSpec, report: list, examples: Mapping[str, str | None], counts: list[tuple[str, str, int]]) -> str:
     lines = [f"### `{spec.name}`", "", f"- rows: **{report[0]['rows']}**",
              f"- header line: **{'yes' if spec.has_header else 'no'}**", f"- fields: {len(spec.columns)}"]
     if spec.note:
         lines.append(f"- note: {spec.note}")
     lines += ["", "| Col | Name | Example |", "|---|---|---|"]
-    examples = {r["column"]: r["example"] for r in column_examples(parsed, spec).collect()}
     lines += [f"| {i} | `{c}` | `{(examples[c] or '')}` |" for i, c in enumerate(spec.columns, start=1)]
+    if counts:
+        lines += ["", "| Column | Value | Rows |", "|---|---|---|", *(f"| `{c}` | `{v}` | {n} |" for c, v, n in counts)]
     broken = [r for r in report if r["violations"]]
     if broken:
         lines += ["", "**Violations**"]

@@ -115,6 +115,19 @@ def test_unresolved_report_and_characteristics(spark, done):
     assert undefined.columns == ["term", "uses"]
 
 
+def test_reports_are_written(spark, done):
+    _, work, _ = done
+    read = lambda name: "\n".join(r["value"] for r in spark.read.text(f"{work}/release=v97/{name}").collect())
+    layout, checks = read("layout_report"), read("check_report")
+    assert "### `associations`" in layout and f"| `species_name` | `{HUMAN}` | 15 |" in layout and "| `evidence_code` | `TAS` | 12 |" in layout
+    assert "| 1 | `stable_id` | `R-HSA-1` |" in layout and "| `fields` | `6` | 16 |" in layout
+    assert "# Checks of v97" in checks and "| 4. node count | **PASS** |" in checks
+    held = spark.read.parquet(f"{work}/release=v97/layout_values")
+    counted = {(r["source"], r["column"], r["value"]): r["rows"] for r in held.filter("rows is not null").collect()}
+    assert counted[("associations", "species_name", MOUSE)] == 1 and counted[("pathways", "fields", "other")] == 0
+    assert spark.read.parquet(f"{work}/release=v97/offenders").isEmpty()
+
+
 def test_members_of_another_source_are_sampled(spark, defined, tmp_path):
     theirs = spark.createDataFrame([("R-HSA-1", "1"), ("R-HSA-2", "9")], "key STRING, member STRING")
     theirs.write.parquet(str(tmp_path / "other"))

@@ -109,6 +109,7 @@ TABLES = {
         LEFT JOIN (SELECT h.child, h.parent, count(*) AS common FROM new_hierarchy h
                    JOIN new_edges a ON a.pathway = h.child JOIN new_edges b ON b.pathway = h.parent AND b.gene = a.gene
                    GROUP BY h.child, h.parent) x ON x.child = h.child AND x.parent = h.parent""",
+    "ended": "SELECT 'node:' || id AS id, taxon FROM faulty UNION ALL SELECT 'gene:' || id, taxon FROM gene",
     "spelled": """
         SELECT pathway, string_agg(gene, ',' ORDER BY gene) AS spelled, count(*) AS genes FROM small_sets GROUP BY pathway""",
     "same_sets": """
@@ -502,6 +503,15 @@ SQL = {
         rule("c_mktsegment:enum", LAYOUT_ROWS, "c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')",
              "c_mktsegment", "n_fields = 2"),
     ]),
+    "layout_samples": """
+        SELECT rule, row_number() OVER (PARTITION BY rule ORDER BY value COLLATE "C")::INT AS place, value, rows FROM (
+          SELECT rule, value, count(*) AS rows FROM (
+            SELECT 'arity' AS rule, '2' AS value FROM orders WHERE o_totalprice > 400000
+            UNION ALL SELECT 'key:pattern', o_orderkey::VARCHAR FROM orders WHERE NOT o_totalprice > 400000 AND contains(o_orderkey::VARCHAR, '9')
+            UNION ALL SELECT 'priority:enum', o_orderpriority FROM orders WHERE NOT o_totalprice > 400000 AND o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+            UNION ALL SELECT 'status:required', ' ' FROM orders WHERE o_totalprice < 20000)
+          GROUP BY rule, value)
+        QUALIFY place <= 20""",
     "slot_rules": "\nUNION ALL ".join([
         rule("o_orderstatus:required", "orders", "o_orderstatus IS NULL OR trim(o_orderstatus) = ''", "o_orderstatus"),
         rule("o_orderstatus:enum", "orders", "o_orderstatus NOT IN ('F', 'O')", "o_orderstatus"),
@@ -711,6 +721,19 @@ SQL = {
     "chk_members": MEMBERS,
     "chk_total": chk_total(100_000, 1_000_000),
     "chk_terms": TERMS,
+    "check_offenders": """
+        SELECT "check", row_number() OVER (PARTITION BY "check" ORDER BY offender COLLATE "C")::INT AS place, offender, rows FROM (
+          SELECT "check", offender, count(*) AS rows FROM (
+            SELECT '1. one taxon only' AS "check", id AS offender FROM ended WHERE taxon <> 'GOOD'
+            UNION ALL SELECT '2. ids carry the infix', id::VARCHAR FROM faulty WHERE NOT contains(id::VARCHAR, '1')
+            UNION ALL SELECT '3. exactly one taxon per node', id FROM ended GROUP BY id HAVING count(DISTINCT taxon) <> 1
+            UNION ALL SELECT '5. hierarchy is acyclic', node::VARCHAR FROM endless
+            UNION ALL SELECT '6. no dangling endpoints', id::VARCHAR
+              FROM (SELECT child AS id FROM cyclic UNION ALL SELECT parent FROM cyclic) WHERE id NOT IN (SELECT id FROM faulty)
+            UNION ALL SELECT DISTINCT '7. evidence is the mapped set', code FROM facts WHERE code NOT IN ('A', 'R')
+            UNION ALL SELECT '12. model terms are defined', term FROM usage WHERE term NOT IN (SELECT term FROM defined))
+          GROUP BY "check", offender)
+        QUALIFY place <= 20""",
     "acceptance": "\nUNION ALL ".join([
         listed("1. one taxon only", f"{ENTITIES} WHERE taxon <> 'PROMO'", "id", "no other taxon"),
         listed("2. ids carry the infix", "node WHERE NOT contains(id::VARCHAR, '1')", "id", "no other id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,6 +229,20 @@ def verify_layout(t: Tables) -> DataFrame:
     return U.layout_report(parsed, spec)
 
 
+@query
+def layout_samples(t: Tables) -> DataFrame:
+    """The 20 smallest offending values of each rule over all orders."""
+    spec = U.LayoutSpec(
+        "orders", ("key", "priority", "status"),
+        (U.ColumnRule("key", "pattern", r"^[0-8]+$"), U.ColumnRule("priority", "enum", ("1-URGENT", "5-LOW")), U.ColumnRule("status", "required")),
+    )
+    parsed = t.read("orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS key", "o_orderpriority AS priority",
+        "CASE WHEN o_totalprice < 20000 THEN ' ' ELSE o_orderstatus END AS status", "CASE WHEN o_totalprice > 400000 THEN 2 ELSE 3 END AS n_fields",
+    )
+    return U.layout_samples(parsed, spec)
+
+
 @query
 def slot_rules(t: Tables) -> DataFrame:
     orders = t.read("orders").select("o_orderstatus", "o_orderpriority", "o_totalprice", "o_custkey")
@@ -801,6 +816,15 @@ def chk_terms(t: Tables) -> DataFrame:
     return C.chk_terms(M.term_usage(t.event_quads, MODEL_BASE), t.defined)
 
 
+@query
+def check_offenders(t: Tables) -> DataFrame:
+    """Offenders of a release with faults of every kind: foreign and doubled taxa, cycles, lost ends, codes, terms."""
+    t = t.kept()
+    broken = replace(t.release, node=t.faulty.selectExpr("id", "label", "taxon"), hierarchy=t.cyclic)
+    usage = M.term_usage(t.event_quads, MODEL_BASE)
+    return C.check_offenders(broken, taxon="GOOD", infix="1", evidence=["A", "R"], usage=usage, defined=t.defined)
+
+
 @query
 def acceptance(t: Tables) -> DataFrame:
     t = t.kept(edges=True)
