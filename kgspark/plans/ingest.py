@@ -28,6 +28,7 @@ from kgspark.plans import checks as C
 from kgspark.plans.describe import characteristics
 from kgspark.plans.release import Release
 from kgspark.session import any_row, sample_text, write_shared
+from kgspark.sources.clustered import ORDER, write_clustered
 from kgspark.sources.loads import fresh_load, move, path_exists, remove
 from kgspark.sources.manifests import read_manifest
 from kgspark.sources.releases import (
@@ -48,6 +49,8 @@ WEB_ADDRESS = r"^https?://"
 ID_PATTERNS = (STABLE_ID, ACCESSION)
 
 SPECIES = tuple(SPECIES_TAXON)
+#: Tables that queries look genes up in.
+CLUSTERED = ("gene", "facts", "participation")
 CODES = tuple(EVIDENCE_TERM)
 
 
@@ -285,7 +288,10 @@ def run(
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{tables}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        if name in CLUSTERED:
+            write_clustered(df, path, ORDER[name])
+        else:
+            df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
     sources, verify, values = read_sources(spark, paths)

@@ -543,6 +543,9 @@ SQL = {
     "gene_pathways": """
         SELECT n.label, f.code AS evidence FROM facts f JOIN gene g ON g.id = f.gene JOIN node n ON n.id = f.pathway
         WHERE g.symbol = 'Supplier#000000002' ORDER BY n.label""",
+    "gene_pathways_clustered": """
+        SELECT n.label, f.code AS evidence FROM facts f JOIN gene g ON g.id = f.gene JOIN node n ON n.id = f.pathway
+        WHERE g.symbol = 'Supplier#000000002' ORDER BY n.label""",
     "gene_panel": """
         SELECT p.symbol, count(DISTINCT e.pathway) AS pathway_count
         FROM (VALUES ('Supplier#000000002'), ('Supplier#000000003'), ('Supplier#000000009'), ('Supplier#absent')) p(symbol)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -26,8 +27,8 @@ from kgspark.plans import incremental as V
 from kgspark.plans import ingest as I
 from kgspark.plans import queries as N
 from kgspark.plans.describe import characteristics
-from kgspark.session import write_shared
-from kgspark.sources import manifests, quoted, releases, snapshots, statements, tsv
+from kgspark.session import ensure_checkpoint_dir, write_shared
+from kgspark.sources import clustered, manifests, quoted, releases, snapshots, statements, tsv
 from workload.tables import CURATED, INFERRED, MODEL_BASE, SPOT_GENE, SPOT_PATHWAY, SYMBOLS, Tables
 
 Query = Callable[[Tables], DataFrame]
@@ -314,6 +315,13 @@ def gene_pathways(t: Tables) -> DataFrame:
     return N.gene_pathways(t.release, SYMBOLS[0])
 
 
+@query
+def gene_pathways_clustered(t: Tables) -> DataFrame:
+    """The same query on a release stored in key order, looked up by ids."""
+    stored = clustered.store_clustered(t.release, f"{ensure_checkpoint_dir(t.spark)}/clustered-{uuid.uuid4().hex}")
+    return N.gene_pathways(clustered.focused(stored, SYMBOLS[:1]), SYMBOLS[0])
+
+
 @query
 def gene_panel(t: Tables) -> DataFrame:
     return N.gene_panel(t.release, SYMBOLS)
