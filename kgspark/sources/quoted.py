@@ -2,8 +2,8 @@
 
 A line acts on "inside a quote or not" as one of four functions: keep, swap, or settle on either. The last line that settles
 and the swaps after it give the state at any place, so states are running aggregates: within each block of a file, then
-over the blocks of a file, then over the lines again with the state their block starts in. Only lines of records that
-span several lines are put together; the others are records as they are.
+over the blocks of a file, then over the lines again with the state their block starts in. Lines are put together within
+their block; only what a block adds to a record is exchanged.
 """
 
 from __future__ import annotations
@@ -44,7 +44,34 @@ def quoted_records(lines: DataFrame, sep: str = "\t") -> DataFrame:
     ``block`` orders the parts of a file, ``position`` the lines of a part; both are numbers. A record carries the place
     of its first line; its lines are joined by line feeds. A quote that is never closed is an error, which names a file.
     The order of blocks is worked out on one row per block, that of lines within their block. Blocks are as large as
-    Spark splits files, so no task holds more than a block of lines, or one record.
+    Spark splits files, so no task holds more than a block of lines, or one record. ``lines`` are read twice and must be
+    the same both times.
+    """
+    stated = _stated(lines, sep)
+    starts = write_shared(_starts(stated))  # of the lines' flags only: their text is not moved for it
+    unclosed = starts.groupBy("file").agg(F.max_by("ends", "block").alias("open")).filter("open").agg(F.min("file")).first()[0]
+    if unclosed is not None:
+        raise LayoutError(f"{unclosed}: a quote is never closed")
+    of = lambda name: F.when(F.col("begins"), F.col(f"{name}_in")).otherwise(F.col(f"{name}_out"))
+    placed = stated.join(starts.select("file", "block", "begins", "carried"), ["file", "block"]).select(
+        "file", "block", "position", "value", of("inside").alias("inside"), of("stays").alias("stays"), of("opener").alias("opener"), "carried"
+    )
+    # A line belongs to the one that opened its record, in its own block or an earlier one; most are records of their own.
+    opened = F.when(F.col("opener").isNotNull(), F.struct("block", F.col("opener").alias("position"))).otherwise(F.col("carried"))
+    place = F.when(F.col("inside") | F.col("stays"), opened).otherwise(F.struct("block", "position"))
+    # Lines of a block are put together where they are; what is exchanged then is one row per record and block.
+    pieces = placed.select("file", "block", place.alias("at"), "position", "value").groupBy("file", "block", "at").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("position", "value"))).getField("value"), "\n").alias("piece")
+    )
+    records = pieces.groupBy("file", "at").agg(F.array_sort(F.collect_list(F.struct("block", "piece"))).alias("pieces"))
+    return records.select("file", "at.block", "at.position", F.array_join("pieces.piece", "\n").alias("record"))
+
+
+def _stated(lines: DataFrame, sep: str) -> DataFrame:
+    """Lines with what holds if their block starts outside a quote (``_out``) and if it starts inside one (``_in``).
+
+    ``inside`` is the state before the line, ``stays`` that behind it, ``opener`` the last line of the block so far that
+    left a quote open.
     """
     has_quote = F.contains("value", F.lit('"'))
     acting = lines.select(
@@ -54,73 +81,46 @@ def quoted_records(lines: DataFrame, sep: str = "\t") -> DataFrame:
     )
     settles, swaps = F.col("from_out") == F.col("from_in"), F.col("from_out") & ~F.col("from_in")
     in_block = Window.partitionBy("file", "block").orderBy("position")
-    until = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    # The state before a line: what the last settling line left, turned by every swap since.
-    swapped = F.sum(swaps.cast("int")).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
-    stated = acting.withColumn("swapped", swapped).select(
-        "file", "block", "position", "value", "from_out", "from_in", "swapped",
-        F.last(F.when(settles, F.struct("from_out", "swapped")), ignorenulls=True).over(until).alias("settled"),
-        F.coalesce(F.lag("swapped").over(in_block), F.lit(0)).alias("before"),
-    )
-    stated = write_shared(stated)
-    turned = lambda start, swaps: start != (swaps % 2 == 1)
-    ends = stated.groupBy("file", "block").agg(
-        F.max_by(F.struct("settled", "swapped", "from_out", "from_in"), "position").alias("e"),
-    )
-    last_settles = F.col("e.from_out") == F.col("e.from_in")
-    blocks = ends.select(
-        "file", "block",
-        F.when(last_settles, F.col("e.from_out")).when(
-            F.col("e.settled").isNotNull(), turned(F.col("e.settled.from_out"), F.col("e.swapped") - F.col("e.settled.swapped"))
-        ).alias("leaves"),
-        (F.col("e.swapped") % 2).cast("int").alias("odd"),
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    # The state before a line: what the last line that settles left, turned by every swap since.
+    counted = acting.withColumn("swapped", F.sum(swaps.cast("int")).over(so_far)).select(
+        "*", F.last(F.when(settles, F.struct("from_out", "swapped")), ignorenulls=True).over(before).alias("settled"),
+        F.coalesce(F.lag("swapped").over(in_block), F.lit(0)).alias("until"),
     )
+    for name, begins in (("out", False), ("in", True)):
+        inside = F.when(F.col("settled").isNull(), _turned(F.lit(begins), F.col("until"))).otherwise(
+            _turned(F.col("settled.from_out"), F.col("until") - F.col("settled.swapped"))
+        )
+        counted = counted.withColumn(f"inside_{name}", inside)
+        stays = F.when(F.col(f"inside_{name}"), F.col("from_in")).otherwise(F.col("from_out"))
+        counted = counted.withColumn(f"stays_{name}", stays).withColumn(
+            f"opener_{name}", F.last(F.when(~F.col(f"inside_{name}") & F.col(f"stays_{name}"), F.col("position")), ignorenulls=True).over(so_far)
+        )
+    return counted.select("file", "block", "position", "value", *[f"{c}_{n}" for n in ("out", "in") for c in ("inside", "stays", "opener")])
+
+
+def _turned(state: Column, swaps: Column) -> Column:
+    return state != (swaps % 2 == 1)
+
+
+def _starts(stated: DataFrame) -> DataFrame:
+    """One row per block: ``begins`` and ``ends`` inside a quote or not; ``carried``, the line left open before it."""
+    blocks = stated.groupBy("file", "block").agg(
+        F.max_by(F.struct("stays_out", "stays_in"), "position").alias("e"), F.max("opener_out").alias("opener_out"), F.max("opener_in").alias("opener_in")
+    ).select("file", "block", "e.stays_out", "e.stays_in", "opener_out", "opener_in")
     over_file = Window.partitionBy("file").orderBy("block")
     earlier = over_file.rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.withColumn("odds", F.sum("odd").over(over_file)).select(
-        "file", "block", "leaves", "odd",
-        F.last(F.when(F.col("leaves").isNotNull(), F.struct("leaves", "odds")), ignorenulls=True).over(earlier).alias("fixed"),
-        F.coalesce(F.lag("odds").over(over_file), F.lit(0)).alias("odds"),
-    )
-    # A file starts outside a quote.
-    begins = F.when(F.col("fixed").isNull(), F.col("odds") % 2 == 1).otherwise(
-        turned(F.col("fixed.leaves"), F.col("odds") - F.col("fixed.odds"))
-    )
-    starts = write_shared(carried.select(
-        "file", "block", begins.alias("begins"), F.coalesce("leaves", turned(begins, F.col("odd"))).alias("ends"),
-    ))
-    unclosed = starts.groupBy("file").agg(F.max_by("ends", "block").alias("open")).filter("open").agg(F.min("file")).first()[0]
-    if unclosed is not None:
-        raise LayoutError(f"{unclosed}: a quote is never closed")
-    inside = F.when(
-        F.col("settled").isNull(), turned(F.col("begins"), F.col("before"))
-    ).otherwise(turned(F.col("settled.from_out"), F.col("before") - F.col("settled.swapped")))
-    placed = stated.join(starts, ["file", "block"]).withColumn("inside", inside).select(
-        "file", "block", "position", "value", "inside",
-        F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out")).alias("stays"),
-    )
-    whole = placed.filter(~F.col("inside") & ~F.col("stays")).select("file", "block", "position", F.col("value").alias("record"))
-    return whole.unionByName(_spanning(placed, starts))
-
-
-def _spanning(placed: DataFrame, starts: DataFrame) -> DataFrame:
-    """Records of several lines: each of their lines finds the line that opened it, in its block or an earlier one."""
-    pieces = write_shared(placed.filter(F.col("inside") | F.col("stays")))
-    opens = ~F.col("inside")
-    # Blocks that a record only passes through open none; the place carries over them.
-    last = pieces.filter(opens).groupBy("file", "block").agg(F.max("position").alias("opener"))
-    carried = starts.join(last, ["file", "block"], "left").select(
-        "file", "block",
-        F.last(F.when(F.col("opener").isNotNull(), F.struct("block", "opener")), ignorenulls=True).over(
-            Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-        ).alias("carried"),
-    )
-    own = F.last(F.when(opens, F.struct("block", F.col("position").alias("opener"))), ignorenulls=True).over(
-        Window.partitionBy("file", "block").orderBy("position")
+    swaps = F.col("stays_out") & ~F.col("stays_in")
+    counted = blocks.withColumn("swapped", F.sum(swaps.cast("int")).over(over_file)).withColumn(
+        "settled", F.last(F.when(F.col("stays_out") == F.col("stays_in"), F.struct("stays_out", "swapped")), ignorenulls=True).over(earlier)
+    ).withColumn("until", F.coalesce(F.lag("swapped").over(over_file), F.lit(0)))
+    begins = F.when(F.col("settled").isNull(), F.col("until") % 2 == 1).otherwise(  # a file starts outside a quote
+        _turned(F.col("settled.stays_out"), F.col("until") - F.col("settled.swapped"))
     )
-    named = pieces.withColumn("own", own).join(carried, ["file", "block"]).withColumn("of", F.coalesce("own", "carried"))
-    lines = F.array_sort(F.collect_list(F.struct("block", "position", "value")))
-    return named.groupBy("file", F.col("of.block").alias("first_block"), F.col("of.opener").alias("opener")).agg(lines.alias("lines")).select(
-        "file", F.col("first_block").alias("block"), F.col("opener").alias("position"),
-        F.array_join(F.col("lines.value"), "\n").alias("record"),
+    known = counted.withColumn("begins", begins).select(
+        "file", "block", "begins", F.when(F.col("begins"), F.col("stays_in")).otherwise(F.col("stays_out")).alias("ends"),
+        F.when(F.col("begins"), F.col("opener_in")).otherwise(F.col("opener_out")).alias("opener"),
     )
+    opened = F.when(F.col("opener").isNotNull(), F.struct("block", F.col("opener").alias("position")))
+    return known.withColumn("carried", F.last(opened, ignorenulls=True).over(earlier)).drop("opener")
