@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.functions.text import BLANKS, model_term
+from kgspark.session import write_shared
 
 LOCAL_NAME = "[A-Za-z_][A-Za-z_0-9]*"
 # What may stand before the colon of a prefixed name, labels of any file among it.
@@ -71,20 +72,18 @@ def emitted_terms(lines: DataFrame, base: str) -> DataFrame:
     body = lines.filter(F.contains("line", F.lit(":")) & ~_start().startswith("@prefix") & ~_start().startswith("#"))
     full = F.regexp_extract_all("line", F.lit("<" + re.escape(base) + f"({LOCAL_NAME})>"), 1)
     prefixed = F.regexp_extract_all("line", F.lit(rf"(?<!{JOINED})({HEAD}:{LOCAL_NAME})"), 1)
-    # The text itself is never shuffled: only counts per file and name are. A name without a colon was written in full.
-    counted = (
-        body.select("file", F.explode(F.concat(full, prefixed)).alias("name"))
-        .groupBy("file", "name").agg(F.count(F.lit(1)).alias("uses"))
-        .select("file", "uses", F.substring_index("name", ":", -1).alias("term"),
-                F.when(F.contains("name", F.lit(":")), F.substring_index("name", ":", 1)).alias("head"))
-    )
-    bound = file_prefixes(lines, base).select("file", F.col("label").alias("own"))
-    head, own = F.col("head"), F.col("own")
+    # One short row per file, stored so that its true size is known: up to about a million files the text stays where it is.
+    bound = write_shared(file_prefixes(lines, base)).select("file", F.col("label").alias("own"))
+    own, name = F.col("own"), F.col("name")
+    names = F.when(own.isNull(), full).otherwise(F.concat(full, prefixed))
+    head = F.substring_index(name, ":", 1)
     before = F.substring(head, F.length(head) - F.length(own), F.lit(1))
     labelled = (head == own) | (F.endswith(head, own) & ~before.rlike(JOINED))
+    # A name without a colon was written in full.
     return (
-        counted.join(bound, "file", "left").filter(head.isNull() | labelled)
-        .groupBy("term").agg(F.sum("uses").alias("uses"))
+        body.join(bound, "file", "left").select("own", F.explode(names).alias("name"))
+        .filter(~F.contains(name, F.lit(":")) | labelled)
+        .groupBy(F.substring_index(name, ":", -1).alias("term")).agg(F.count(F.lit(1)).alias("uses"))
     )
 
 
