@@ -678,6 +678,8 @@ SQL = {
         SELECT gene, pathway AS ancestor FROM edges
         UNION SELECT e.gene, a.ancestor FROM edges e JOIN above a ON a.node = e.pathway""",
     "ancestors_of": "SELECT node, ancestor FROM above WHERE node IN (SELECT id FROM node WHERE taxon = 'PROMO')",
+    "indexed_ancestors_of": "SELECT node, ancestor FROM above WHERE node <> ancestor AND node IN (SELECT id FROM node WHERE taxon = 'PROMO')",
+    "indexed_ancestor_counts": "SELECT node, count(*) AS ancestors FROM above WHERE node <> ancestor GROUP BY node",
     "gene_ancestors_of": """
         SELECT gene, pathway AS ancestor FROM edges WHERE gene = 2
         UNION SELECT e.gene, a.ancestor FROM edges e JOIN above a ON a.node = e.pathway WHERE e.gene = 2""",

@@ -15,6 +15,7 @@ from kgspark.operators import digests as G
 from kgspark.operators import encoded as E
 from kgspark.operators import hierarchy as H
 from kgspark.operators import quads as Q
+from kgspark.operators import reachability as Y
 from kgspark.operators import resolve as R
 from kgspark.operators import rules as U
 from kgspark.operators import scope as O
@@ -636,6 +637,18 @@ def ancestors_of(t: Tables) -> DataFrame:
     return H.ancestors_of(t.hierarchy, t.node.filter("taxon = 'PROMO'"))
 
 
+@query
+def indexed_ancestors_of(t: Tables) -> DataFrame:
+    """Ancestors of the promoted nodes, from the chains of the hierarchy."""
+    below = t.hierarchy.filter("child <> parent")
+    return Y.reachability_index(below).ancestors_of(t.node.filter("taxon = 'PROMO'"))
+
+
+@query
+def indexed_ancestor_counts(t: Tables) -> DataFrame:
+    return Y.reachability_index(t.hierarchy.filter("child <> parent")).ancestor_counts()
+
+
 @query
 def gene_ancestors_of(t: Tables) -> DataFrame:
     mine = t.edges.filter(F.col("gene") == SPOT_GENE)
