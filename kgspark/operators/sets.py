@@ -149,13 +149,17 @@ def member_hash(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("gene"))
 
 
-def fingerprints(held: DataFrame, seeds: int) -> tuple[DataFrame, list[str]]:
-    """Size and xor fingerprints of each set, ``pathway, genes, f0, ...``, and the names that identify it."""
+def _fingerprints(held: DataFrame, seeds: int) -> tuple[DataFrame, list[str]]:
     prints = [F.bit_xor(member_hash(seed)).alias(f"f{seed}") for seed in range(seeds)]
     names = ["genes"] + [f"f{seed}" for seed in range(seeds)]
     return held.groupBy("pathway").agg(F.count(F.lit(1)).alias("genes"), *prints), names
 
 
+def fingerprints(held: DataFrame, seeds: int) -> DataFrame:
+    """Size and xor fingerprints of each set of distinct memberships: ``pathway, genes, f0, ...``."""
+    return _fingerprints(held, seeds)[0]
+
+
 def identical_members(members: DataFrame, is_set: bool = False, prints: DataFrame | None = None) -> DataFrame:
     """``pathway, group_id, genes, sets`` for every set that equals another one.
 
@@ -171,7 +175,7 @@ def identical_members(members: DataFrame, is_set: bool = False, prints: DataFram
     seeds = 2
     while True:
         if prints is None:
-            prints, names = fingerprints(held, seeds)
+            prints, names = _fingerprints(held, seeds)
             prints = prints.checkpoint(eager=True)
         else:
             names = [c for c in prints.columns if c != "pathway"]

@@ -47,7 +47,7 @@ class Measures:
 
 def measure(release: Release) -> Measures:
     """All measures of a release, from its tables."""
-    prints, _ = S.fingerprints(release.participation.select("pathway", "gene"), SEEDS)
+    prints = S.fingerprints(release.participation.select("pathway", "gene"), SEEDS)
     common = S.containment(release.hierarchy, release.participation, is_set=True)
     return Measures(
         prints, S.degree_of_genes(release.participation, is_set=True),
