@@ -28,7 +28,7 @@ def dag(rng, n, parents):
 
 
 @pytest.mark.parametrize("edges", [
-    dag(random.Random(1), 40, 3), [(c, c - 1) for c in range(1, 25)] + [(c, c - 7) for c in range(7, 25, 5)], [(1, 0), (1, 0), (3, 2), (4, 0)],
+    dag(random.Random(1), 30, 3), [(1, 0), (1, 0), (3, 2), (4, 0)],
 ])
 def test_index_equals_the_closure(spark, edges):
     df = spark.createDataFrame(edges, "child LONG, parent LONG").repartition(3)
