@@ -14,9 +14,10 @@ common, they keep a common window.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -34,8 +35,12 @@ CHUNK = 512
 CONTINUED = bytes(range(0x80, 0xC0))
 #: Words in a window (a power of two) and neighbours thinned to one; a repeat of their sum less one is always found.
 SPAN, THIN = 32, 19
-UNIT = "kind array<int>, unit array<int>, start array<bigint>, end array<bigint>, words array<int>, node array<bigint>, bands array<array<bigint>>"
-SET = "node array<bigint>, members array<array<int>>"
+#: Words that one round of array operations takes, from as many texts as it needs: their arrays stay in a core's cache.
+GROUP = 8192
+#: Nodes a task remembers to have given the shingles of; beyond, it forgets them and may give them again.
+REMEMBERED = 1 << 19
+UNIT = ("kind", "unit", "start", "end", "words", "node")
+WINDOW = ("window", "at")
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -49,12 +54,11 @@ def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(made[:n], np.uint64) | np.uint64(1), np.array(made[n:], np.uint64)
 
 
-class _Hashes(dict):
-    """Hash of each word, computed once per batch."""
+class _Hashes:
+    """64-bit hashes of words, a whole array at a time; the same on every machine."""
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        return pd.util.hash_array(np.array(words, object), categorize=False)
 
 
 def _mixed(hashes: np.ndarray) -> np.ndarray:
@@ -64,37 +68,40 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
     return hashes
 
 
-def shingle_hashes(words: list[bytes], known: dict, shingle: int = SHINGLE) -> np.ndarray:
-    """64-bit hash of the shingle that starts at each word; fewer words than a shingle are one shingle."""
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    size = min(shingle, len(words))
-    n = len(words) - size + 1
+def shingle_hashes(hashes: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """64-bit hash of the shingle that starts at each hashed word; fewer words than a shingle are one shingle."""
+    size = min(shingle, len(hashes))
+    n = len(hashes) - size + 1
     made = hashes[:n].copy()
     for i in range(1, size):
-        made = made * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+        made *= np.uint64(0x9E3779B97F4A7C15)
+        made += hashes[i : i + n]
     return _mixed(made)
 
 
 def shingle_set(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles."""
-    return np.unique(shingle_hashes(words, _Hashes(), shingle))
+    return np.unique(shingle_hashes(_Hashes()(words), shingle))
 
 
-def bands_of(hashes: np.ndarray, spans: list[tuple[int, int]], multiply: np.ndarray, add: np.ndarray, rows: int) -> list[list[int]]:
-    """Band keys of each span (start, end) of shingles."""
-    mixed = multiply[:, None] * hashes[None, :] + add[:, None]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= multiply[:, None]
-    mixed = np.pad(mixed, ((0, 0), (0, 1)))  # a span may end with the last shingle
-    lows = np.minimum.reduceat(mixed, np.array(spans).ravel(), axis=1)[:, ::2].reshape(-1, rows, len(spans))
+def bands_of(hashes: np.ndarray, spans: list[tuple[int, int]], multiply: np.ndarray, add: np.ndarray, rows: int) -> np.ndarray:
+    """Band keys of each span (start, end) of shingles: an array of spans by bands.
+
+    The shingle hashes are mixed already, so a MinHash function is one multiplication and one addition of 32 bits.
+    """
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
+    mixed = np.empty((len(multiply), len(high) + 1), np.uint32)  # a span may end with the last shingle
+    np.multiply(multiply.astype(np.uint32)[:, None], high[None, :], out=mixed[:, :-1])
+    mixed += add.astype(np.uint32)[:, None]
+    lows = np.minimum.reduceat(mixed, np.array(spans).ravel(), axis=1)[:, ::2].astype(np.uint64).reshape(-1, rows, len(spans))
     keys = np.arange(1, len(lows) + 1, dtype=np.uint64)[:, None] * np.uint64(0xC2B2AE3D27D4EB4F)
     for i in range(rows):
         keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + lows[:, i])
-    return keys.T.view(np.int64).tolist()
+    return keys.T.view(np.int64)
 
 
 def band_keys(members: np.ndarray, multiply: np.ndarray, add: np.ndarray, rows: int) -> list[int]:
-    return bands_of(members, [(0, len(members))], multiply, add, rows)[0]
+    return bands_of(members, [(0, len(members))], multiply, add, rows)[0].tolist()
 
 
 def units_in(text: bytes | None, short: int) -> tuple[list[bytes], list[tuple[int, int, int, int, int, int]]]:
@@ -134,89 +141,173 @@ def node_of(words: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b" ".join(words), 1) - (1 << 63)
 
 
-def _exploded(docs: DataFrame, id_col: str, text_col: str, one: Callable, fields: str) -> DataFrame:
-    """One row per unit from ``one(text, known)``, which gives a tuple of lists in the order of ``fields``."""
-    names = [f.split()[0] for f in fields.split(", ")]
+def grouped(texts: list, short: int) -> Iterator[tuple[list, list, list, list]]:
+    """(words, words of each text, units, units of each text) of consecutive texts with about GROUP words together.
 
-    def kernel(texts: list) -> dict[str, list]:
-        known = _Hashes()
-        return dict(zip(names, map(list, zip(*(one(t, known) for t in texts)))))
-
-    made = map_text(docs, text_col, kernel, fields, [id_col])
-    made = made.select(F.col("row").getField(id_col).alias("doc_id"), F.explode(F.arrays_zip(*[f"out.{n}" for n in names])).alias("u"))
+    First words of units are counted within the group. A text too short for a shingle stands alone, as do its words.
+    """
+    words, sizes, units, counts = [], [], [], []
+    for text in texts:
+        own, found = units_in(text, short)
+        tiny = 0 < len(own) < SHINGLE
+        if sizes and (tiny or len(words) + len(own) > GROUP):
+            yield words, sizes, units, counts
+            words, sizes, units, counts = [], [], [], []
+        units += [(*u[:4], u[4] + len(words), u[5]) for u in found]
+        words += own
+        sizes.append(len(own))
+        counts.append(len(found))
+        if tiny:
+            yield words, sizes, units, counts
+            words, sizes, units, counts = [], [], [], []
+    if sizes:
+        yield words, sizes, units, counts
+
+
+def nodes_of(words: list[bytes], units: list[tuple]) -> list[int]:
+    return [node_of(words[u[4] : u[4] + u[5]]) for u in units]
+
+
+def _lists(counts: list, values, kind: pa.DataType) -> pa.Array:
+    """Lists of as many values as ``counts`` says, one after another."""
+    offsets = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def scanned(docs: DataFrame, id_col: str, text_col: str, short: int, similarity: float, rows: int) -> DataFrame:
+    """Stored: one row per row of ``docs``: doc_id, lists of equal length for its units, others for its thinned windows."""
+    bands = tuned_bands(similarity, rows)
+    multiply, add = coefficients(rows * bands)
+    keys = [f"band{i}" for i in range(bands)]
+
+    def kernel(texts: list) -> dict[str, pa.Array]:
+        hashed = _Hashes()
+        fields = {name: [] for name in UNIT}
+        parts = {"keys": [np.empty((0, bands), np.int64)], "window": [np.empty(0, np.int64)], "at": [np.empty(0, np.int64)]}
+        units_each, windows_each = [], []
+        for words, sizes, units, counts in grouped(texts, short):
+            hashes = hashed(words)
+            if units:
+                parts["keys"].append(bands_of(shingle_hashes(hashes), list(map(shingled, units)), multiply, add, rows))
+                for name, values in zip(("kind", "unit", "start", "end", "first", "words"), zip(*units)):
+                    if name != "first":
+                        fields[name] += values
+                fields["node"] += nodes_of(words, units)
+            window, at, each = thinned(hashes, sizes)
+            parts["window"].append(window)
+            parts["at"].append(at)
+            units_each += counts
+            windows_each += each.tolist()
+        found = np.concatenate(parts["keys"])
+        out = {name: _lists(units_each, fields[name], pa.int64()) for name in UNIT}
+        out |= {name: _lists(units_each, found[:, i], pa.int64()) for i, name in enumerate(keys)}
+        return out | {name: _lists(windows_each, np.concatenate(parts[name]), pa.int64()) for name in WINDOW}
+
+    made = map_text(docs, text_col, kernel, ", ".join(f"{name} array<bigint>" for name in (*UNIT, *keys, *WINDOW)), [id_col])
+    return write_shared(made.select(F.col("row").getField(id_col).alias("doc_id"), "out.*"))
+
+
+def _rows(stored: DataFrame, names: tuple) -> DataFrame:
+    """One row per place of the lists ``names``, with doc_id."""
+    made = stored.select("doc_id", F.explode(F.arrays_zip(*names)).alias("u"))
     return made.select("doc_id", *[F.col("u").getField(n).alias(n) for n in names])
 
 
-def units_of(docs: DataFrame, id_col: str, text_col: str, short: int, similarity: float, rows: int) -> DataFrame:
-    """Stored: one row per unit: doc_id, kind, unit, start, end (code points), words, node, bands."""
-    multiply, add = coefficients(rows * tuned_bands(similarity, rows))
-
-    def one(text: bytes | None, known: dict) -> tuple[list, ...]:
-        words, units = units_in(text, short)
-        if not units:
-            return tuple([] for _ in range(7))
-        bands = bands_of(shingle_hashes(words, known), list(map(shingled, units)), multiply, add, rows)
-        kinds, numbers, starts, ends, firsts, sizes = map(list, zip(*units))
-        return kinds, numbers, starts, ends, sizes, [node_of(words[a : a + n]) for a, n in zip(firsts, sizes)], bands
-
-    return write_shared(_exploded(docs, id_col, text_col, one, UNIT))
+def units_of(stored: DataFrame) -> DataFrame:
+    """One row per unit: doc_id, kind, unit, start, end (code points), words, node, band0, band1, ..."""
+    return _rows(stored, (*UNIT, *[c for c in stored.columns if c.startswith("band")]))
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, short: int) -> DataFrame:
-    """(node, members): the shingle set of each unit, to verify candidates by.
+    """(node, members): 64-bit hashes of the shingles of each unit, to verify candidates by; repeats included.
 
-    Shingles are 32-bit hashes here, which halves what is shuffled: two different ones of a pair of paragraphs of 100
-    words are the same number with a probability of 2 in a million.
+    A task gives the shingles of a node once (or once more for every ``REMEMBERED`` other ones), so a line that stands in
+    a third of all documents gives a row per task and not one per document.
     """
+    given: set[int] = set()
+
+    def kernel(texts: list) -> dict[str, pa.Array]:
+        hashed = _Hashes()
+        nodes, spans, sizes, counts = [], [np.empty(0, np.uint64)], [], []
+        for words, _, units, each in grouped(texts, short):
+            hashes = shingle_hashes(hashed(words)) if units else None
+            names, left = nodes_of(words, units), iter(units)
+            at = 0
+            for n in each:
+                before = len(nodes)
+                for node, unit in zip(names[at : at + n], left):
+                    if node not in given:
+                        if len(given) >= REMEMBERED:
+                            given.clear()
+                        given.add(node)
+                        nodes.append(node)
+                        a, b = shingled(unit)
+                        spans.append(hashes[a:b])
+                        sizes.append(b - a)
+                counts.append(len(nodes) - before)
+                at += n
+        members = _lists(sizes, np.concatenate(spans).view(np.int64), pa.int64())
+        return {"node": _lists(counts, nodes, pa.int64()), "members": _lists(counts, members, members.type)}
+
+    made = map_text(docs, text_col, kernel, "node array<bigint>, members array<array<bigint>>", [id_col])
+    return made.select(F.explode(F.arrays_zip("out.node", "out.members")).alias("u")).select("u.node", "u.members")
 
-    def one(text: bytes | None, known: dict) -> tuple[list, list]:
-        words, units = units_in(text, short)
-        hashes = shingle_hashes(words, known).astype(np.uint32).view(np.int32) if units else None
-        found = {node_of(words[u[4] : u[4] + u[5]]): shingled(u) for u in units}
-        return list(found), [np.unique(hashes[a:b]) for a, b in found.values()]
 
-    return _exploded(docs, id_col, text_col, one, SET).drop("doc_id")
+# ---------------------------------------------------------------- windows
 
 
-# ---------------------------------------------------------------- windows
+def _sliding(smaller: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """``smaller`` (a minimum or maximum) over every ``width`` neighbours, by spans that double."""
+    size = 1
+    while 2 * size <= width:
+        values = smaller(values[:-size], values[size:])
+        size *= 2
+    return smaller(values[: len(values) - width + size], values[width - size :])
+
 
+def thinned(hashes: np.ndarray, sizes: list[int], span: int = SPAN, thin: int = THIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first word within its text, number by text) of the windows that are the smallest of ``thin`` neighbours.
 
-def thinned_windows(words: list[bytes], known: dict, span: int = SPAN, thin: int = THIN) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of the windows that are the smallest of ``thin`` neighbours; equal ones once."""
-    if len(words) < span + thin - 1:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    ``hashes``: of the words of several texts with ``sizes`` words. Equal windows of a text count once, its first.
+    """
+    reach = span + thin - 1
+    if len(hashes) < reach:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(sizes), np.int64)
     size, base = 1, 0x9E3779B97F4A7C15
     while size < span:  # a window is two halves
         hashes = hashes[:-size] * np.uint64(base) + hashes[size:]
         size, base = 2 * size, base * base % (1 << 64)
-    hashes = _mixed(hashes)
-    lows = np.lib.stride_tricks.sliding_window_view(hashes, thin).min(axis=1)
+    hashes = np.maximum(_mixed(hashes), np.uint64(1))  # nothing is as small as the zeros below
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    lows = _sliding(np.minimum, hashes, thin)
+    lows[text[: len(lows)] != text[reach - 1 :]] = 0  # neighbours of two texts
     edge = np.zeros(thin - 1, np.uint64)
-    highest = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, lows, edge]), thin).max(axis=1)
-    kept = np.flatnonzero(hashes <= highest)
-    values, first = np.unique(hashes[kept], return_index=True)
-    return values.view(np.int64), kept[first]
+    kept = np.flatnonzero(hashes <= _sliding(np.maximum, np.concatenate([edge, lows, edge]), thin))
+    kept = kept[np.lexsort((hashes[kept], text[kept]))]
+    value, own = hashes[kept], text[kept]
+    first = np.ones(len(kept), bool)
+    first[1:] = (value[1:] != value[:-1]) | (own[1:] != own[:-1])
+    kept, own = kept[first], own[first]
+    return value[first].view(np.int64), kept - (np.cumsum(sizes) - sizes)[own], np.bincount(own, minlength=len(sizes))
+
 
+def thinned_windows(words: list[bytes], hashed: _Hashes, span: int = SPAN, thin: int = THIN) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of the thinned windows of one text."""
+    return thinned(hashed(words), [len(words)], span, thin)[:2]
 
-def shared_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def shared_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stored: DataFrame | None = None) -> DataFrame:
     """Stored: doc_id, start, end (words), head: windows found in more than one document, head being the smallest of these.
 
     Every repeat of SPAN + THIN - 1 words or more between two documents shows in both; shorter ones, down to SPAN words,
-    may. Rows without an id take no part, nor do repeats within one document.
+    may. Rows without an id take no part, nor do repeats within one document. ``stored``: what :func:`scanned` gave for
+    ``docs``, if it is at hand.
     """
-
-    def kernel(texts: list) -> dict[str, list]:
-        known = _Hashes()
-        made = [thinned_windows((t or b"").lower().split(), known) for t in texts]
-        return {"window": [m[0].tolist() for m in made], "start": [m[1].tolist() for m in made]}
-
-    found = map_text(docs, text_col, kernel, "window array<bigint>, start array<int>", [id_col])
-    found = found.select(F.col("row").getField(id_col).alias("doc_id"), F.explode(F.arrays_zip("out.window", "out.start")).alias("w"))
-    found = write_shared(found.where("doc_id is not null").select("doc_id", "w.window", "w.start"))
+    stored = scanned(docs, id_col, text_col, MIN_WORDS, SIMILARITY, ROWS) if stored is None else stored
+    found = _rows(stored.where("doc_id is not null"), WINDOW)
     shared = found.groupBy("window").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
     shared = write_shared(shared.where("head < last").select("window", "head"))  # stored: the join can split a hot window
-    met = found.join(shared, "window").select("doc_id", "start", (F.col("start") + SPAN).alias("end"), "head")
+    met = found.join(shared, "window").select("doc_id", F.col("at").cast("int").alias("start"), (F.col("at") + SPAN).cast("int").alias("end"), "head")
     return write_shared(met)
 
 
@@ -234,14 +325,14 @@ def covered(spans: Column) -> Column:
 # ---------------------------------------------------------------- paragraphs
 
 
-def verified(sets: list[np.ndarray], nodes: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+def verified(sets: list[list], nodes: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     """(member, head) stars of the components of pairs with a Jaccard similarity of ``similarity`` or more.
 
     Every pair not yet connected is compared; connected ones need not be, so a dense group costs one sweep.
     """
     groups: list[list[int]] = []
-    order = np.argsort([len(s) for s in sets], kind="stable")
     frozen = [set(s) for s in sets]
+    order = np.argsort([len(s) for s in frozen], kind="stable")
     for i in order.tolist():
         joined = None
         for group in groups[:]:
@@ -274,12 +365,14 @@ def _verify_tiles(similarity: float):
             return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
         for batch in batches:
-            for t, node, members in zip(batch.column("tile").to_pylist(), batch.column("node").to_pylist(), batch.column("members")):
+            lists = batch.column("members")
+            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
+            for t, node, start, end in zip(batch.column("tile").to_pylist(), batch.column("node").to_pylist(), [0, *ends], ends):
                 if t != tile:
                     yield edges()
                     tile, nodes, sets = t, [], []
                 nodes.append(node)
-                sets.append(members.values.to_numpy().tolist())
+                sets.append(flat[start:end].tolist())
         yield edges()
 
     return run
@@ -289,10 +382,15 @@ def clusters(units: DataFrame, sets: DataFrame, similarity: float = SIMILARITY,
     """(node, cluster): each distinct paragraph that is linked to a smaller node, directly or by a chain.
 
     ``sets`` are made from the texts again and meet the candidates as they come: keeping them all would cost more than
-    a second reading.
+    a second reading. Bands that bring the same nodes together, told by two 64-bit digests of these and their number, are
+    one bucket and verified once.
     """
-    keyed = units.select("node", F.explode("bands").alias("key")).distinct()
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bands = [c for c in units.columns if c.startswith("band")]
+    nodes = write_shared(units.groupBy("node").agg(*[F.min(b).alias(b) for b in bands]))  # equal in all units of a node
+    keyed = nodes.select("node", F.explode(F.array(*bands)).alias("key"))
+    digest = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *digest).where("n > 1")
+    shared = shared.groupBy("n", "x1", "x2").agg(F.min("key").alias("key"))
     shared = write_shared(shared.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")))
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     dealt = keyed.join(shared, "key").select(
@@ -310,7 +408,8 @@ def clusters(units: DataFrame, sets: DataFrame, similarity: float = SIMILARITY,
 
 
 def repeated_units(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: int = MIN_WORDS, similarity: float = SIMILARITY, rows: int = ROWS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: int = MIN_WORDS, similarity: float = SIMILARITY, rows: int = ROWS,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Stored: one row per unit: doc_id, kind, unit, start, end, words, cluster, head, removed, spread.
 
@@ -318,9 +417,9 @@ def repeated_units(
     document of fewer than ``short`` words that is no other unit). All kinds are compared with each other. ``removed``: all
     units of a cluster but its first by document and place. ``head``: the smallest document of the cluster. ``spread``: the
     cluster reaches more than one document. Rows that share an id count as one document; a null id counts as the smallest.
-    Null and empty texts have no units.
+    Null and empty texts have no units. ``stored``: what :func:`scanned` gave for ``docs`` with these parameters.
     """
-    units = units_of(docs, id_col, text_col, short, similarity, rows)
+    units = units_of(scanned(docs, id_col, text_col, short, similarity, rows) if stored is None else stored)
     named = units.select("doc_id", "kind", "unit", "start", "end", "words", "node").join(
         clusters(units, sets_of(docs, id_col, text_col, short), similarity), "node", "left"
     )
@@ -349,8 +448,10 @@ def describe_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     document is another one. class_id: the smallest id of the documents joined by shared units or passages, directly or by
     a chain; its own id if none.
     """
-    units = repeated_units(docs, id_col, text_col, **options)
-    windows = shared_windows(docs, id_col, text_col)
+    options = {"short": MIN_WORDS, "similarity": SIMILARITY, "rows": ROWS} | options
+    stored = scanned(docs, id_col, text_col, **options)
+    units = repeated_units(docs, id_col, text_col, **options, stored=stored)
+    windows = shared_windows(docs, id_col, text_col, stored)
     edges = units.where("spread and doc_id is not null").select(F.col("doc_id").alias("u"), F.col("head").alias("v"))
     links = components(edges.unionByName(windows.select(F.col("doc_id").alias("u"), F.col("head").alias("v"))))
     count = lambda condition: F.count(F.when(condition, 1))
