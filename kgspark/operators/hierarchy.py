@@ -2,30 +2,46 @@
 
 Loops are driven from the driver, one shuffle join per level; what each round
 keeps goes to the checkpoint folder, so lost executors cost one round at most.
+Tables of a hierarchy compress so well that their files look small enough for
+broadcasts which are not: joins of a loop are sorted and merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.operators.stats import distribution
-from kgspark.session import materialise
+from kgspark.session import folder_exists, materialise, remove_folder, remove_shared, shared_folder, write_shared
 
 
 # Rounds after which a growing union becomes one stored table.
 COMPACT = 4
+# Shares of the pairs of one ancestor, so that one with many pairs is not one task.
+SHARES = 8
+# Levels of pairs that go no further, and of those whose ancestor is on or below a cycle.
+DONE, ENDLESS = -1, -2
 
 
 @dataclass(frozen=True)
 class Peeling:
-    """Children per level, and the edges that never peel off (empty for a DAG)."""
+    """``folder`` with the edges ``child, parent`` left at each level, and the edges that never peel off (none for a DAG)."""
 
-    levels: list[DataFrame]
+    folder: str
+    rounds: int
     residue: DataFrame | None
 
+    def levels(self, edges: DataFrame) -> DataFrame:
+        """``node, level``: the last level that a child has edges at; children on or below a cycle have the last of all."""
+        if not self.rounds:
+            return edges.select(F.col("child").alias("node"), F.lit(0).alias("level")).limit(0)
+        shape = edges.select("child", F.lit(0).alias("level")).schema
+        left = edges.sparkSession.read.schema(shape).parquet(self.folder)
+        return left.groupBy(F.col("child").alias("node")).agg(F.max("level").alias("level"))
+
 
 def peel(edges: DataFrame) -> Peeling:
     """Drop the edges below a root, level by level.
@@ -35,17 +51,18 @@ def peel(edges: DataFrame) -> Peeling:
     kept edges only shrink; once a round drops none, the rest hangs below a cycle.
     There are as many rounds as levels.
     """
-    current, n = materialise(edges.select("child", "parent").distinct())
-    levels: list[DataFrame] = []
+    folder = shared_folder(edges.sparkSession)
+    current, n = materialise(edges.select("child", "parent").distinct(), f"{folder}/level=1")
+    rounds = 0
     while n:
-        children = current.select("child").distinct()
-        levels.append(children)
-        deeper = current.join(children.select(F.col("child").alias("parent")), "parent", "left_semi")
-        following, left = materialise(deeper.select("child", "parent"))
+        rounds += 1
+        children = current.select(F.col("child").alias("parent")).hint("merge")
+        deeper = current.join(children, "parent", "left_semi").select("child", "parent")
+        following, left = materialise(deeper, f"{folder}/level={rounds + 1}")
         if left == n:
-            return Peeling(levels, following)
+            return Peeling(folder, rounds, following)
         current, n = following, left
-    return Peeling(levels, None)
+    return Peeling(folder, rounds, None)
 
 
 def find_cycle_nodes(edges: DataFrame) -> DataFrame:
@@ -102,92 +119,156 @@ def depth(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     """
     peeled = peel(edges)
     base = nodes.select(F.col(id_col).alias("id")).distinct()
-    if not peeled.levels:
-        return base.withColumn("depth", F.lit(0).cast("bigint"))
-    marks = None
-    for level, children in enumerate(peeled.levels, start=1):
-        part = children.select(F.col("child").alias("id"), F.lit(level).cast("bigint").alias("level"))
-        marks = part if marks is None else marks.unionByName(part)
-    deepest = marks.groupBy("id").agg(F.max("level").alias("level"))
-    out = base.join(deepest, "id", "left").withColumn("depth", F.coalesce(F.col("level"), F.lit(0).cast("bigint")))
+    deepest = peeled.levels(edges).withColumnRenamed("node", "id")
+    level = F.coalesce(F.col("level"), F.lit(0)).cast("bigint")
+    out = base.join(deepest.hint("merge"), "id", "left").withColumn("depth", level)
     if peeled.residue is not None:
         endless = peeled.residue.select(F.col("child").alias("id"), F.lit(True).alias("endless")).distinct()
-        out = out.join(endless, "id", "left").withColumn(
+        out = out.join(endless.hint("merge"), "id", "left").withColumn(
             "depth", F.when(F.col("endless"), F.lit(None).cast("bigint")).otherwise(F.col("depth"))
         )
     return out.select("id", "depth")
 
 
 def ancestors(edges: DataFrame) -> DataFrame:
-    """All proper ``node, ancestor`` pairs.
-
-    Path doubling: each round joins the pairs with themselves, so a hierarchy of
-    depth d takes log2(d) rounds. Pairs are distinct after every round, so
-    multi-parent nodes do not multiply paths, and cycles end.
-    """
-    pairs, n = materialise(edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct())
-    while True:
-        further = pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("far"))
-        longer = pairs.join(further, "ancestor").select("node", F.col("far").alias("ancestor"))
-        grown, m = materialise(pairs.unionByName(longer).distinct())
-        if m == n:
-            return grown
-        pairs, n = grown, m
+    """All proper ``node, ancestor`` pairs."""
+    return closed_pairs(edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")), edges)
 
 
 def ancestors_of(edges: DataFrame, start: DataFrame, start_col: str = "id") -> DataFrame:
-    """Proper ``node, ancestor`` pairs of the start nodes only.
-
-    Walks up from the start level by level: a round extends only the pairs found
-    in the round before and drops those already known.
-    """
-    step = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("next")).distinct()
+    """Proper ``node, ancestor`` pairs of the start nodes only."""
     begin = start.select(F.col(start_col).alias("node")).distinct()
-    frontier, n = materialise(
-        step.select(F.col("ancestor").alias("node"), F.col("next").alias("ancestor")).join(begin, "node", "left_semi")
-    )
-    known, rounds = frontier, 0
-    while n:
-        found = frontier.join(step, "ancestor").select("node", F.col("next").alias("ancestor")).distinct()
-        frontier, n = materialise(found.join(known, ["node", "ancestor"], "left_anti"))
-        known, rounds = _grown(known, frontier, n, rounds)
-    return known
-
-
-def _grown(known: DataFrame, new: DataFrame, n: int, rounds: int) -> tuple[DataFrame, int]:
-    """What is known with the new rows; every few rounds it becomes one table again."""
-    if n:
-        known, rounds = known.unionByName(new), rounds + 1
-        if rounds % COMPACT == 0:
-            known = materialise(known)[0]
-    return known, rounds
+    pairs = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"))
+    return closed_pairs(pairs.join(begin.hint("merge"), "node", "left_semi"), edges)
 
 
 def gene_ancestors(participation: DataFrame, edges: DataFrame, few: bool = False) -> DataFrame:
     """Distinct ``gene, ancestor``: a gene's pathways and everything above them.
 
-    Memberships are pushed up level by level; a round carries on only pairs that
-    are new, so a pathway reached by many paths is one row, and memberships that
-    are closed already end after one round. ``few`` says that the memberships are
-    those of some genes only; it changes nothing any more.
+    ``few`` says that the memberships are those of some genes only; it changes nothing any more.
+    """
+    pairs = participation.select(F.col("gene").alias("node"), F.col("pathway").alias("ancestor"))
+    return closed_pairs(pairs, edges).withColumnRenamed("node", "gene")
+
+
+def closed_pairs(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """Distinct ``node, ancestor`` with every ancestor of an ancestor; stored.
+
+    Pairs wait at the level of their ancestor. From the deepest level up, those of
+    one level are made distinct and step to the parents, which are at higher levels:
+    all that can reach a level has come before it is its turn. So a pair is moved
+    once, is never looked up among those found before, and pairs that are closed
+    already cost nothing more.
+    """
+    spark = pairs.sparkSession
+    both = pairs.select("ancestor").union(edges.select("parent"))
+    kind = both.schema["ancestor"].dataType
+    pairs = pairs.select("node", F.col("ancestor").cast(kind).alias("ancestor"))
+    step = edges.select(F.col("child").cast(kind).alias("ancestor"), F.col("parent").cast(kind).alias("next")).distinct()
+
+    peeled = peel(edges)
+    level = peeled.levels(edges)
+    if peeled.residue is not None:
+        endless = peeled.residue.select(F.col("child").alias("node"), F.lit(ENDLESS).alias("endless")).distinct()
+        level = level.join(endless.hint("merge"), "node", "left").select("node", F.coalesce("endless", "level").alias("level"))
+    level = write_shared(level)
+    remove_folder(spark, peeled.folder if peeled.residue is None else f"{peeled.folder}/level=1")
+    of = lambda df, column: df.join(
+        level.select(F.col("node").alias(column), "level").hint("merge"), column, "left"
+    ).withColumn("level", F.coalesce("level", F.lit(0)))
+
+    # A step leads to the next ancestor and its level; one more stays where it is and is done.
+    steps, waiting = shared_folder(spark), shared_folder(spark)
+    onward = of(step, "next").withColumnRenamed("level", "to")
+    stay = level.select(F.col("node").alias("ancestor"), F.col("node").alias("next"), F.lit(DONE).alias("to"))
+    of(onward.unionByName(stay), "ancestor").write.partitionBy("level").parquet(steps)
+    of(pairs, "ancestor").write.partitionBy("level").parquet(waiting)
+
+    shape, path_shape = pairs.schema, step.withColumn("to", F.lit(0)).schema
+    share = F.pmod(F.xxhash64("node"), F.lit(SHARES)).cast("int").alias("share")
+
+    def at(n: int) -> DataFrame:
+        return spark.read.schema(shape).parquet(f"{waiting}/level={n}")
+
+    def distinct_at(n: int) -> DataFrame:
+        held = at(n).select("node", "ancestor", share)
+        return held.repartition("ancestor", "share").dropDuplicates(["ancestor", "share", "node"])
+
+    def put(found: DataFrame) -> None:
+        found.select("node", "ancestor", "level").write.partitionBy("level").mode("append").parquet(waiting)
+
+    for n in [ENDLESS, *range(peeled.rounds, 0, -1)]:
+        if not folder_exists(spark, f"{waiting}/level={n}"):
+            continue
+        path = spark.read.schema(path_shape).parquet(f"{steps}/level={n}")
+        if n == ENDLESS:
+            inner = path.filter(F.col("to") == ENDLESS).select("ancestor", "next")
+            outer = path.filter(F.col("to") != ENDLESS)
+            held = _closed_in_rounds(at(n), inner)
+            put(held.join(outer.hint("merge"), "ancestor").select("node", F.col("next").alias("ancestor"), F.col("to").alias("level")))
+        else:
+            dealt = path.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+            found = distinct_at(n).join(dealt.hint("merge"), ["ancestor", "share"])
+            put(found.select("node", F.col("next").alias("ancestor"), F.col("to").alias("level")))
+        remove_folder(spark, f"{waiting}/level={n}")
+    if folder_exists(spark, f"{waiting}/level=0"):
+        put(distinct_at(0).withColumn("level", F.lit(DONE)))
+        remove_folder(spark, f"{waiting}/level=0")
+    remove_folder(spark, steps)
+    remove_shared(level)
+    return at(DONE) if folder_exists(spark, f"{waiting}/level={DONE}") else pairs.limit(0)
+
+
+def _closed_in_rounds(pairs: DataFrame, step: DataFrame) -> DataFrame:
+    """Distinct ``node, ancestor`` closed under steps ``ancestor, next`` that may go round in circles.
+
+    A round extends only the pairs found in the round before and drops those already known.
     """
-    step = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("next")).distinct()
-    frontier, n = materialise(participation.select("gene", F.col("pathway").alias("ancestor")).distinct())
+    frontier, n = materialise(pairs.distinct())
     known, rounds = frontier, 0
     while n:
-        found = frontier.join(step, "ancestor").select("gene", F.col("next").alias("ancestor")).distinct()
-        frontier, n = materialise(found.join(known, ["gene", "ancestor"], "left_anti"))
-        known, rounds = _grown(known, frontier, n, rounds)
+        found = frontier.join(step.hint("merge"), "ancestor").select("node", F.col("next").alias("ancestor")).distinct()
+        frontier, n = materialise(found.join(known.hint("merge"), ["node", "ancestor"], "left_anti"))
+        if n:
+            known, rounds = known.unionByName(frontier), rounds + 1
+            if rounds % COMPACT == 0:
+                known = materialise(known)[0]
     return known
 
 
 def closure_violations(members: DataFrame, edges: DataFrame) -> DataFrame:
     """Parent memberships that a closed table would hold and this one lacks."""
-    held = members.select("gene", "pathway").distinct()
-    implied = held.join(
-        edges.select(F.col("child").alias("pathway"), "parent").distinct(), "pathway"
-    ).select("gene", F.col("parent").alias("pathway")).distinct()
-    return implied.join(held, ["gene", "pathway"], "left_anti")
+    return _held_and_implied(members, edges, {"held": F.lit(True)}).filter("held_lacks").select("gene", "pathway")
+
+
+def closure_violation_counts(members: DataFrame, edges: DataFrame, parts: Mapping[str, Column]) -> DataFrame:
+    """Number of :func:`closure_violations` of several parts of one table, from one grouping: ``memberships, violations``.
+
+    ``parts``: which memberships are in a part, by its name.
+    """
+    keys = {name: f"p{i}" for i, name in enumerate(parts)}
+    found = _held_and_implied(members, edges, {keys[name]: condition for name, condition in parts.items()})
+    counted = found.agg(*[F.count_if(F.col(f"{key}_lacks")).alias(key) for key in keys.values()])
+    rows = [F.struct(F.lit(name).alias("memberships"), F.col(key).alias("violations")) for name, key in keys.items()]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def _held_and_implied(members: DataFrame, edges: DataFrame, parts: Mapping[str, Column]) -> DataFrame:
+    """``gene, pathway`` with ``<part>_lacks`` for each part: implied by one of its memberships, but not among them.
+
+    A membership says what it holds and what it implies; both meet in one grouping.
+    """
+    marked = members.select("gene", "pathway", *[F.coalesce(c, F.lit(False)).alias(name) for name, c in parts.items()])
+    step = edges.select(F.col("child").alias("pathway"), "parent").distinct().hint("merge")
+    no = F.lit(False)
+    held = marked.select("gene", "pathway", *[F.col(n).alias(f"{n}_has") for n in parts], *[no.alias(f"{n}_wants") for n in parts])
+    wants = marked.join(step, "pathway").select(
+        "gene", F.col("parent").alias("pathway"), *[no.alias(f"{n}_has") for n in parts], *[F.col(n).alias(f"{n}_wants") for n in parts]
+    )
+    told = held.unionByName(wants).groupBy("gene", "pathway").agg(
+        *[F.bool_or(f"{n}_{what}").alias(f"{n}_{what}") for n in parts for what in ("has", "wants")]
+    )
+    return told.select("gene", "pathway", *[(F.col(f"{n}_wants") & ~F.col(f"{n}_has")).alias(f"{n}_lacks") for n in parts])
 
 
 def degrees(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:

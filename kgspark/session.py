@@ -34,14 +34,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> tuple[DataFrame, int]:
-    """Cut the lineage of ``df`` in the checkpoint folder; return it with its row count.
+def materialise(df: DataFrame, path: str | None = None) -> tuple[DataFrame, int]:
+    """Write ``df`` as a table in the checkpoint folder; return it, as read back, with its row count.
 
-    The count is observed while the checkpoint is written, so the plan runs once.
+    The count is observed while the table is written, so the plan runs once.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     seen = Observation()
-    stored = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    stored = write_shared(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     rows = observed(seen, "rows")
     return stored, stored.count() if rows is None else int(rows)
 
@@ -58,16 +57,30 @@ def observed(seen: Observation, name: str):
         return None
 
 
-def write_shared(df: DataFrame) -> DataFrame:
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of its own in the checkpoint folder, not made yet."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back.
 
     For a wide table that several later plans read: readers take only their
     columns, and the optimizer knows its true size.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    path = path or shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def remove_shared(stored: DataFrame) -> None:
