@@ -37,6 +37,16 @@ def _digest(columns: Sequence[Column]) -> list[Column]:
     ]
 
 
+def distinct_count(df: DataFrame) -> DataFrame:
+    """Number of distinct rows, ``rows``: 128 bits of each are shuffled, however long it is.
+
+    Two different rows count as one with a probability of about 2^-128.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    marks = df.select(_hash(columns, 1).alias("a"), _hash(columns, 2).alias("b")).distinct()
+    return marks.agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _bucket(columns: Sequence[Column], bits: int) -> Column:
     return F.shiftrightunsigned(_hash(columns, 3), 64 - bits)
 

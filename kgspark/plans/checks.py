@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kgspark.functions.text import plain_curie
 from kgspark.operators import hierarchy as H
+from kgspark.operators.digests import distinct_count
 from kgspark.operators.rules import smallest
 from kgspark.operators.sets import reconcile_sets
 from kgspark.operators.shapes import reconcile_shapes
@@ -230,7 +231,7 @@ def chk_total(quads: DataFrame, low: int | None = None, high: int | None = None,
 
     ``known_set``: the statements are stored as a set, so they are counted as they are, without a shuffle.
     """
-    row = (quads if known_set else quads.distinct()).agg(F.count(F.lit(1)).alias("n"))
+    row = quads.agg(F.count(F.lit(1)).alias("n")) if known_set else distinct_count(quads).withColumnRenamed("rows", "n")
     if low is None or high is None:
         detail = F.concat(F.col("n").cast("string"), F.lit(" statements, nothing to compare"))
         return _check(row, "11. statement count in range", F.lit(0), detail, False)
