@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from kgspark.operators import digests, hierarchy
 from kgspark.plans import checks
+from workload.queries import QUERIES
+from workload.tables import Tables
 
 
 def plan_of(df) -> str:
@@ -18,3 +20,10 @@ def test_statements_are_counted_without_moving_their_text(spark):
     assert checks.chk_total(rows, 3, 3).first()["status"] == "PASS"
     exchanges = [line for line in plan_of(checks.chk_total(rows, 3, 3)).split("\n") if "Exchange hashpartitioning" in line]
     assert exchanges and not any("graph#" in line or "s#" in line for line in exchanges)
+
+
+def test_acceptance_moves_no_statement_text(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    plan = plan_of(QUERIES["acceptance"](tables))
+    assert not any("Exchange hashpartitioning" in line and "o_datatype#" in line for line in plan.split("\n"))
+    assert not any("Scan parquet" in line and "o_datatype#" in line for line in plan.split("\n"))
