@@ -27,3 +27,36 @@ def test_acceptance_moves_no_statement_text(spark):
     plan = plan_of(QUERIES["acceptance"](tables))
     assert not any("Exchange hashpartitioning" in line and "o_datatype#" in line for line in plan.split("\n"))
     assert not any("Scan parquet" in line and "o_datatype#" in line for line in plan.split("\n"))
+
+
+def test_patterns_store_and_broadcast_no_statements(spark):
+    plan = plan_of(QUERIES["bgp_match"](Tables(spark, "/root/testdata/sf0.001")))
+    assert "o_datatype#" not in "".join(line for line in plan.split("\n") if "Scan parquet" in line)
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_pairs_step_up_once_and_rounds_are_removed(spark, tmp_path):
+    """A diamond, a cycle with a tail and a way out of it; a stored table per round is not left behind."""
+    edges = spark.createDataFrame([(4, 2), (4, 3), (2, 1), (3, 1), (11, 12), (12, 11), (13, 12), (11, 2)], "child LONG, parent LONG")
+    found = hierarchy.ancestors(edges)
+    above = {4: {2, 3, 1}, 2: {1}, 3: {1}, 11: {11, 12, 2, 1}, 12: {11, 12, 2, 1}, 13: {11, 12, 2, 1}}
+    assert sorted(map(tuple, found.collect())) == sorted((n, a) for n, up in above.items() for a in up)
+    folders = {f.rsplit("/", 1)[0].rsplit("/", 1)[1] for f in found.inputFiles()}
+    assert folders == {"level=-1"}
+
+
+def test_depths_broadcast_no_side(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2)], "child LONG, parent LONG")
+    nodes = spark.createDataFrame([(1,), (2,), (3,)], "id LONG")
+    found = hierarchy.depth(nodes, edges)
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" not in plan and plan.count("Scan parquet") == 1
+    assert dict(found.collect()) == {1: 0, 2: 1, 3: 2}
+
+
+def test_violations_of_parts_come_from_one_grouping(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2)], "child LONG, parent LONG")
+    members = spark.createDataFrame([(7, 3), (7, 2), (7, 1), (8, 3)], "gene LONG, pathway LONG")
+    parts = {"all": F.lit(True), "low": F.col("pathway") > 1}
+    assert dict(hierarchy.closure_violation_counts(members, edges, parts).collect()) == {"all": 1, "low": 2}
+    assert sorted(map(tuple, hierarchy.closure_violations(members, edges).collect())) == [(8, 2)]

@@ -531,8 +531,7 @@ def bgp_match(t: Tables) -> DataFrame:
         ("?a", "biolink:object", "?pathway"), ("?pathway", "biolink:part_of", "?parent"),
         ("?gene", "rdfs:label", "?symbol"),
     ]
-    stored = write_shared(Q.relevant(t.kept().emitted, patterns).sortWithinPartitions("p"))
-    found = Q.match(stored, patterns)
+    found = Q.match(Q.relevant(t.kept().emitted, patterns), patterns)
     return found.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("solutions"), F.countDistinct("parent").alias("parents")
     )
