@@ -52,23 +52,19 @@ class Encoded:
 def encode(quads: DataFrame) -> Encoded:
     """Encode statements ``graph, s, p, o, o_kind, o_datatype``; both tables are stored.
 
-    The only shuffle is that of the distinct terms; repeated statements stay repeated.
+    The only shuffle of text is that of the distinct terms, which are written once; repeated statements stay repeated.
     """
     iri = F.lit(IRI)
     parts = [("s", F.col("s"), iri), ("p", F.col("p"), iri), ("o", F.col("o"), _object_kind())]
     named = quads.select(F.inline(F.array(*[F.struct(text.alias("text"), kind.alias("kind")) for _, text, kind in parts])))
-    named = write_shared(named.filter(F.col("text").isNotNull()).distinct())
-    seed = 0
+    named, seed = named.filter(F.col("text").isNotNull()).distinct(), 0
     while True:
-        seen = Observation()
-        rows = named.select(_id(F.col("text"), F.col("kind"), seed).alias("id"), "text", "kind")
-        terms = write_shared(rows.observe(seen, F.count(F.lit(1)).alias("terms")))
+        terms = write_shared(named.select(_id(F.col("text"), F.col("kind"), seed).alias("id"), "text", "kind"))
         shared = terms.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         if shared.isEmpty():
             break
-        remove_shared(terms)
+        remove_shared(terms)  # as good as never: the terms are made distinct once more, under another seed
         seed += 1
-    remove_shared(named)
     ids = quads.select("graph", *[F.when(text.isNotNull(), _id(text, kind, seed)).alias(name) for name, text, kind in parts])
     return Encoded(write_shared(ids.sortWithinPartitions("p", "s")), terms, seed)
 
