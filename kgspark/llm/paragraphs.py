@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.llm.shared import components, map_text
-from kgspark.session import write_shared
+from kgspark.session import brief_shuffles, remove_shared, write_shared
 
 #: MIN_WORDS: a line or document of fewer words is short. It decides what is joined and how a line is reported, not what is compared.
 MIN_WORDS, SHINGLE, SIMILARITY, RECALL, ROWS = 50, 5, 0.8, 0.995, 2
@@ -219,37 +219,30 @@ def units_of(stored: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, short: int) -> DataFrame:
-    """(node, members): 64-bit hashes of the shingles of each unit, to verify candidates by; repeats included.
+    """(node, members): the folded words of each unit, joined by spaces, to verify candidates by.
 
-    A task gives the shingles of a node once (or once more for every ``REMEMBERED`` other ones), so a line that stands in
-    a third of all documents gives a row per task and not one per document.
+    Words and not the hashes of their shingles: these are longer and do not compress. A task gives the words of a node
+    once (or once more for every ``REMEMBERED`` other ones), so a line that stands in a third of all documents gives a row
+    per task and not one per document.
     """
     given: set[int] = set()
 
     def kernel(texts: list) -> dict[str, pa.Array]:
-        hashed = _Hashes()
-        nodes, spans, sizes, counts = [], [np.empty(0, np.uint64)], [], []
-        for words, _, units, each in grouped(texts, short):
-            hashes = shingle_hashes(hashed(words)) if units else None
-            names, left = nodes_of(words, units), iter(units)
-            at = 0
-            for n in each:
-                before = len(nodes)
-                for node, unit in zip(names[at : at + n], left):
-                    if node not in given:
-                        if len(given) >= REMEMBERED:
-                            given.clear()
-                        given.add(node)
-                        nodes.append(node)
-                        a, b = shingled(unit)
-                        spans.append(hashes[a:b])
-                        sizes.append(b - a)
-                counts.append(len(nodes) - before)
-                at += n
-        members = _lists(sizes, np.concatenate(spans).view(np.int64), pa.int64())
-        return {"node": _lists(counts, nodes, pa.int64()), "members": _lists(counts, members, members.type)}
-
-    made = map_text(docs, text_col, kernel, "node array<bigint>, members array<array<bigint>>", [id_col])
+        nodes, members, counts = [], [], []
+        for text in texts:
+            words, units = units_in(text, short)
+            before = len(nodes)
+            for unit, node in zip(units, nodes_of(words, units)):
+                if node not in given:
+                    if len(given) >= REMEMBERED:
+                        given.clear()
+                    given.add(node)
+                    nodes.append(node)
+                    members.append(b" ".join(words[unit[4] : unit[4] + unit[5]]))
+            counts.append(len(nodes) - before)
+        return {"node": _lists(counts, nodes, pa.int64()), "members": _lists(counts, members, pa.binary())}
+
+    made = map_text(docs, text_col, kernel, "node array<bigint>, members array<binary>", [id_col])
     return made.select(F.explode(F.arrays_zip("out.node", "out.members")).alias("u")).select("u.node", "u.members")
 
 
@@ -354,6 +347,15 @@ def verified(sets: list[list], nodes: np.ndarray, similarity: float) -> list[tup
     return [(int(nodes[i]), int(nodes[min(g)])) for g in groups for i in g if i != min(g)]
 
 
+def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """:func:`shingle_set` of each text of folded words, hashed together."""
+    words = [text.split() for text in texts]
+    hashes, at = _Hashes()([w for own in words for w in own]), 0
+    for own in words:
+        yield np.unique(shingle_hashes(hashes[at : at + len(own)]))
+        at += len(own)
+
+
 def _verify_tiles(similarity: float):
     """Partition kernel over rows (tile, node, members) sorted by tile; only the tile at hand is held."""
 
@@ -365,14 +367,13 @@ def _verify_tiles(similarity: float):
             return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
         for batch in batches:
-            lists = batch.column("members")
-            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
-            for t, node, start, end in zip(batch.column("tile").to_pylist(), batch.column("node").to_pylist(), [0, *ends], ends):
+            made = shingle_sets(batch.column("members").to_pylist())
+            for t, node, own in zip(batch.column("tile").to_pylist(), batch.column("node").to_pylist(), made):
                 if t != tile:
                     yield edges()
                     tile, nodes, sets = t, [], []
                 nodes.append(node)
-                sets.append(flat[start:end].tolist())
+                sets.append(own.tolist())
         yield edges()
 
     return run
@@ -404,7 +405,10 @@ def clusters(units: DataFrame, sets: DataFrame, similarity: float = SIMILARITY,
     members = write_shared(wanted.groupBy("node").agg(F.first("members").alias("members")))
     met = tiles.join(members, "node").select("tile", "node", "members")
     edges = met.repartition("tile").sortWithinPartitions("tile").mapInArrow(_verify_tiles(similarity), "u bigint, v bigint")
-    return components(edges).withColumnRenamed("root", "cluster")
+    linked = components(edges).withColumnRenamed("root", "cluster")
+    for done in (nodes, shared, tiles, members):
+        remove_shared(done)
+    return linked
 
 
 def repeated_units(
@@ -449,11 +453,13 @@ def describe_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     a chain; its own id if none.
     """
     options = {"short": MIN_WORDS, "similarity": SIMILARITY, "rows": ROWS} | options
-    stored = scanned(docs, id_col, text_col, **options)
-    units = repeated_units(docs, id_col, text_col, **options, stored=stored)
-    windows = shared_windows(docs, id_col, text_col, stored)
-    edges = units.where("spread and doc_id is not null").select(F.col("doc_id").alias("u"), F.col("head").alias("v"))
-    links = components(edges.unionByName(windows.select(F.col("doc_id").alias("u"), F.col("head").alias("v"))))
+    with brief_shuffles(docs.sparkSession):
+        stored = scanned(docs, id_col, text_col, **options)
+        units = repeated_units(docs, id_col, text_col, **options, stored=stored)
+        windows = shared_windows(docs, id_col, text_col, stored)
+        remove_shared(stored)
+        edges = units.where("spread and doc_id is not null").select(F.col("doc_id").alias("u"), F.col("head").alias("v"))
+        links = components(edges.unionByName(windows.select(F.col("doc_id").alias("u"), F.col("head").alias("v"))))
     count = lambda condition: F.count(F.when(condition, 1))
     line = F.col("kind") == LINE
     summed = units.groupBy("doc_id").agg(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from kgspark.errors import IngestError
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -73,6 +75,20 @@ def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage.
+
+    For jobs of many stored steps, whose shuffles would otherwise lie on the disks together.
+    """
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP_SETTING) if before is None else spark.conf.set(CLEANUP_SETTING, before)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -180,3 +181,31 @@ def test_dense_group_is_verified_whole():
     roots = brute.linked(60, ((i, j) for i in range(60) for j in range(i) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))))
     found = dict(paragraphs.verified(sets, np.arange(60), 0.8))
     assert [found.get(i, i) for i in range(60)] == roots
+
+
+def test_candidates_travel_as_words(spark):
+    """What meets in the tiles is the folded text, not eight bytes for each of its shingles; the sets are the same."""
+    rng = random.Random(3)
+    texts = [brute.sentence(rng, n) for n in (60, 3, 120, 5)]
+    df = spark.createDataFrame([(i, f" {t.upper()}\t", None, None, None) for i, t in enumerate(texts)], brute.SCHEMA).coalesce(1)
+    members = [bytes(r["members"]) for r in paragraphs.sets_of(df, "doc_id", "text", 50).collect()]
+    assert members == [t.encode() for t in texts]
+    made = list(paragraphs.shingle_sets(members))
+    assert [m.tolist() for m in made] == [paragraphs.shingle_set(t.encode().split()).tolist() for t in texts]
+
+
+def test_shuffles_do_not_pile_up(spark):
+    """Shuffle files of the stored steps are gone when the result is at hand, and the setting is as it was."""
+    from kgspark.session import CLEANUP_SETTING
+
+    def held():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = manager.getAllFiles().mkString("\n").split("\n")
+        return {n: os.path.getsize(n) for n in names if n.endswith(".data") and os.path.exists(n)}
+
+    df = spark.createDataFrame(near_copies(9), brute.SCHEMA).repartition(3)
+    setting, before = spark.conf.get(CLEANUP_SETTING), held()
+    found = paragraphs.op6_paragraphs(df)
+    left = sum(size for name, size in held().items() if name not in before)
+    assert left < 20_000
+    assert spark.conf.get(CLEANUP_SETTING) == setting and found.count() == 80
