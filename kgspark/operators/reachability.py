@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kgspark.errors import IngestError
-from kgspark.session import any_row, write_shared
+from kgspark.operators.hierarchy import peel
+from kgspark.session import any_row, folder_exists, remove_folder, remove_shared, shared_folder, write_shared
+
+#: Longest chain of a hierarchy that is indexed level by level.
+SHALLOW = 64
 
 
 @dataclass(frozen=True)
@@ -31,14 +35,14 @@ class ReachabilityIndex:
 
     def ancestors_of(self, start: DataFrame, start_col: str = "id") -> DataFrame:
         """Proper ``node, ancestor`` pairs of the start nodes: as many rows as there are, and no round."""
-        wanted = self.reach.join(start.select(F.col(start_col).alias("node")).distinct(), "node", "left_semi")
-        above = wanted.join(self.places.withColumnRenamed("node", "ancestor"), "chain").filter("position >= lowest")
+        wanted = self.reach.join(start.select(F.col(start_col).alias("node")).distinct().hint("merge"), "node", "left_semi")
+        above = wanted.join(self.places.withColumnRenamed("node", "ancestor").hint("merge"), "chain").filter("position >= lowest")
         return above.select("node", "ancestor")
 
     def ancestor_counts(self) -> DataFrame:
         """Proper ancestors per node that has any: sums over chains, no pair is made."""
         length = self.places.groupBy("chain").agg((F.max("position") + 1).alias("length"))
-        counted = self.reach.join(length, "chain").groupBy("node").agg(F.sum(F.col("length") - F.col("lowest")).alias("ancestors"))
+        counted = self.reach.join(length.hint("merge"), "chain").groupBy("node").agg(F.sum(F.col("length") - F.col("lowest")).alias("ancestors"))
         return counted
 
 
@@ -57,7 +61,7 @@ def chains(edges: DataFrame) -> DataFrame:
     below, walked = write_shared(below), None
     for _ in range(below.count().bit_length() + 2):
         far = below.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"))
-        below = write_shared(below.join(far, "to").select("node", F.col("next").alias("to"), (F.col("steps") + F.col("more")).alias("steps")))
+        below = write_shared(below.join(far.hint("merge"), "to").select("node", F.col("next").alias("to"), (F.col("steps") + F.col("more")).alias("steps")))
         walked, before = below.agg(F.sum("steps")).first()[0], walked
         if walked == before:
             return below.select("node", F.col("to").alias("chain"), F.col("steps").alias("position"))
@@ -67,11 +71,54 @@ def chains(edges: DataFrame) -> DataFrame:
 def reachability_index(edges: DataFrame) -> ReachabilityIndex:
     """The index of a hierarchy ``child, parent``; a cycle is an error, repeated edges count once.
 
-    Each round composes what is known with itself: a node reaches what the lowest node it reaches on a chain does. Paths
-    over twice as many chains are covered by each round; one that lowers nothing is the last.
+    Up to chains of ``SHALLOW`` nodes, nodes hand on what they reach level by level; deeper hierarchies are doubled.
     """
     pairs = write_shared(edges.select("child", "parent").distinct())
     places = write_shared(chains(pairs))
+    longest = places.agg(F.max("position")).first()[0]
+    return ReachabilityIndex(places, (_by_levels if longest is None or longest < SHALLOW else _doubled)(pairs, places))
+
+
+def _by_levels(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """``reach``: from the roots down, a node whose parents are all done hands what it reaches to its children.
+
+    What a node reaches waits at its level. So it is moved once for each edge, however many rounds there are: as many as
+    levels.
+    """
+    spark = pairs.sparkSession
+    peeled = peel(pairs)
+    if peeled.residue is not None:
+        raise IngestError("the hierarchy has a cycle")
+    level = write_shared(peeled.levels(pairs))  # of children; roots have none
+    remove_folder(spark, peeled.folder)
+    to = level.select(F.col("node").alias("child"), F.col("level").alias("to")).hint("merge")
+    steps, waiting, done = shared_folder(spark), shared_folder(spark), shared_folder(spark)
+    onward = write_shared(pairs.join(to, "child"))
+    onward.join(level.withColumnRenamed("node", "parent").hint("merge"), "parent").write.partitionBy("level").parquet(steps)
+    at = places.withColumnRenamed("node", "parent").hint("merge")
+    handed = lambda found, lowest: found.select(F.col("child").alias("node"), "chain", F.col(lowest).alias("lowest"), F.col("to").alias("level"))
+    first = handed(onward.join(at, "parent"), "position")
+    shape, path = first.drop("level").schema, onward.schema
+    first.write.partitionBy("level").parquet(waiting)
+    remove_shared(onward)
+    remove_shared(level)
+    for n in range(1, peeled.rounds + 1):
+        held = spark.read.schema(shape).parquet(f"{waiting}/level={n}")
+        found = write_shared(held.groupBy("node", "chain").agg(F.min("lowest").alias("lowest")), f"{done}/level={n}")
+        if folder_exists(spark, f"{steps}/level={n}"):
+            step = spark.read.schema(path).parquet(f"{steps}/level={n}")
+            passed = found.withColumnRenamed("node", "parent").join(step.hint("merge"), "parent")
+            handed(passed, "lowest").write.partitionBy("level").mode("append").parquet(waiting)
+        remove_folder(spark, f"{waiting}/level={n}")
+    remove_folder(spark, steps)
+    return spark.read.schema(shape).parquet(*[f"{done}/level={n}" for n in range(1, peeled.rounds + 1)]) if peeled.rounds else first.drop("level").limit(0)
+
+
+def _doubled(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """``reach`` in rounds that compose what is known with itself: a node reaches what the lowest node it reaches on a chain does.
+
+    Paths over twice as many chains are covered by each round; one that lowers nothing is the last.
+    """
     at = places.select(F.col("node").alias("parent"), "chain", "position")
     reach = pairs.join(at, "parent").groupBy(F.col("child").alias("node"), "chain").agg(F.min("position").alias("lowest"))
     size = None
@@ -89,7 +136,7 @@ def reachability_index(edges: DataFrame) -> ReachabilityIndex:
     own = reach.join(places, ["node", "chain"]).filter("lowest <= position")
     if any_row(own):  # a node above itself
         raise IngestError("the hierarchy has a cycle")
-    return ReachabilityIndex(places, reach)
+    return reach
 
 
 def _filled(reach: DataFrame, places: DataFrame) -> DataFrame:

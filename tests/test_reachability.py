@@ -60,3 +60,16 @@ def test_cycles_and_empty_hierarchies(spark):
             Y.reachability_index(spark.createDataFrame(edges, "child LONG, parent LONG"))
     empty = Y.reachability_index(spark.createDataFrame([], "child LONG, parent LONG"))
     assert empty.reach.isEmpty() and empty.ancestor_counts().isEmpty()
+
+
+def test_levels_hand_on_what_doubling_finds(spark, monkeypatch):
+    """Both ways give the same index; level by level, no table is composed with itself."""
+    edges = dag(random.Random(8), 20, 2)
+    df = spark.createDataFrame(edges, "child LONG, parent LONG").repartition(3)
+    doubled = Y._doubled(df.distinct(), Y.chains(df.distinct()))
+    monkeypatch.setattr(Y, "_filled", None)
+    levels = Y.reachability_index(df).reach
+    assert sorted(map(tuple, levels.collect())) == sorted(map(tuple, doubled.select("node", "chain", "lowest").collect()))
+    monkeypatch.setattr(Y, "SHALLOW", 0)
+    with pytest.raises(TypeError):
+        Y.reachability_index(df)
