@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.operators.stats import distribution
-from kgspark.session import any_row, ensure_checkpoint_dir, write_shared
+from kgspark.session import any_row, ensure_checkpoint_dir, small_tasks, write_shared
 
 
 def _held(members: DataFrame, is_set: bool) -> DataFrame:
@@ -131,7 +131,8 @@ def containment(edges: DataFrame, members: DataFrame, is_set: bool = False) -> D
 
 def containment_summary(contained: DataFrame, digits: int = 4) -> DataFrame:
     """Pairs compared, fully contained, their share, and the spread of the shares."""
-    contained = write_shared(contained.select("child_genes", "common", "fraction"))
+    with small_tasks(contained.sparkSession):
+        contained = write_shared(contained.select("child_genes", "common", "fraction"))
     spread = distribution(contained, "fraction", digits=digits).select(
         F.col("n").alias("pairs_compared"), "mean", "min", "p25", "median", "p75", "p95", "max",
         F.lit(0).alias("_k"),

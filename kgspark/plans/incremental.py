@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kgspark.operators import sets as S
 from kgspark.operators.digests import table_difference
 from kgspark.plans.release import Release
-from kgspark.session import write_shared
+from kgspark.session import small_tasks, write_shared
 
 FACT = ("gene", "pathway", "code", "accession")
 #: Hash seeds of the fingerprints kept.
@@ -33,7 +33,8 @@ class Measures:
     evidence: DataFrame
 
     def stored(self) -> Measures:
-        return Measures(*[write_shared(df) for df in (self.sizes, self.degrees, self.common, self.evidence)])
+        with small_tasks(self.sizes.sparkSession):
+            return Measures(*[write_shared(df) for df in (self.sizes, self.degrees, self.common, self.evidence)])
 
     def contained(self, hierarchy: DataFrame) -> DataFrame:
         """:func:`kgspark.operators.sets.containment` of a hierarchy."""
@@ -116,6 +117,11 @@ def advance(measures: Measures, old: Release, new: Release) -> Measures:
     Facts that came and went are found by digests; their tables and ``participation`` must be stored, as both are read
     more than once.
     """
+    with small_tasks(old.facts.sparkSession, old.facts.count() + new.facts.count()):
+        return _advanced(measures, old, new)
+
+
+def _advanced(measures: Measures, old: Release, new: Release) -> Measures:
     changes = write_shared(signed_facts(old.facts, new.facts))
     edges = write_shared(signed_edges(old.facts, changes))
     before, after = (r.hierarchy.select("child", "parent").distinct() for r in (old, new))

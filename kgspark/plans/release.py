@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from kgspark.operators.quads import GraphVocabulary, to_quads
 from kgspark.operators.resolve import participation_edges
-from kgspark.session import write_shared
+from kgspark.session import small_tasks, write_shared
 
 
 TABLES = ("node", "hierarchy", "gene", "facts", "participation", "crosswalk")
@@ -34,9 +34,14 @@ class Release:
         the same rows and reports that read them often do not resolve again.
         ``edges`` writes them too.
         """
-        facts = write_shared(self.facts)
+        spark = self.facts.sparkSession
+        with small_tasks(spark):
+            facts = write_shared(self.facts)
         participation = participation_edges(facts)
-        return replace(self, facts=facts, participation=write_shared(participation) if edges else participation)
+        if edges:
+            with small_tasks(spark, facts.count()):
+                participation = write_shared(participation)
+        return replace(self, facts=facts, participation=participation)
 
     def quads(self, graph: str, source: str, vocabulary: GraphVocabulary = GraphVocabulary()) -> DataFrame:
         """All statements of the release with their ``part``."""

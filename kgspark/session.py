@@ -15,6 +15,12 @@ from kgspark.errors import IngestError
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Sizes of tasks over tables of keys: a megabyte of these holds a hundred thousand rows, and a row in a sort or a hash map takes
+#: ten times what it takes in a file.
+SMALL_TASKS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m", "spark.sql.files.maxPartitionBytes": "16m"}
+PARTITIONS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Rows of a table that one task is to hold, where their number is known.
+ROWS_A_TASK = 500_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -75,18 +81,42 @@ def write_shared(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, rows: int = 0) -> Iterator[None]:
+    """Within it, tasks of a query are dealt for tables of keys, which are small in files and large in memory.
+
+    Spark puts partitions together up to a size in bytes as shuffled, so the memory of a task would grow with the table
+    until 64 compressed MB are reached. ``rows`` of the largest table, if known, give the number of partitions to begin
+    with, so that a task's share does not grow with the table under any setting of the session.
+    """
+    wanted = dict(SMALL_TASKS)
+    parts = rows // ROWS_A_TASK + 1
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        wanted[PARTITIONS_SETTING] = str(parts)
+    with _settings(spark, wanted):
+        yield
+
+
 @contextmanager
 def brief_shuffles(spark: SparkSession) -> Iterator[None]:
     """Within it, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage.
 
     For jobs of many stored steps, whose shuffles would otherwise lie on the disks together.
     """
-    before = spark.conf.get(CLEANUP_SETTING, None)
-    spark.conf.set(CLEANUP_SETTING, "true")
-    try:
+    with _settings(spark, {CLEANUP_SETTING: "true"}):
         yield
-    finally:
-        spark.conf.unset(CLEANUP_SETTING) if before is None else spark.conf.set(CLEANUP_SETTING, before)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:

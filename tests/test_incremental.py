@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from kgspark import session
 from kgspark.operators.resolve import participation_edges
 from kgspark.plans import incremental as V
 from kgspark.plans.describe import characteristics
@@ -71,3 +72,20 @@ def test_edges_count_by_their_last_fact(spark, two):
     before, after = ({tuple(r) for r in x.participation.select("gene", "pathway").collect()} for x in (old, new))
     expected = {(*e, 1) for e in after - before} | {(*e, -1) for e in before - after}
     assert {tuple(r) for r in signed.collect()} == expected
+
+
+def test_tasks_hold_a_share_of_the_rows(spark, two, monkeypatch):
+    """Every table of the step is dealt by rows, and the session's own settings are back afterwards."""
+    old, new = two
+    names = [*session.SMALL_TASKS, session.PARTITIONS_SETTING]
+    before, seen = [spark.conf.get(n, None) for n in names], []
+    write = V.write_shared
+    monkeypatch.setattr(session, "ROWS_A_TASK", 10)
+    monkeypatch.setattr(V, "write_shared", lambda df: seen.append([spark.conf.get(n) for n in names]) or write(df))
+    measures = V.measure(old).stored()
+    del seen[:]
+    V.advance(measures, old, new)
+    parts = (old.facts.count() + new.facts.count()) // 10 + 1
+    assert parts > 4 and len(seen) == 6
+    assert all(s[:2] == ["8m", "16m"] for s in seen) and seen[0][2] == str(parts) == seen[1][2]
+    assert [spark.conf.get(n, None) for n in names] == before

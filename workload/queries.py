@@ -706,8 +706,8 @@ def advanced_measures(t: Tables) -> DataFrame:
 
 @query
 def advanced_containment(t: Tables) -> DataFrame:
-    old = t.release.stored()
-    new = t.next_release
+    t = t.kept(edges=True)
+    old, new = t.release, t.next_release
     return S.containment_summary(V.advance(V.measure(old).stored(), old, new).contained(new.hierarchy))
 
 

@@ -114,9 +114,10 @@ class Tables:
     @cached_property
     def next_release(self) -> Release:
         """The release after: facts of wealthy suppliers belong to the next gene, parts of size 5 have no second parent."""
-        wealthy = self.supplier.filter("s_acctbal > 8000").selectExpr("s_suppkey AS gene")
-        moved = self.facts.join(wealthy, "gene", "left_semi").selectExpr("gene + 1 AS gene", "pathway", "code", "accession")
-        facts = self.facts.join(wealthy, "gene", "left_anti").unionByName(moved).distinct()
+        wealthy = self.supplier.filter("s_acctbal > 8000").selectExpr("s_suppkey AS gene", "1 AS step").distinct()
+        facts = self.facts.join(wealthy, "gene", "left").selectExpr(
+            "gene + coalesce(step, 0) AS gene", "pathway", "code", "accession"
+        ).distinct()
         smaller = self.part.filter("p_size = 5").selectExpr("p_partkey AS child", "p_partkey div 3 AS parent")
         hierarchy = self.hierarchy.join(smaller, ["child", "parent"], "left_anti").unionByName(
             self.part.filter("p_size = 50").selectExpr("p_partkey AS child", "p_partkey div 2 AS parent")
