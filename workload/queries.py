@@ -693,7 +693,8 @@ def table_difference(t: Tables) -> DataFrame:
 @query
 def advanced_measures(t: Tables) -> DataFrame:
     """Measures of the next release, moved there by the difference of facts."""
-    old = t.release.stored()
+    t = t.kept(edges=True)
+    old = t.release
     moved = V.advance(V.measure(old).stored(), old, t.next_release)
     rows = lambda df, name, item, value: df.selectExpr(f"'{name}' AS measure", f"{item} AS item", f"{value} AS value")
     return (
