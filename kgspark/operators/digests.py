@@ -8,20 +8,20 @@ the row hash is not a cryptographic one, so tables made to deceive it are not wh
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.operators.diff import release_diff
-from kgspark.session import write_shared
+from kgspark.session import small_tasks, write_shared
 
 #: Bits of the key hash that name a bucket, level by level. The last level has a million buckets at most: their names
 #: stay below Spark's own limit for broadcasts, so that choosing rows by them shuffles no row.
 LEVELS = (10, 20)
 #: Rows below which no further level is worth its pass.
 ENOUGH = 100_000
+#: Members of both sides that a share of a set must hold on average for digests of shares to be fewer than the members.
+MEMBERS_A_SHARE = 8
 
 
 def _hash(columns: Sequence[Column], seed: int) -> Column:
@@ -29,14 +29,6 @@ def _hash(columns: Sequence[Column], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[x for c in columns for x in (c, c.isNull())])
 
 
-def _digest(columns: Sequence[Column]) -> list[Column]:
-    more = _hash(columns, 2)
-    return [
-        F.count(F.lit(1)).alias("n"), F.bit_xor(_hash(columns, 1)).alias("x"),
-        F.sum(more.bitwiseAND(F.lit(0xFFFFFFFF))).alias("lo"), F.sum(F.shiftrightunsigned(more, 32)).alias("hi"),
-    ]
-
-
 def distinct_count(df: DataFrame) -> DataFrame:
     """Number of distinct rows, ``rows``: 128 bits of each are shuffled, however long it is.
 
@@ -51,13 +43,25 @@ def _bucket(columns: Sequence[Column], bits: int) -> Column:
     return F.shiftrightunsigned(_hash(columns, 3), 64 - bits)
 
 
-def _compared(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Digests of both sides next to each other: ``by``, n, n_right, same."""
-    parts = ("n", "x", "lo", "hi")
-    other = right.select(*[F.col(c).alias(f"{c}_right") for c in (*by, *parts)])
-    equal = lambda names: reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_right")) for c in names])
-    joined = left.join(other, equal(by), "full_outer")
-    return joined.select(*[F.coalesce(c, f"{c}_right").alias(c) for c in by], "n", "n_right", equal(parts).alias("same"))
+def _compared(left: DataFrame, right: DataFrame, by: dict[str, Column], columns: Sequence[Column]) -> DataFrame:
+    """Rows of both sides per group ``by`` and whether their digests are equal: ``by``, n, n_right, same.
+
+    The digests of both sides are one: rows of the right count against those of the left, so equal sides leave nothing.
+    That is one exchange, and no join of digests.
+    """
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        more = _hash(columns, 2)
+        return df.select(
+            *[c.alias(name) for name, c in by.items()], F.lit(sign).alias("sign"), _hash(columns, 1).alias("x"),
+            (more.bitwiseAND(F.lit(0xFFFFFFFF)) * sign).alias("lo"), (F.shiftrightunsigned(more, 32) * sign).alias("hi"),
+        )
+
+    found = side(left, 1).unionByName(side(right, -1)).groupBy(*by).agg(
+        F.count_if(F.col("sign") > 0).alias("n"), F.count_if(F.col("sign") < 0).alias("n_right"),
+        F.bit_xor("x").alias("x"), F.sum("lo").alias("lo"), F.sum("hi").alias("hi"),
+    )
+    same = (F.col("n") == F.col("n_right")) & (F.col("x") == 0) & (F.col("lo") == 0) & (F.col("hi") == 0)
+    return found.select(*by, "n", "n_right", same.alias("same"))
 
 
 def differing_rows(
@@ -75,10 +79,8 @@ def differing_rows(
     chosen = sides
     for bits in levels:
         bucket = _bucket([F.col(c) for c in key], bits)
-        found = [df.groupBy(bucket.alias("bucket")).agg(*_digest([F.col(c) for c in columns])) for df in chosen]
-        differing = write_shared(_compared(*found, ["bucket"]).filter(~F.col("same")).select(
-            "bucket", (F.coalesce("n", F.lit(0)) + F.coalesce("n_right", F.lit(0))).alias("rows")
-        ))
+        found = _compared(*chosen, {"bucket": bucket}, [F.col(c) for c in columns])
+        differing = write_shared(found.filter(~F.col("same")).select("bucket", (F.col("n") + F.col("n_right")).alias("rows")))
         left_over = differing.agg(F.sum("rows")).first()[0]
         if left_over is None:
             return sides[0].limit(0), sides[1].limit(0)
@@ -111,23 +113,31 @@ def table_difference(left: DataFrame, right: DataFrame, key: Sequence[str] | Non
 def reconcile_sets_by_digest(ours: DataFrame, theirs: DataFrame, is_set: bool = False, bits: int = 10) -> DataFrame:
     """:func:`kgspark.operators.sets.reconcile_sets` of sets that are mostly the same.
 
-    Sizes and digests per key, then per key and share of the members for keys that differ, then the members of the shares
-    that differ: a set of any size that lost one member costs a share of it. ``is_set`` promises that both sides hold each
-    membership once; without it they are made distinct first, which shuffles them.
+    Sizes and digests per key, then the members of small sets that differ. Large ones are compared per share of their
+    members before, and only the members of the shares that differ are: a set of any size that lost one member costs a
+    share of it, and a small one no digests of shares that hold a member each. ``is_set`` promises that both sides hold
+    each membership once; without it they are made distinct first, which shuffles them. Both sides are read several
+    times, so they should be stored.
     """
     sides = [df.select("key", "member") if is_set else df.select("key", "member").distinct() for df in (ours, theirs)]
     member = [F.col("member")]
-    by_key = write_shared(_compared(*[df.groupBy("key").agg(*_digest(member)) for df in sides], ["key"]))
-    unlike = by_key.filter(~F.col("same")).select("key")
-    parts = [df.join(unlike, "key", "left_semi").withColumn("share", _bucket(member, bits)) for df in sides]
+    with small_tasks(ours.sparkSession):
+        by_key = write_shared(_compared(*sides, {"key": F.col("key")}, member))
+    large = F.col("n") + F.col("n_right") > F.lit(MEMBERS_A_SHARE << bits)
+    unlike = by_key.filter(~F.col("same")).select("key", large.alias("large"))
+    parts = [df.join(unlike.filter("large").select("key"), "key", "left_semi").withColumn("share", _bucket(member, bits)) for df in sides]
     shares = write_shared(
-        _compared(*[df.groupBy("key", "share").agg(*_digest(member)) for df in parts], ["key", "share"]).filter(~F.col("same")).select("key", "share")
+        _compared(*parts, {"key": F.col("key"), "share": F.col("share")}, member).filter(~F.col("same")).select("key", "share")
     )
-    marked = [
-        df.join(shares, ["key", "share"], "left_semi").select("key", "member", F.lit(mine).alias("mine"), F.lit(1 - mine).alias("other"))
-        for df, mine in zip(parts, (1, 0))
-    ]
-    per_member = marked[0].unionByName(marked[1]).groupBy("key", "member").agg(F.max("mine").alias("mine"), F.max("other").alias("other"))
+    small = unlike.filter(~F.col("large")).select("key")
+
+    def marked(of: int, mine: int) -> DataFrame:
+        found = sides[of].join(small, "key", "left_semi").unionByName(
+            parts[of].join(shares, ["key", "share"], "left_semi").select("key", "member")
+        )
+        return found.select("key", "member", F.lit(mine).alias("mine"), F.lit(1 - mine).alias("other"))
+
+    per_member = marked(0, 1).unionByName(marked(1, 0)).groupBy("key", "member").agg(F.max("mine").alias("mine"), F.max("other").alias("other"))
     changed = per_member.groupBy("key").agg(F.count_if(F.col("mine") == 0).alias("missing"), F.count_if(F.col("other") == 0).alias("extra"))
     none = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     return by_key.select("key", none(F.col("n")).alias("ours"), none(F.col("n_right")).alias("theirs"), "same").join(changed, "key", "left").select(

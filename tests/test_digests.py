@@ -103,3 +103,13 @@ def test_one_member_of_a_hot_set_costs_a_share_of_it(spark, tmp_path):
     found = []
     spent = exchanged(spark, lambda: found.extend(G.reconcile_sets_by_digest(a, a.filter("member <> 5"), True).collect()))
     assert [tuple(r) for r in found] == [("hot", 200_000, 199_999, 0, 1, False)] and spent < 50_000
+
+
+def test_small_sets_cost_their_members_once(spark, tmp_path):
+    """Every set lost a member: shares of so few members are not digested, and digests of keys are moved once."""
+    spark.range(40_000).selectExpr("id div 20 AS key", "id AS member").write.parquet(str(tmp_path / "a"))
+    a = spark.read.parquet(str(tmp_path / "a"))
+    b = a.filter("member % 20 <> 7")
+    found = []
+    spent = exchanged(spark, lambda: found.extend(G.reconcile_sets_by_digest(a, b, True).collect()))
+    assert sorted(map(tuple, found)) == [(k, 20, 19, 0, 1, False) for k in range(2000)] and spent < 110_000

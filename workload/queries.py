@@ -417,7 +417,7 @@ def reconcile_sets(t: Tables) -> DataFrame:
 @query
 def reconcile_by_digest(t: Tables) -> DataFrame:
     t = t.kept(edges=True)
-    ours, theirs = (df.selectExpr("pathway AS key", "gene AS member") for df in (t.edges, t.damaged))
+    ours, theirs = (df.selectExpr("pathway AS key", "gene AS member") for df in (t.edges, write_shared(t.damaged)))
     return G.reconcile_sets_by_digest(ours, theirs, is_set=True)
 
 
