@@ -28,7 +28,7 @@ def blank_to_null(col: Column) -> Column:
 
 def base_accession(col: Column) -> Column:
     """The accession before its first ``-``; the suffix names an isoform."""
-    return F.split_part(col, F.lit("-"), F.lit(1))
+    return F.substring_index(col, "-", 1)
 
 
 def is_isoform(col: Column) -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from kgspark.session import literal_table, observed
 
 PARTS = ("pathways", "associations", "participation", "crosswalk")
 QUAD_COLUMNS = ("graph", "s", "p", "o", "o_kind", "o_datatype")
+Mint = Callable[[str, Column], Column]
 
 
 @dataclass(frozen=True)
@@ -69,28 +72,46 @@ def _state(df: DataFrame, subject: Column, statements: Sequence[Column]) -> Data
     return df.withColumn("s", subject).select("s", F.inline(F.array(*statements))).filter(F.col("o").isNotNull())
 
 
+def _unminted(prefix: str, col: Column) -> Column:
+    """In place of :func:`plain_curie` where only counts matter: there when the id is there."""
+    return F.when(col.isNotNull(), F.lit(""))
+
+
+def _tally(df: DataFrame, statements: Sequence[Column]) -> DataFrame:
+    """Number of rows of :func:`_state`, ``n``: objects that are there, without a row for each."""
+    return df.agg(reduce(add, [F.count(statement.getField("o")) for statement in statements]).alias("n"))
+
+
+def _of_node(v: GraphVocabulary) -> list[Column]:
+    return [_iri(v.type, v.node_class), _text(v.label, F.col("label")), _iri(v.in_taxon, F.col("taxon"))]
+
+
 def node_quads(node: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
     """Class, label and taxon of each node ``id, label, taxon``."""
-    return _state(node, plain_curie(v.node_prefix, F.col("id")), [
-        _iri(v.type, v.node_class), _text(v.label, F.col("label")), _iri(v.in_taxon, F.col("taxon")),
-    ])
+    return _state(node, plain_curie(v.node_prefix, F.col("id")), _of_node(v))
+
+
+def _of_hierarchy(v: GraphVocabulary, mint: Mint = plain_curie) -> list[Column]:
+    return [_iri(v.part_of, mint(v.node_prefix, F.col("parent")))]
 
 
 def hierarchy_quads(hierarchy: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
     """One statement per distinct ``child, parent``."""
     pairs = hierarchy.select("child", "parent").distinct()
-    return _state(pairs, plain_curie(v.node_prefix, F.col("child")), [
-        _iri(v.part_of, plain_curie(v.node_prefix, F.col("parent"))),
-    ])
+    return _state(pairs, plain_curie(v.node_prefix, F.col("child")), _of_hierarchy(v))
 
 
-def gene_quads(gene: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
-    """Class, taxon and, unless empty, symbol of each gene ``id, symbol, taxon``."""
-    return _state(gene, plain_curie(v.gene_prefix, F.col("id")), [
+def _of_gene(v: GraphVocabulary) -> list[Column]:
+    return [
         _iri(v.type, v.gene_class),
         _text(v.label, F.nullif(F.col("symbol"), F.lit(""))),
         _iri(v.in_taxon, F.col("taxon")),
-    ])
+    ]
+
+
+def gene_quads(gene: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
+    """Class, taxon and, unless empty, symbol of each gene ``id, symbol, taxon``."""
+    return _state(gene, plain_curie(v.gene_prefix, F.col("id")), _of_gene(v))
 
 
 def association_subject() -> Column:
@@ -99,32 +120,40 @@ def association_subject() -> Column:
     return F.concat(F.lit("_:"), F.sha2(fields, 256))
 
 
-def association_quads(facts: DataFrame, source: str, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
-    """Seven statements per fact ``gene, pathway, code, accession``."""
-    return _state(facts, association_subject(), [
+def _of_association(source: str, v: GraphVocabulary, mint: Mint = plain_curie) -> list[Column]:
+    return [
         _iri(v.type, v.association_class),
-        _iri(v.subject, plain_curie(v.gene_prefix, F.col("gene"))),
-        _iri(v.object, plain_curie(v.node_prefix, F.col("pathway"))),
+        _iri(v.subject, mint(v.gene_prefix, F.col("gene"))),
+        _iri(v.object, mint(v.node_prefix, F.col("pathway"))),
         _iri(v.predicate, v.stated_predicate),
         _iri(v.has_evidence, F.col("code")),
         _iri(v.source_slot, source),
-        _text(v.original_subject, plain_curie(v.accession_prefix, F.col("accession"))),
-    ])
+        _text(v.original_subject, mint(v.accession_prefix, F.col("accession"))),
+    ]
+
+
+def association_quads(facts: DataFrame, source: str, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
+    """Seven statements per fact ``gene, pathway, code, accession``."""
+    return _state(facts, association_subject(), _of_association(source, v))
+
+
+def _of_edge(v: GraphVocabulary, mint: Mint = plain_curie) -> list[Column]:
+    return [_iri(v.participates_in, mint(v.node_prefix, F.col("pathway")))]
 
 
 def participation_quads(edges: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
     """One statement per ``gene, pathway`` edge."""
-    return _state(edges, plain_curie(v.gene_prefix, F.col("gene")), [
-        _iri(v.participates_in, plain_curie(v.node_prefix, F.col("pathway"))),
-    ])
+    return _state(edges, plain_curie(v.gene_prefix, F.col("gene")), _of_edge(v))
+
+
+def _of_crosswalk(v: GraphVocabulary, mint: Mint = plain_curie) -> list[Column]:
+    return [_iri(v.close_match, mint(v.term_prefix, F.col("term")))]
 
 
 def crosswalk_quads(crosswalk: DataFrame, v: GraphVocabulary = GraphVocabulary()) -> DataFrame:
     """One statement per distinct ``pathway, term``."""
     pairs = crosswalk.select("pathway", "term").distinct()
-    return _state(pairs, plain_curie(v.node_prefix, F.col("pathway")), [
-        _iri(v.close_match, plain_curie(v.term_prefix, F.col("term"))),
-    ])
+    return _state(pairs, plain_curie(v.node_prefix, F.col("pathway")), _of_crosswalk(v))
 
 
 def to_quads(
@@ -152,6 +181,24 @@ def statements_per_part(emitted: DataFrame) -> DataFrame:
     return emitted.groupBy("part").agg(F.count(F.lit(1)).alias("statements"))
 
 
+def count_statements(
+    node: DataFrame, hierarchy: DataFrame, gene: DataFrame, association: DataFrame,
+    participation: DataFrame, crosswalk: DataFrame, source: str, v: GraphVocabulary = GraphVocabulary(),
+) -> DataFrame:
+    """:func:`statements_per_part` of :func:`to_quads`, counted on the tables: no statement is made."""
+    tables = (
+        ("pathways", node, _of_node(v)),
+        ("pathways", hierarchy.select("child", "parent").distinct(), _of_hierarchy(v, _unminted)),
+        ("associations", gene, _of_gene(v)),
+        ("associations", association, _of_association(source, v, _unminted)),
+        ("participation", participation, _of_edge(v, _unminted)),
+        ("crosswalk", crosswalk.select("pathway", "term").distinct(), _of_crosswalk(v, _unminted)),
+    )
+    counted = [_tally(df, made).select(F.lit(part).alias("part"), "n") for part, df, made in tables]
+    summed = reduce(DataFrame.unionByName, counted).groupBy("part").agg(F.sum("n").alias("statements"))
+    return summed.filter("statements > 0")
+
+
 def part_counts(emitted: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
     """``emitted`` under observation, and a call for :func:`statements_per_part` of it.
 

@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.operators.stats import distribution
-from kgspark.session import any_row, ensure_checkpoint_dir, small_tasks, write_shared
+from kgspark.session import ROWS_A_TASK, any_row, ensure_checkpoint_dir, gathering, materialise, small_tasks, write_shared
+
+#: Rows of a counted table up to which it may be broadcast.
+FEW_ROWS = 100_000
+#: Hash seeds of the fingerprints that packs carry.
+PACK_SEEDS = 2
 
 
 def _held(members: DataFrame, is_set: bool) -> DataFrame:
@@ -129,6 +134,46 @@ def containment(edges: DataFrame, members: DataFrame, is_set: bool = False) -> D
     return counted.withColumn("fraction", F.col("common").cast("double") / F.col("child_genes"))
 
 
+def packs(members: DataFrame, most: int, is_set: bool = False) -> DataFrame:
+    """Members of each set as arrays: ``pathway, share, genes, f0, f1, members``; one exchange, stored.
+
+    ``most`` is a bound of the members of a set, such as the number of distinct genes. A set is cut into shares by the
+    hash of the gene, so that an array and the rows of its task are bounded however large a set is. ``genes`` and the
+    fingerprints are those of the share.
+    """
+    share = F.pmod(F.xxhash64("gene"), F.lit(most // ROWS_A_TASK + 1)).cast("int").alias("share")
+    dealt = _held(members, is_set).select("pathway", share, "gene").repartition("pathway", "share")
+    prints = [F.bit_xor(member_hash(seed)).alias(f"f{seed}") for seed in range(PACK_SEEDS)]
+    packed = dealt.groupBy("pathway", "share").agg(
+        F.count(F.lit(1)).alias("genes"), *prints, F.collect_list("gene").alias("members")
+    )
+    spark = members.sparkSession
+    with small_tasks(spark, members.count()), gathering(spark):
+        return write_shared(packed)
+
+
+def packed_fingerprints(packed: DataFrame) -> DataFrame:
+    """:func:`fingerprints` from :func:`packs`."""
+    prints = [F.bit_xor(f"f{seed}").alias(f"f{seed}") for seed in range(PACK_SEEDS)]
+    return packed.groupBy("pathway").agg(F.sum("genes").alias("genes"), *prints)
+
+
+def packed_containment(edges: DataFrame, packed: DataFrame) -> DataFrame:
+    """:func:`containment` from stored :func:`packs`: one row per edge and share is joined instead of one per member."""
+    side = lambda name: packed.select(F.col("pathway").alias(name), "share", F.col("members").alias(f"{name}_members"))
+    child = packed.select(F.col("pathway").alias("child"), "share", "genes", F.col("members").alias("child_members"))
+    pairs = edges.select("child", "parent").distinct().join(
+        packed.select(F.col("pathway").alias("parent")).distinct().hint("merge"), "parent", "left_semi"
+    )
+    common = F.array_size(F.array_intersect("child_members", "parent_members"))
+    counted = (
+        pairs.join(child.hint("merge"), "child").join(side("parent").hint("merge"), ["parent", "share"], "left")
+        .select("child", "parent", "genes", F.coalesce(common, F.lit(0)).cast("bigint").alias("common"))
+        .groupBy("child", "parent").agg(F.sum("genes").alias("child_genes"), F.sum("common").alias("common"))
+    )
+    return counted.withColumn("fraction", F.col("common").cast("double") / F.col("child_genes"))
+
+
 def containment_summary(contained: DataFrame, digits: int = 4) -> DataFrame:
     """Pairs compared, fully contained, their share, and the spread of the shares."""
     with small_tasks(contained.sparkSession):
@@ -161,15 +206,17 @@ def fingerprints(held: DataFrame, seeds: int) -> DataFrame:
     return _fingerprints(held, seeds)[0]
 
 
-def identical_members(members: DataFrame, is_set: bool = False, prints: DataFrame | None = None) -> DataFrame:
-    """``pathway, group_id, genes, sets`` for every set that equals another one.
+def identical_members(
+    members: DataFrame, is_set: bool = False, prints: DataFrame | None = None, packed: DataFrame | None = None
+) -> DataFrame:
+    """``pathway, group_id, genes, sets`` for every set that equals another one; stored.
 
     ``group_id`` is the smallest set of its group. Sets are grouped by size and
     xor fingerprints, which combine on the map side. The grouping is then proved
     on the members themselves: in a true group every member occurs once per set.
     Should a fingerprint ever collide, more hash seeds split the group until the
     proof holds; equal sets are never split. ``prints`` are :func:`fingerprints`
-    kept from before.
+    kept from before, ``packed`` the stored :func:`packs` of the members.
     """
     ensure_checkpoint_dir(members.sparkSession)
     held = _held(members, True) if is_set else write_shared(_held(members, False))
@@ -183,10 +230,17 @@ def identical_members(members: DataFrame, is_set: bool = False, prints: DataFram
         groups = prints.groupBy(*names).agg(
             F.count(F.lit(1)).alias("sets"), F.min("pathway").alias("group_id")
         ).filter(F.col("sets") > 1)
-        grouped = prints.join(groups, names).select("pathway", "group_id", "genes", "sets")
-        seen = held.join(grouped, "pathway").groupBy("group_id", "gene").agg(
-            F.count(F.lit(1)).alias("seen"), F.max("sets").alias("sets")
-        )
+        grouped, n = materialise(prints.join(groups, names).select("pathway", "group_id", "genes", "sets"))
+        if not n:
+            return grouped
+        chosen = grouped.select("pathway", "group_id", "sets").hint("broadcast" if n <= FEW_ROWS else "merge")
+        if packed is None:
+            found = held.join(chosen, "pathway")
+        else:
+            found = packed.select("pathway", "members").join(chosen, "pathway").select(
+                "group_id", "sets", F.explode("members").alias("gene")
+            )
+        seen = found.groupBy("group_id", "gene").agg(F.count(F.lit(1)).alias("seen"), F.max("sets").alias("sets"))
         if not any_row(seen.filter(F.col("seen") != F.col("sets"))):
             return grouped
         prints, seeds = None, seeds + 2

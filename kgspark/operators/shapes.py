@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Seeds and bits of the hashes in digests of pairs: sums of 30 bits hold for 2^33 associations.
+DIGESTS, BITS = 4, 30
+SUPPORT = "associations"
+
+
+def supported_edges(associations: DataFrame) -> DataFrame:
+    """Distinct edges ``gene, pathway`` with the number of their ``associations``."""
+    return associations.groupBy("gene", "pathway").agg(F.count(F.lit(1)).alias(SUPPORT))
+
+
+def _pair_digest(rows: DataFrame, weight: Column) -> list[int | None]:
+    """Rows, sum and least of their weights, and weighted sums of pair hashes; nothing is shuffled but one row per task."""
+    pair = [x for c in ("gene", "pathway") for x in (F.col(c), F.col(c).isNull())]
+    marks = [F.xxhash64(F.lit(seed), *pair).bitwiseAND(F.lit((1 << BITS) - 1)) for seed in range(DIGESTS)]
+    found = rows.agg(F.count(F.lit(1)), F.min(weight), F.sum(weight), *[F.sum(weight * mark) for mark in marks]).first()
+    return list(found)
+
+
 def pair_counts(associations: DataFrame, edges: DataFrame) -> DataFrame:
     """Per pair: number of associations and of edges.
 
@@ -29,7 +47,22 @@ def reconcile_shapes(associations: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def shape_agreement(associations: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: distinct edges, distinct pairs, equal or not, associations per edge."""
+    """One row: distinct edges, distinct pairs, equal or not, associations per edge.
+
+    Edges of :func:`supported_edges` say how many associations they stand for. If the pairs of the associations, repeats
+    included, have the digest of the edges so often, they are the same pairs and the number of edges is all there is to
+    count; two different tables pass with a probability of about 2^-120. All else is grouped by pair.
+    """
+    if SUPPORT in edges.columns:
+        _, _, *pairs = _pair_digest(associations, F.lit(1).cast("bigint"))
+        rows, least, *claimed = _pair_digest(edges, F.col(SUPPORT))
+        if rows and least is not None and least > 0 and pairs == claimed:
+            per_edge = F.round(F.lit(pairs[0]) / F.lit(rows), 3)
+            return edges.sparkSession.range(1).select(
+                F.lit(rows).cast("bigint").alias("edges"), F.lit(rows).cast("bigint").alias("association_pairs"),
+                F.lit(pairs[0]).cast("bigint").alias("associations"), F.lit(True).alias("matches"),
+                per_edge.alias("associations_per_edge"),
+            )
     counts = pair_counts(associations, edges).agg(
         F.count_if(F.col("edges") > 0).alias("edges"),
         F.count_if(F.col("associations") > 0).alias("association_pairs"),

@@ -86,16 +86,20 @@ def characteristics(
     depths = keep(H.depth(node, release.hierarchy))
     degree = keep(H.degrees(node, release.hierarchy))
     if measures is None:
-        sizes = keep(S.all_set_sizes(node, members, is_set=True))
         gene_degree = keep(S.degree_of_genes(members, is_set=True))
-        contained = keep(S.containment(release.hierarchy, members, is_set=True))
-        grouped = keep(S.identical_members(members, is_set=True))
+        # No set has more members than there are genes in sets.
+        most = gene_degree.count()
+        packed = S.packs(members, most, is_set=True)
+        prints = keep(S.packed_fingerprints(packed))
+        sizes = keep(S.with_empty_sets(node, prints))
+        contained = keep(S.packed_containment(release.hierarchy, packed))
+        grouped = S.identical_members(members, is_set=True, prints=prints, packed=packed)
         evidence = keep(T.evidence_mix(release.facts, codes))
     else:
         sizes = keep(S.with_empty_sets(node, measures.sizes))
         gene_degree = measures.degrees
         contained = keep(measures.contained(release.hierarchy))
-        grouped = keep(S.identical_members(members, is_set=True, prints=measures.sizes))
+        grouped = S.identical_members(members, is_set=True, prints=measures.sizes)
         evidence = measures.evidence.withColumn("mapped", T.is_mapped(codes))
     terms = keep(release.crosswalk.select("pathway", "term").distinct().groupBy("pathway").agg(count.alias("terms")))
 

@@ -6,8 +6,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
-from kgspark.operators.quads import GraphVocabulary, to_quads
+from kgspark.operators.quads import GraphVocabulary, count_statements, to_quads
 from kgspark.operators.resolve import participation_edges
+from kgspark.operators.shapes import supported_edges
 from kgspark.session import small_tasks, write_shared
 
 
@@ -27,17 +28,17 @@ class Release:
     participation: DataFrame
     crosswalk: DataFrame
 
-    def stored(self, edges: bool = True) -> Release:
+    def stored(self, edges: bool = True, support: bool = False) -> Release:
         """The release with its facts written to the checkpoint folder once.
 
         The plain edges derive from the written facts, so both shapes come from
         the same rows and reports that read them often do not resolve again.
-        ``edges`` writes them too.
+        ``edges`` writes them too, ``support`` with the number of facts behind each.
         """
         spark = self.facts.sparkSession
         with small_tasks(spark):
             facts = write_shared(self.facts)
-        participation = participation_edges(facts)
+        participation = supported_edges(facts) if support else participation_edges(facts)
         if edges:
             with small_tasks(spark, facts.count()):
                 participation = write_shared(participation)
@@ -50,6 +51,12 @@ class Release:
             graph, source, vocabulary,
         )
 
+    def statements_per_part(self, source: str, vocabulary: GraphVocabulary = GraphVocabulary()) -> DataFrame:
+        """Statements of :meth:`quads` per part, counted without making them."""
+        return count_statements(
+            self.node, self.hierarchy, self.gene, self.facts, self.participation, self.crosswalk, source, vocabulary,
+        )
+
     def register(self, prefix: str = "") -> None:
         """Register every table as a temporary view."""
         for name in TABLES:

@@ -21,6 +21,9 @@ SMALL_TASKS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m", "spark.s
 PARTITIONS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 #: Rows of a table that one task is to hold, where their number is known.
 ROWS_A_TASK = 500_000
+GROUPS_SETTING = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+#: Groups of gathered lists that one task may hold before it sorts.
+GROUPS_A_TASK = 100_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -109,6 +112,13 @@ def small_tasks(spark: SparkSession, rows: int = 0) -> Iterator[None]:
         yield
 
 
+@contextmanager
+def gathering(spark: SparkSession) -> Iterator[None]:
+    """Within it, small lists are gathered in memory: Spark would sort after 128 groups in a task."""
+    with _settings(spark, {GROUPS_SETTING: str(GROUPS_A_TASK)}):
+        yield
+
+
 @contextmanager
 def brief_shuffles(spark: SparkSession) -> Iterator[None]:
     """Within it, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage.

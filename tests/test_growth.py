@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kgspark.operators import digests, hierarchy
+from kgspark.operators import digests, hierarchy, quads, sets, shapes
 from kgspark.plans import checks
+from kgspark.plans.release import Release
 from workload.queries import QUERIES
 from workload.tables import Tables
 
@@ -60,3 +61,83 @@ def test_violations_of_parts_come_from_one_grouping(spark):
     parts = {"all": F.lit(True), "low": F.col("pathway") > 1}
     assert dict(hierarchy.closure_violation_counts(members, edges, parts).collect()) == {"all": 1, "low": 2}
     assert sorted(map(tuple, hierarchy.closure_violations(members, edges).collect())) == [(8, 2)]
+
+
+def rows(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+
+
+def test_statements_of_a_release_are_counted_on_its_tables(spark):
+    """Objects that are lost or empty make no statement, repeated pairs make one; a part without any has no row."""
+    release = Release(
+        spark.createDataFrame([(1, "n", "t"), (2, None, "t"), (3, "n", None)], "id LONG, label STRING, taxon STRING"),
+        spark.createDataFrame([(2, 1), (2, 1), (3, 1), (3, None)], "child LONG, parent LONG"),
+        spark.createDataFrame([(7, "", "t"), (8, None, None), (9, "g", "t")], "id LONG, symbol STRING, taxon STRING"),
+        spark.createDataFrame([(7, 1, "A", "P1"), (8, None, None, "P2"), (None, 2, "R", None)], "gene LONG, pathway LONG, code STRING, accession STRING"),
+        spark.createDataFrame([(7, 1), (8, None)], "gene LONG, pathway LONG"),
+        spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "pathway LONG, term STRING"),
+    )
+    emitted = quads.statements_per_part(release.quads("v1", "infores:x"))
+    counted = release.statements_per_part("infores:x")
+    assert rows(counted) == rows(emitted) and counted.schema["statements"].dataType == emitted.schema["statements"].dataType
+    plan = plan_of(counted)
+    assert "Generate" not in plan and "sha2" not in plan and "concat" not in plan
+    none = Release(release.node, release.hierarchy, release.gene, release.facts, release.participation.limit(0), release.crosswalk)
+    assert {r["part"] for r in none.statements_per_part("infores:x").collect()} == {"pathways", "associations", "crosswalk"}
+
+
+def test_overlaps_join_packs_and_not_members(spark, monkeypatch):
+    """Sets in one pack and in several, unequal ones, an empty parent, a child that is no set, a null gene, repeated edges."""
+    held = [(1, g) for g in range(40)] + [(2, g) for g in range(20, 60)] + [(3, 5), (4, 99), (5, None), (5, 5)]
+    members = spark.createDataFrame(held, "pathway LONG, gene LONG")
+    edges = spark.createDataFrame([(2, 1), (1, 2), (3, 1), (3, 1), (4, 1), (5, 3), (3, 8), (8, 1)], "child LONG, parent LONG")
+    for limit in (500_000, 10):
+        monkeypatch.setattr(sets, "ROWS_A_TASK", limit)
+        packed = sets.packs(members, 62, is_set=True)
+        assert packed.agg(F.max(F.size("members"))).first()[0] == (40 if limit > 62 else packed.agg(F.max("genes")).first()[0])
+        assert (packed.filter("pathway = 1").count() == 1) == (limit > 62)
+        found = sets.packed_containment(edges, packed)
+        assert rows(found) == rows(sets.containment(edges, members, is_set=True))
+        assert rows(sets.packed_fingerprints(packed)) == rows(sets.fingerprints(members, 2))
+        assert not any("Exchange" in line and "gene#" in line for line in plan_of(found).split("\n"))
+
+
+def test_equal_sets_are_proved_on_packs(spark, monkeypatch):
+    held = [(p, g) for p in (1, 2, 3) for g in range(30)] + [(4, g) for g in range(29)] + [(5, 7), (6, 7), (7, 8)]
+    members = spark.createDataFrame(held, "pathway LONG, gene LONG")
+    for limit in (500_000, 10):
+        monkeypatch.setattr(sets, "ROWS_A_TASK", limit)
+        packed = sets.packs(members, 30, is_set=True)
+        prints = sets.packed_fingerprints(packed)
+        want = rows(sets.identical_members(members, is_set=True))
+        assert rows(sets.identical_members(members, is_set=True, prints=prints, packed=packed)) == want
+        # Fingerprints that collide do not pass the proof on packs.
+        weak = prints.withColumn("f0", F.lit(0).cast("bigint")).withColumn("f1", F.lit(0).cast("bigint"))
+        assert rows(sets.identical_members(members, is_set=True, prints=weak, packed=packed)) == want
+
+
+def test_shapes_agree_by_digest_and_differ_by_count(spark):
+    facts = spark.createDataFrame(
+        [(1, 1, "A", "x"), (1, 1, "R", "x"), (2, 1, "A", "y"), (None, 1, "A", "z")], "gene LONG, pathway LONG, code STRING, accession STRING"
+    )
+    edges = shapes.supported_edges(facts)
+    agreed = shapes.shape_agreement(facts, edges)
+    assert rows(agreed) == rows(shapes.shape_agreement(facts, edges.select("gene", "pathway")))
+    assert agreed.first()["matches"] and "Exchange" not in plan_of(agreed)
+    extra = spark.createDataFrame([(9, 9, 1)], "gene LONG, pathway LONG, associations LONG")
+    wrong = spark.createDataFrame([(2, 1, 1)], "gene LONG, pathway LONG, associations LONG")
+    doubtful = (
+        edges.unionByName(extra), edges.unionByName(extra.withColumn("associations", F.lit(0).cast("bigint"))), edges.filter("gene = 1"),
+        edges.limit(0), edges.filter("gene = 1").unionByName(wrong), edges.filter("gene = 1").unionByName(extra),
+    )
+    for other in doubtful:
+        exact = shapes.shape_agreement(facts, other.select("gene", "pathway"))
+        assert rows(shapes.shape_agreement(facts, other)) == rows(exact) and not exact.first()["matches"]
+    none = facts.limit(0)
+    assert rows(shapes.shape_agreement(none, shapes.supported_edges(none))) == rows(shapes.shape_agreement(none, none.select("gene", "pathway")))
+
+
+def test_characteristics_make_no_statements_and_group_no_pairs_again(spark):
+    plan = plan_of(QUERIES["characteristics"](Tables(spark, "/root/testdata/sf0.001")))
+    assert "sha2" not in plan and "biolink:primary_knowledge_source" not in plan
+    assert not any("Exchange hashpartitioning(gene#" in line for line in plan.split("\n"))

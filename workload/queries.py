@@ -856,9 +856,10 @@ def acceptance(t: Tables) -> DataFrame:
 
 @query
 def characteristics_report(t: Tables) -> DataFrame:
-    t = t.kept(edges=True)
+    release = t.kept(edges=True, support=True).release
     return characteristics(
-        t.release, codes=["A", "R"], source="infores:source", statements=Q.statements_per_part(t.emitted), band=(15, 22)
+        release, codes=["A", "R"], source="infores:source", statements=release.statements_per_part("infores:source"),
+        band=(15, 22),
     )
 
 

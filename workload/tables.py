@@ -27,9 +27,9 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    def kept(self, edges: bool = False) -> Tables:
-        """The same tables with the facts (and edges) written to the checkpoint folder once."""
-        stored = self.release.stored(edges)
+    def kept(self, edges: bool = False, support: bool = False) -> Tables:
+        """The same tables with the facts (and edges, and their support) written to the checkpoint folder once."""
+        stored = self.release.stored(edges, support)
         other = Tables(self.spark, self.sf_dir)
         other.facts, other.edges = stored.facts, stored.participation
         return other
