@@ -22,6 +22,8 @@ from kgspark.session import folder_exists, materialise, remove_folder, remove_sh
 COMPACT = 4
 # Shares of the pairs of one ancestor, so that one with many pairs is not one task.
 SHARES = 8
+# Layers of leaves that are set aside before levels are peeled, as long as a layer holds at least this share of the edges.
+LAYERS, LAYER_SHARE = 3, 0.25
 # Levels of pairs that go no further, and of those whose ancestor is on or below a cycle.
 DONE, ENDLESS = -1, -2
 
@@ -117,17 +119,50 @@ def depth(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
 
     Nodes on or below a cycle have no longest path and get NULL.
     """
-    peeled = peel(edges)
     base = nodes.select(F.col(id_col).alias("id")).distinct()
-    deepest = peeled.levels(edges).withColumnRenamed("node", "id")
-    level = F.coalesce(F.col("level"), F.lit(0)).cast("bigint")
-    out = base.join(deepest.hint("merge"), "id", "left").withColumn("depth", level)
+    level = _levels(edges).withColumnRenamed("node", "id")
+    found = F.when(F.col("level") == ENDLESS, F.lit(None)).otherwise(F.coalesce(F.col("level"), F.lit(0))).cast("bigint")
+    return base.join(level.hint("merge"), "id", "left").select("id", found.alias("depth"))
+
+
+def _levels(edges: DataFrame) -> DataFrame:
+    """``node, level`` of every child, stored; ``ENDLESS`` on or below a cycle.
+
+    Most edges of a hierarchy lead to leaves, which nothing hangs below: their level follows from their parents' at the
+    end, so they need not take part in every round. Layers of them are set aside first and come back in reverse order.
+    """
+    spark, layers = edges.sparkSession, []
+    inner, n = materialise(edges.select("child", "parent").distinct())
+    while n and len(layers) < LAYERS:
+        parents = inner.select(F.col("parent").alias("child")).distinct().withColumn("above", F.lit(True))
+        folder, shape = shared_folder(spark), inner.schema
+        parted = inner.join(parents.hint("merge"), "child", "left").withColumn("above", F.coalesce("above", F.lit(False)))
+        parted.write.partitionBy("above").parquet(folder)
+        part = lambda above: spark.read.schema(shape).parquet(f"{folder}/above={above}") if folder_exists(
+            spark, f"{folder}/above={above}") else inner.limit(0)
+        leaves, inner = part("false"), part("true")
+        left = inner.count()
+        layers.append(leaves)
+        if n - left < LAYER_SHARE * n:
+            break
+        n = left
+    peeled = peel(inner)
+    level = peeled.levels(inner)
     if peeled.residue is not None:
-        endless = peeled.residue.select(F.col("child").alias("id"), F.lit(True).alias("endless")).distinct()
-        out = out.join(endless.hint("merge"), "id", "left").withColumn(
-            "depth", F.when(F.col("endless"), F.lit(None).cast("bigint")).otherwise(F.col("depth"))
+        endless = peeled.residue.select(F.col("child").alias("node"), F.lit(True).alias("endless")).distinct()
+        level = level.join(endless.hint("merge"), "node", "left").select(
+            "node", F.when(F.col("endless"), F.lit(ENDLESS)).otherwise(F.col("level")).alias("level")
+        )
+    level = write_shared(level)
+    remove_folder(spark, peeled.folder)
+    for leaves in reversed(layers):
+        above = level.select(F.col("node").alias("parent"), "level").hint("merge")
+        deepest = F.max(F.coalesce("level", F.lit(0))) + 1
+        below = leaves.join(above, "parent", "left").groupBy(F.col("child").alias("node")).agg(
+            F.when(F.bool_or(F.coalesce(F.col("level") == ENDLESS, F.lit(False))), F.lit(ENDLESS)).otherwise(deepest).alias("level")
         )
-    return out.select("id", "depth")
+        level = write_shared(level.unionByName(below))
+    return level
 
 
 def ancestors(edges: DataFrame) -> DataFrame:

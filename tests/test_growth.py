@@ -55,6 +55,26 @@ def test_depths_broadcast_no_side(spark):
     assert dict(found.collect()) == {1: 0, 2: 1, 3: 2}
 
 
+def test_leaves_take_no_part_in_rounds(spark, monkeypatch):
+    """A tree, a chain, a cycle with leaves below it and ones that hang below both, an edge without a parent."""
+    tree = [(c, c // 2) for c in range(2, 256)]
+    chain = [(300, 1)] + [(c, c - 1) for c in range(301, 312)]
+    loop = [(401, 402), (402, 401), (403, 402), (404, 403), (405, 404), (405, 311), (406, 7), (406, 401), (500, None), (1, 1000)]
+    edges = spark.createDataFrame(tree + chain + loop + [(2, 1)], "child LONG, parent LONG")
+    nodes = spark.range(520)
+    seen, peel = [], hierarchy.peel
+    monkeypatch.setattr(hierarchy, "peel", lambda e: seen.append(e.count()) or peel(e))
+    found = dict(hierarchy.depth(nodes, edges).collect())
+    depths = {1: 1}
+    for c, p in tree + chain:
+        depths[c] = depths[p] + 1
+    endless = {401, 402, 403, 404, 405, 406}
+    assert found == {n: None if n in endless else 1 if n == 500 else depths.get(n, 0) for n in range(520)}
+    assert seen == [sum(1 for c, _ in tree if c < 32) + 1 + 10 + 2]
+    monkeypatch.setattr(hierarchy, "LAYERS", 0)
+    assert dict(hierarchy.depth(nodes, edges).collect()) == found
+
+
 def test_violations_of_parts_come_from_one_grouping(spark):
     edges = spark.createDataFrame([(2, 1), (3, 2)], "child LONG, parent LONG")
     members = spark.createDataFrame([(7, 3), (7, 2), (7, 1), (8, 3)], "gene LONG, pathway LONG")
