@@ -8,20 +8,27 @@ broadcasts which are not: joins of a loop are sorted and merged.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kgspark.operators.stats import distribution
-from kgspark.session import folder_exists, materialise, remove_folder, remove_shared, shared_folder, write_shared
+from kgspark.session import (
+    ROWS_A_TASK, folder_exists, gathering, materialise, observed, remove_folder, remove_shared, shared_folder, small_tasks,
+    write_shared,
+)
 
 
 # Rounds after which a growing union becomes one stored table.
 COMPACT = 4
 # Shares of the pairs of one ancestor, so that one with many pairs is not one task.
 SHARES = 8
+# Rows of a counted table up to which it may be broadcast.
+FEW_ROWS = 100_000
+# Children up to which the packs of one place are put together as arrays; those of a place with more go by rows.
+FAN = 16
 # Layers of leaves that are set aside before levels are peeled, as long as a layer holds at least this share of the edges.
 LAYERS, LAYER_SHARE = 3, 0.25
 # Levels of pairs that go no further, and of those whose ancestor is on or below a cycle.
@@ -182,23 +189,95 @@ def gene_ancestors(participation: DataFrame, edges: DataFrame, few: bool = False
 
     ``few`` says that the memberships are those of some genes only; it changes nothing any more.
     """
-    pairs = participation.select(F.col("gene").alias("node"), F.col("pathway").alias("ancestor"))
-    return closed_pairs(pairs, edges).withColumnRenamed("node", "gene")
+    return closed_packs(participation, edges).select(F.explode("genes").alias("gene"), F.col("pathway").alias("ancestor"))
+
+
+def closed_packs(participation: DataFrame, edges: DataFrame) -> DataFrame:
+    """Closed memberships as arrays, ``pathway, share, genes``: the genes of a pathway and of all below it; stored.
+
+    Genes climb together (see :func:`_climbed`): a closed table has many memberships for each row of the hierarchy, and a
+    membership costs a few bytes and one look into a hash set at each step, not a row that is moved and sorted. A set is cut
+    into shares by the hash of the gene, and where many children meet their genes do so by rows, so that neither a set
+    nor a place of any size is one array.
+    """
+    spark = participation.sparkSession
+    with small_tasks(spark), gathering(spark):
+        seen = Observation()
+        genes = F.approx_count_distinct("gene").alias("genes")
+        pairs = write_shared(participation.select("gene", "pathway").observe(seen, genes))
+        most = observed(seen, "genes")
+        shares = int(pairs.select(genes).first()[0] if most is None else most) // ROWS_A_TASK + 1
+        rows = pairs.select(F.col("gene").alias("node"), F.col("pathway").alias("ancestor"))
+        wide, hubs = materialise(_fans(edges).filter("wide").select(F.col("parent").alias("hub"), "wide"))
+        wide = wide.hint("broadcast" if hubs <= FEW_ROWS else "merge")
+
+        def merged(held: DataFrame) -> DataFrame:
+            if not hubs:
+                return _merged(held)
+            held = held.join(wide, F.col("ancestor").eqNullSafe(F.col("hub")), "left")
+            by_rows = held.filter("wide").select(F.explode("nodes").alias("node"), "ancestor").distinct()
+            return _merged(held.filter("wide IS NULL")).unionByName(_packed(by_rows, shares))
+
+        def in_rounds(held: DataFrame, step: DataFrame) -> DataFrame:
+            return _packed(_closed_in_rounds(held.select(F.explode("nodes").alias("node"), "ancestor"), step), shares)
+
+        closed = _climbed(_packed(rows, shares), edges, merged, in_rounds, shares)
+        remove_shared(pairs)
+        remove_shared(wide)
+    return closed.select(F.col("ancestor").alias("pathway"), "share", F.col("nodes").alias("genes"))
+
+
+def _packed(pairs: DataFrame, shares: int) -> DataFrame:
+    """Distinct ``node, ancestor`` as arrays: ``ancestor, share, nodes``."""
+    share = F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int").alias("share")
+    dealt = pairs.select("ancestor", share, "node").repartition("ancestor", "share")
+    null = F.when(F.bool_or(F.isnull("node")), F.array(F.lit(None))).otherwise(F.array())
+    return dealt.groupBy("ancestor", "share").agg(F.concat(F.collect_set("node"), null).alias("nodes"))
+
+
+def _merged(packs: DataFrame) -> DataFrame:
+    """One array for each ``ancestor, share``, of which there are a handful."""
+    dealt = packs.select("ancestor", "share", "nodes").repartition("ancestor", "share")
+    return dealt.groupBy("ancestor", "share").agg(F.array_distinct(F.flatten(F.collect_list("nodes"))).alias("nodes"))
+
+
+def _fans(edges: DataFrame) -> DataFrame:
+    """``parent, wide``: whether more than ``FAN`` children meet there."""
+    step = edges.select("child", "parent").distinct()
+    return step.groupBy("parent").agg((F.count(F.lit(1)) > FAN).alias("wide"))
 
 
 def closed_pairs(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Distinct ``node, ancestor`` with every ancestor of an ancestor; stored.
+    """Distinct ``node, ancestor`` with every ancestor of an ancestor; stored."""
+    share = F.pmod(F.xxhash64("node"), F.lit(SHARES)).cast("int").alias("share")
 
-    Pairs wait at the level of their ancestor. From the deepest level up, those of
-    one level are made distinct and step to the parents, which are at higher levels:
+    def merged(held: DataFrame) -> DataFrame:
+        dealt = held.select("node", "ancestor", share).repartition("ancestor", "share")
+        return dealt.dropDuplicates(["ancestor", "share", "node"])
+
+    return _climbed(pairs.select("node", "ancestor"), edges, merged, _closed_in_rounds, SHARES)
+
+
+def _climbed(
+    held: DataFrame, edges: DataFrame, merged: Callable[[DataFrame], DataFrame],
+    in_rounds: Callable[[DataFrame, DataFrame], DataFrame], shares: int,
+) -> DataFrame:
+    """What is held at an ``ancestor``, at every ancestor of it too; stored.
+
+    Rows wait at the level of their ancestor. From the deepest level up, those of
+    one level are merged and step to the parents, which are at higher levels:
     all that can reach a level has come before it is its turn. So a pair is moved
     once, is never looked up among those found before, and pairs that are closed
     already cost nothing more.
+
+    ``merged`` makes rows distinct and tells the ``share`` of each, ``in_rounds`` closes them under steps that may go round
+    in circles.
     """
-    spark = pairs.sparkSession
-    both = pairs.select("ancestor").union(edges.select("parent"))
+    spark = held.sparkSession
+    both = held.select("ancestor").union(edges.select("parent"))
     kind = both.schema["ancestor"].dataType
-    pairs = pairs.select("node", F.col("ancestor").cast(kind).alias("ancestor"))
+    held = held.withColumn("ancestor", F.col("ancestor").cast(kind))
+    columns = held.columns
     step = edges.select(F.col("child").cast(kind).alias("ancestor"), F.col("parent").cast(kind).alias("next")).distinct()
 
     peeled = peel(edges)
@@ -217,20 +296,18 @@ def closed_pairs(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     onward = of(step, "next").withColumnRenamed("level", "to")
     stay = level.select(F.col("node").alias("ancestor"), F.col("node").alias("next"), F.lit(DONE).alias("to"))
     of(onward.unionByName(stay), "ancestor").write.partitionBy("level").parquet(steps)
-    of(pairs, "ancestor").write.partitionBy("level").parquet(waiting)
+    of(held, "ancestor").select(*columns, "level").write.partitionBy("level").parquet(waiting)
 
-    shape, path_shape = pairs.schema, step.withColumn("to", F.lit(0)).schema
-    share = F.pmod(F.xxhash64("node"), F.lit(SHARES)).cast("int").alias("share")
+    shape, path_shape = held.schema, step.withColumn("to", F.lit(0)).schema
 
     def at(n: int) -> DataFrame:
         return spark.read.schema(shape).parquet(f"{waiting}/level={n}")
 
-    def distinct_at(n: int) -> DataFrame:
-        held = at(n).select("node", "ancestor", share)
-        return held.repartition("ancestor", "share").dropDuplicates(["ancestor", "share", "node"])
-
     def put(found: DataFrame) -> None:
-        found.select("node", "ancestor", "level").write.partitionBy("level").mode("append").parquet(waiting)
+        found.select(*columns, "level").write.partitionBy("level").mode("append").parquet(waiting)
+
+    def stepped(found: DataFrame, path: DataFrame, on: list[str]) -> DataFrame:
+        return found.join(path.hint("merge"), on).withColumn("ancestor", F.col("next")).withColumnRenamed("to", "level")
 
     for n in [ENDLESS, *range(peeled.rounds, 0, -1)]:
         if not folder_exists(spark, f"{waiting}/level={n}"):
@@ -239,19 +316,17 @@ def closed_pairs(pairs: DataFrame, edges: DataFrame) -> DataFrame:
         if n == ENDLESS:
             inner = path.filter(F.col("to") == ENDLESS).select("ancestor", "next")
             outer = path.filter(F.col("to") != ENDLESS)
-            held = _closed_in_rounds(at(n), inner)
-            put(held.join(outer.hint("merge"), "ancestor").select("node", F.col("next").alias("ancestor"), F.col("to").alias("level")))
+            put(stepped(in_rounds(at(n), inner), outer, ["ancestor"]))
         else:
-            dealt = path.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
-            found = distinct_at(n).join(dealt.hint("merge"), ["ancestor", "share"])
-            put(found.select("node", F.col("next").alias("ancestor"), F.col("to").alias("level")))
+            dealt = path.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+            put(stepped(merged(at(n)), dealt, ["ancestor", "share"]))
         remove_folder(spark, f"{waiting}/level={n}")
     if folder_exists(spark, f"{waiting}/level=0"):
-        put(distinct_at(0).withColumn("level", F.lit(DONE)))
+        put(merged(at(0)).withColumn("level", F.lit(DONE)))
         remove_folder(spark, f"{waiting}/level=0")
     remove_folder(spark, steps)
     remove_shared(level)
-    return at(DONE) if folder_exists(spark, f"{waiting}/level={DONE}") else pairs.limit(0)
+    return at(DONE) if folder_exists(spark, f"{waiting}/level={DONE}") else held.limit(0)
 
 
 def _closed_in_rounds(pairs: DataFrame, step: DataFrame) -> DataFrame:
@@ -284,8 +359,49 @@ def closure_violation_counts(members: DataFrame, edges: DataFrame, parts: Mappin
     keys = {name: f"p{i}" for i, name in enumerate(parts)}
     found = _held_and_implied(members, edges, {keys[name]: condition for name, condition in parts.items()})
     counted = found.agg(*[F.count_if(F.col(f"{key}_lacks")).alias(key) for key in keys.values()])
-    rows = [F.struct(F.lit(name).alias("memberships"), F.col(key).alias("violations")) for name, key in keys.items()]
-    return counted.select(F.inline(F.array(*rows)))
+    return counted.select(_by_part(keys))
+
+
+def packed_violation_counts(packs: DataFrame, edges: DataFrame, parts: Mapping[str, Column]) -> DataFrame:
+    """:func:`closure_violation_counts` of memberships given as arrays ``pathway, share, genes``.
+
+    ``parts``: which pathways are in a part, by its name; the columns may be any of ``packs``. The arrays of a pathway
+    and of its children meet in one grouping; where many children meet, their genes do so by rows.
+    """
+    spark = packs.sparkSession
+    keys = {name: f"p{i}" for i, name in enumerate(parts)}
+    fans = _fans(edges)
+    hubs, rootless = fans.agg(F.bool_or("wide"), F.bool_or(F.isnull("parent"))).first()
+    step = edges.select("child", "parent").distinct().alias("s").join(
+        fans.alias("f").hint("merge"), F.col("s.parent").eqNullSafe(F.col("f.parent"))
+    )
+    to = step.select(F.col("child").alias("pathway"), F.col("s.parent").alias("at"), "wide", F.lit(True).alias("wants"))
+    own = fans.select(F.col("parent").alias("pathway"), F.col("parent").alias("at"), "wide", F.lit(False).alias("wants"))
+    marked = packs.select("pathway", "share", "genes", *[F.coalesce(parts[name], F.lit(False)).alias(key) for name, key in keys.items()])
+    told = marked.join(to.unionByName(own).hint("merge"), "pathway")
+    if rootless:
+        told = told.unionByName(marked.filter("pathway IS NULL").crossJoin(own.filter("pathway IS NULL").drop("pathway").hint("broadcast")))
+    told = told.select("at", "share", "genes", "wide", "wants", *keys.values())
+
+    given = {(key, wants): F.collect_list(F.when(F.col(key) & (F.col("wants") == F.lit(wants)), F.col("genes"))).alias(f"{key}_{wants}")
+             for key in keys.values() for wants in (True, False)}
+    met = told.filter(~F.col("wide")).repartition("at", "share").groupBy("at", "share").agg(*given.values())
+    lacks = {key: F.size(F.array_except(F.flatten(f"{key}_True"), F.flatten(f"{key}_False"))) for key in keys.values()}
+    counted = met.agg(*[F.sum(n).alias(key) for key, n in lacks.items()])
+    if hubs:
+        rows = told.filter("wide").select("at", F.explode("genes").alias("gene"), "wants", *keys.values())
+        seen = lambda key, wants: F.bool_or(F.col(key) & (F.col("wants") == F.lit(wants)))
+        each = rows.groupBy("at", "gene").agg(*[(seen(key, True) & ~seen(key, False)).alias(key) for key in keys.values()])
+        counted = counted.unionByName(each.agg(*[F.count_if(key).alias(key) for key in keys.values()]))
+    with small_tasks(spark), gathering(spark):
+        counted = write_shared(counted)
+    total = counted.agg(*[F.coalesce(F.sum(key), F.lit(0)).cast("bigint").alias(key) for key in keys.values()])
+    return total.select(_by_part(keys))
+
+
+def _by_part(keys: Mapping[str, str]) -> Column:
+    """One row ``memberships, violations`` for each part, from one column each."""
+    return F.inline(F.array(*[F.struct(F.lit(name).alias("memberships"), F.col(key).alias("violations")) for name, key in keys.items()]))
 
 
 def _held_and_implied(members: DataFrame, edges: DataFrame, parts: Mapping[str, Column]) -> DataFrame:

@@ -161,3 +161,61 @@ def test_characteristics_make_no_statements_and_group_no_pairs_again(spark):
     plan = plan_of(QUERIES["characteristics"](Tables(spark, "/root/testdata/sf0.001")))
     assert "sha2" not in plan and "biolink:primary_knowledge_source" not in plan
     assert not any("Exchange hashpartitioning(gene#" in line for line in plan.split("\n"))
+
+
+def closed_by_hand(held, pairs):
+    up = {}
+    for c, p in pairs:
+        if c is not None:
+            up.setdefault(c, set()).add(p)
+    closed = set(held)
+    while True:
+        more = {(g, p) for g, c in closed for p in up.get(c, ())} - closed
+        if not more:
+            return closed
+        closed |= more
+
+
+def test_memberships_climb_as_arrays(spark, monkeypatch):
+    """Two hubs, a diamond, a cycle with ways in and out, a lost parent, null genes and pathways, in one share and in several."""
+    pairs = [(c, c % 2) for c in range(2, 40)] + [(c, c // 2) for c in range(40, 80)] + [(0, 100), (1, 100), (1, 101), (50, None)]
+    pairs += [(201, 202), (202, 203), (203, 201), (204, 201), (202, 5), (205, 205), (51, None)]
+    held = [(g, (7 * g + 3 * k) % 80) for g in range(30) for k in range(4)] + [(1, 204), (2, 205), (3, 202), (None, 60), (4, None), (5, 999)]
+    edges = spark.createDataFrame(pairs + pairs[:9], "child LONG, parent LONG")
+    members = spark.createDataFrame(held + held[:20], "gene LONG, pathway LONG")
+    want = sorted(closed_by_hand(held, pairs), key=str)
+    inner = {c for c, _ in pairs}
+    low = {(g, p) for g, p in want if p in inner}
+    holes = {(g, p) for g, c in low for k, p in pairs if k == c} - low
+    assert holes
+    parts = {"closed": F.lit(True), "low": F.col("inner")}
+    children = spark.createDataFrame([(c,) for c in inner], "pathway LONG").withColumn("inner", F.lit(True))
+    for rows_a_task, fan, few in ((500_000, 16, 0), (7, 1, 100_000)):
+        monkeypatch.setattr(hierarchy, "ROWS_A_TASK", rows_a_task)
+        monkeypatch.setattr(hierarchy, "FAN", fan)
+        monkeypatch.setattr(hierarchy, "FEW_ROWS", few)
+        packed = hierarchy.closed_packs(members, edges)
+        assert packed.count() == packed.select("pathway", "share").distinct().count()
+        assert (packed.agg(F.max("share")).first()[0] == 0) == (rows_a_task > 30)
+        assert rows(packed.select("pathway", F.explode("genes").alias("gene"))) == want
+        marked = packed.join(children, "pathway", "left")
+        counted = dict(hierarchy.packed_violation_counts(marked, edges, parts).collect())
+        assert counted == {"closed": 0, "low": len(holes)}
+        loose = packed.select("pathway", "share", F.expr("filter(genes, g -> g IS NULL OR g % 3 > 0 OR pathway > 20)").alias("genes"))
+        by_rows = loose.select(F.explode("genes").alias("gene"), "pathway")
+        some = {"all": F.lit(True), "odd": F.col("pathway") % 2 == 1, "none": F.lit(False)}
+        exact = dict(hierarchy.closure_violation_counts(by_rows, edges, some).collect())
+        assert dict(hierarchy.packed_violation_counts(loose, edges, some).collect()) == exact and exact["all"] > 0 and exact["none"] == 0
+    assert rows(hierarchy.gene_ancestors(members, edges).withColumnRenamed("ancestor", "pathway")) == want
+    none = hierarchy.closed_packs(members.limit(0), edges.limit(0))
+    assert none.count() == 0 and dict(hierarchy.packed_violation_counts(none, edges.limit(0), some).collect()) == {"all": 0, "odd": 0, "none": 0}
+
+
+def test_closed_memberships_move_no_row_for_a_pair(spark, monkeypatch):
+    """The closed pairs of the query are arrays from end to end: no table of single pairs is closed or grouped."""
+    def refuse(*_):
+        raise AssertionError("pairs are moved one by one")
+    monkeypatch.setattr(hierarchy, "closed_pairs", refuse)
+    monkeypatch.setattr(hierarchy, "_held_and_implied", refuse)
+    found = dict(QUERIES["closed_memberships"](Tables(spark, "/root/testdata/sf0.001")).collect())
+    assert found["closed"] == 0 and found["without roots"] > 0

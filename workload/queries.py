@@ -664,10 +664,10 @@ def closure_violations(t: Tables) -> DataFrame:
 @query
 def closed_memberships(t: Tables) -> DataFrame:
     """Closed memberships lack nothing; a level of the hierarchy taken out again leaves holes."""
-    closed = H.gene_ancestors(t.edges, t.hierarchy).select("gene", F.col("ancestor").alias("pathway"))
+    closed = H.closed_packs(t.edges, t.hierarchy)
     inner = t.hierarchy.select(F.col("child").alias("pathway"), F.lit(True).alias("inner")).distinct()
     marked = closed.join(inner.hint("merge"), "pathway", "left")
-    return H.closure_violation_counts(marked, t.hierarchy, {"closed": F.lit(True), "without roots": F.col("inner")})
+    return H.packed_violation_counts(marked, t.hierarchy, {"closed": F.lit(True), "without roots": F.col("inner")})
 
 
 # Release diff.
